@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,10 +126,6 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-class BatchOutsidePredicate(Exception):
-    """A batch row does not satisfy the predicate it is to replace."""
-
-
 def replace_where(df: DataFrame, path: str, predicate: str, by: list[str] | None = None) -> None:
     """Delete the rows for which the predicate is true and insert the batch. Repeatable.
 
@@ -156,16 +153,23 @@ def _only_uses(spark: SparkSession, table: DataFrame, predicate: str, by: list[s
     return True
 
 
+def _leaf_directories(df: DataFrame) -> list[str]:
+    """Partition directories of a file scan: one name each, no data is read."""
+    rows = df.select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return sorted({unquote(r["f"]).rsplit("/", 1)[0] for r in rows})
+
+
 def _replace_directories(batch: DataFrame, old: DataFrame, path: str, holds: Column, by: list[str]) -> None:
     spark = batch.sparkSession
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
     batch.write.partitionBy(*by).parquet(staged)
-    # directory names only: one row per matching partition
-    listing = old.filter(holds).select(F.input_file_name().alias("f")).distinct()
-    directories = {r["f"].rsplit("/", 1)[0] for r in listing.collect()}
-    for directory in directories:
+    for directory in _leaf_directories(old.filter(holds)):
         storage.delete(spark, directory)
-    spark.read.parquet(staged).write.mode("append").partitionBy(*by).parquet(path)
+    name = staged.rstrip("/").rsplit("/", 1)[-1]
+    for directory in _leaf_directories(spark.read.parquet(staged)):
+        inside = directory.split(f"/{name}/", 1)[1]
+        storage.make_parent(spark, f"{path}/{inside}")
+        storage.rename(spark, directory, f"{path}/{inside}")
     storage.delete(spark, staged)
 
 
@@ -245,10 +249,10 @@ def copy_into(
             batch = evolve.conform(batch, evolve.merge_types(table.schema, batch.schema))
         else:
             batch = evolve.enforce(batch, table.schema)
-    before = storage.total_rows(spark, table_path)
-    batch.write.mode("append").parquet(table_path)
+    seen = Observation()
+    batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(table_path)
     pending.write.mode("append").parquet(ledger_path)
-    return Loaded(len(names), storage.total_rows(spark, table_path) - before)
+    return Loaded(len(names), seen.get["rows"])
 
 
 def copy_table(src: DataFrame, dst: str, key: str, chunks: int) -> Loaded:

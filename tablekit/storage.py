@@ -49,9 +49,9 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
-def total_rows(spark: SparkSession, path: str) -> int:
-    """Rows of a Parquet table, from its footers."""
-    return spark.read.parquet(path).count() if exists(spark, path) else 0
+def make_parent(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.mkdirs(target.getParent())
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
@@ -119,4 +119,4 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, known before anything runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

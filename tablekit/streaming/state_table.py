@@ -1,0 +1,83 @@
+"""A latest-state table that micro-batches are merged into.
+
+Layout: ``path/bucket=<hash bucket>/v=<batch id>``. A batch rewrites only the buckets its
+keys fall into, from the newest version below its own id, so a batch that is delivered
+again after a failure recomputes the same directories and loses nothing. The version before
+the newest is kept until the next write to that bucket.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablekit import storage
+
+BUCKET, VERSION = "bucket", "v"
+
+
+@dataclass(frozen=True)
+class StateTable:
+    path: str
+    keys: list[str]
+    schema: T.StructType
+    buckets: int = 16
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def versions(self, spark: SparkSession, below: int | None = None) -> dict[int, list[int]]:
+        """Versions of each bucket, oldest first. At most a few directories per bucket."""
+        found: dict[int, list[int]] = {}
+        for name in storage.child_names(spark, self.path):
+            if not name.startswith(f"{BUCKET}="):
+                continue
+            numbers = [
+                int(v.removeprefix(f"{VERSION}="))
+                for v in storage.child_names(spark, f"{self.path}/{name}")
+                if v.startswith(f"{VERSION}=")
+            ]
+            kept = sorted(n for n in numbers if below is None or n < below)
+            if kept:
+                found[int(name.removeprefix(f"{BUCKET}="))] = kept
+        return found
+
+    def _directory(self, bucket: int, version: int) -> str:
+        return f"{self.path}/{BUCKET}={bucket}/{VERSION}={version}"
+
+    def read(self, spark: SparkSession, only: list[int] | None = None, below: int | None = None) -> DataFrame:
+        """The newest version of every bucket, or of the chosen ones."""
+        newest = {b: v[-1] for b, v in self.versions(spark, below).items() if only is None or b in only}
+        if not newest:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(*[self._directory(b, v) for b, v in newest.items()])
+
+    def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """``merge(old_state, batch)`` on the buckets the batch touches.
+
+        ``batch`` should be materialised or cheap: its buckets are listed first.
+        """
+        spark = batch.sparkSession
+        # at most one row per bucket
+        touched = [r[BUCKET] for r in batch.select(self.bucket().alias(BUCKET)).distinct().collect()]
+        if not touched:
+            return
+        merged = merge(self.read(spark, touched, below=batch_id), batch)
+        stamped = merged.select(*self.schema.names).withColumns({BUCKET: self.bucket(), VERSION: F.lit(batch_id)})
+        (
+            stamped.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET, VERSION)
+            .parquet(self.path)
+        )
+        self._drop_superseded(spark, touched, batch_id)
+
+    def _drop_superseded(self, spark: SparkSession, touched: list[int], batch_id: int) -> None:
+        older = self.versions(spark, below=batch_id)
+        for bucket in touched:
+            for version in older.get(bucket, [])[:-1]:
+                storage.delete(spark, self._directory(bucket, version))

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tablekit import storage
 from tablekit.operators import merge
 from tablekit.operators.join import hinted
 from tablekit.operators.windows import latest_per_key
 from tablekit.sources.io import overwrite_partitions
+from tablekit.streaming.state_table import StateTable
 
 
 def with_event_time(df: DataFrame, col: str, fmt: str | None = None, delay: str = "10 minutes", name: str | None = None) -> DataFrame:
@@ -88,19 +88,23 @@ def streak(
     order: list[str],
     cond: str,
     timeout_ms: int = 3_600_000,
+    timeout: str = "processing",
     name: str = "streak",
 ) -> DataFrame:
     """Consecutive rows at the end of each key's history for which ``cond`` holds.
 
     One row per key and micro-batch with the streak after it; state idle for ``timeout_ms``
-    is dropped. ``order`` are up to two sortable columns (time first); rows of a batch are
+    is dropped, by the clock (``processing``) or by the watermark (``event``; the first
+    order column carries it). A stream that is to end by itself needs ``event`` or ``none``:
+    by the clock there is always another batch to wait for. ``order`` are up to two sortable columns (time first); rows of a batch are
     taken in that order. Only the two order numbers and the condition of a row reach Python,
     chunk by chunk, and of those only rows after the last break are held.
     """
-    at = F.unix_micros(F.col(order[0]).cast("timestamp")).alias("__t")
+    time = F.col(order[0])
+    at = F.unix_micros(time.cast("timestamp")).alias("__t")
     tie = (F.col(order[1]).cast("long") if len(order) > 1 else F.lit(0).cast("long")).alias("__i")
     holds = F.coalesce(F.expr(cond), F.lit(False)).alias("__ok")
-    slim = df.select(F.col(key), at, tie, holds)
+    slim = df.select(F.col(key), at, tie, holds, *([time] if timeout == "event" else []))
     key_type = df.schema[key].dataType
     out = T.StructType([T.StructField(key, key_type), T.StructField(name, T.LongType())])
 
@@ -111,8 +115,10 @@ def streak(
         length = state.get[0] if state.exists else 0
         broken: tuple[int, int] | None = None
         t_held, i_held = np.empty(0, "int64"), np.empty(0, "int64")
+        newest_ms = 0
         for chunk in chunks:
             t, i, ok = (chunk[c].to_numpy() for c in ("__t", "__i", "__ok"))
+            newest_ms = max(newest_ms, int(t.max()) // 1000)
             bad_t, bad_i = t[~ok], i[~ok]
             if len(bad_t):
                 newest = bad_t.max()
@@ -124,19 +130,27 @@ def streak(
                 t_held, i_held = t_held[after], i_held[after]
         length = len(t_held) + (length if broken is None else 0)
         state.update((length,))
-        state.setTimeoutDuration(timeout_ms)
+        if timeout == "processing":
+            state.setTimeoutDuration(timeout_ms)
+        elif timeout == "event":
+            state.setTimeoutTimestamp(max(newest_ms, state.getCurrentWatermarkMs()) + timeout_ms)
         yield pd.DataFrame({key: [k[0]], name: [length]})
 
-    return grouped_state(slim, [key], advance, out, "streak LONG")
+    return grouped_state(slim, [key], advance, out, "streak LONG", timeout)
+
+
+_TIMEOUTS = {
+    "none": GroupStateTimeout.NoTimeout,
+    "processing": GroupStateTimeout.ProcessingTimeTimeout,
+    "event": GroupStateTimeout.EventTimeTimeout,
+}
 
 
 def grouped_state(
-    df: DataFrame, keys: list[str], fn: Callable, out: T.StructType | str, state: T.StructType | str
+    df: DataFrame, keys: list[str], fn: Callable, out: T.StructType | str, state: T.StructType | str, timeout: str = "none"
 ) -> DataFrame:
     """A pandas function per key and micro-batch, with state kept between batches."""
-    return df.groupBy(*keys).applyInPandasWithState(
-        fn, out, state, "update", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    return df.groupBy(*keys).applyInPandasWithState(fn, out, state, "update", _TIMEOUTS[timeout])
 
 
 # --- running a stream -------------------------------------------------------
@@ -202,73 +216,32 @@ def resume(make: Callable[[], DataFrame], path: str, checkpoint: str) -> Streami
     return drain(start(make(), path, "append", checkpoint))
 
 
-def latest_state_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """For ``update`` and ``complete`` streams: the newest row of each key, one version per batch.
-
-    The table of batch ``n`` is ``path/v=n``, built from ``path/v=n-1``; a redelivered batch
-    writes the same directory again.
-    """
+def latest_state_sink(state: StateTable) -> Callable[[DataFrame, int], None]:
+    """For ``update`` and ``complete`` streams: the newest row of each key."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = f"{path}/v={batch_id}"
-        before = _newest_version(spark, path, below=batch_id)
-        if before is None:
-            batch.write.mode("overwrite").parquet(version)
-            return
-        old = spark.read.schema(batch.schema).parquet(f"{path}/v={before}")
-        merge.upsert(old, batch, keys).write.mode("overwrite").parquet(version)
-        for name in storage.child_names(spark, path):
-            if name.startswith("v=") and int(name[2:]) < before:
-                storage.delete(spark, f"{path}/{name}")
+        state.apply(batch, batch_id, lambda old, new: merge.upsert(old, new, state.keys))
 
     return sink
 
 
-def _newest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
-    found = [int(n[2:]) for n in storage.child_names(spark, path) if n.startswith("v=")]
-    return max((v for v in found if below is None or v < below), default=None)
+def upsert_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int], None]:
+    """Merge rows by key; the newest in ``order`` wins, so a late row replaces nothing newer."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        def newest(old: DataFrame, new: DataFrame) -> DataFrame:
+            return latest_per_key(old.unionByName(new.select(*old.columns)), state.keys, order)
 
+        state.apply(batch, batch_id, newest)
 
-def read_latest_state(spark: SparkSession, path: str) -> DataFrame:
-    newest = _newest_version(spark, path)
-    if newest is None:
-        raise FileNotFoundError(f"no state under {path}")
-    return spark.read.parquet(f"{path}/v={newest}")
+    return sink
 
 
 def upsert(
-    df: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str, buckets: int = 16, when: dict | None = None
+    df: DataFrame, state: StateTable, order: list[str], checkpoint: str, when: dict | None = None
 ) -> StreamingQuery:
-    """Merge each micro-batch into a latest-state table.
-
-    The table is cut into ``buckets`` directories by key hash, and a batch rewrites only
-    those its keys fall into. The merge compares ``order``, so a redelivered batch or a late
-    row changes nothing that is newer.
-    """
-
-    def bucket() -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = latest_per_key(batch, keys, order).withColumn("bucket", bucket())
-        if not storage.exists(spark, path):
-            newest.write.mode("overwrite").partitionBy("bucket").parquet(path)
-            return
-        newest = storage.cut_lineage(newest, "upsert-batch")
-        # at most one row per bucket
-        touched = [r["bucket"] for r in newest.select("bucket").distinct().collect()]
-        if not touched:
-            return
-        old = spark.read.schema(newest.schema).parquet(path).filter(F.col("bucket").isin(*touched))
-        merged = latest_per_key(old.unionByName(newest), keys, order)
-        staged = storage.work_dir(spark, "upsert-stage")
-        merged.write.partitionBy("bucket").parquet(staged)
-        storage.move_directories(spark, staged, path, {f"bucket={b}" for b in touched}.__contains__)
-
-    writer = df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(when or trigger("availableNow"))).start()
+    """Merge each micro-batch into a latest-state table."""
+    return start(df, upsert_sink(state, order), "append", checkpoint, when)
 
 
 def cdc_dedup(df: DataFrame, key: list[str], offset: str, ts: str, delay: str) -> DataFrame:
@@ -279,15 +252,11 @@ def cdc_dedup(df: DataFrame, key: list[str], offset: str, ts: str, delay: str) -
     return df.withWatermark(ts, delay).dropDuplicates([*key, offset, ts])
 
 
-def cdc_sink(path: str, keys: list[str], order: list[str], schema: T.StructType) -> Callable[[DataFrame, int], None]:
-    """Apply a deduplicated feed to a state table, one version per batch."""
+def cdc_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int], None]:
+    """Apply a deduplicated change feed to a state table."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = _newest_version(spark, path, below=batch_id)
-        old = spark.read.schema(schema).parquet(f"{path}/v={before}") if before is not None else spark.createDataFrame([], schema)
-        state = merge.apply_cdc(old, batch, keys, order)
-        state.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        state.apply(batch, batch_id, lambda old, new: merge.apply_cdc(old, new, state.keys, order))
 
     return sink
 
