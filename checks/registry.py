@@ -40,6 +40,11 @@ class Tables:
         return work_dir(self.spark, label)
 
 
+def fixed(sql: str, digits: int) -> str:
+    """Half-up rounding of a double, as ``stable_round`` does it."""
+    return f"round(cast({sql} as decimal(38,{digits + 5})), {digits})::double"
+
+
 def with_views(sql: str, views: tuple[str, ...]) -> str:
     """Put the stand-ins before the query as common table expressions."""
     if not views:

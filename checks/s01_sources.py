@@ -70,7 +70,7 @@ def write_csv(t):
     "join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
 )
 def read_json(t):
-    place = t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey)
+    place = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     nested = t.supplier.join(place, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("id"),
         F.col("s_name").alias("name"),

@@ -66,8 +66,8 @@ def count_if(t):
 
 @check(
     "s04_07_rounded",
-    "select l_returnflag, round(cast(sum(l_extendedprice) as decimal(38,8)), 2)::double as total, "
-    "round(cast(avg(l_quantity) as decimal(38,8)), 2)::double as mean from lineitem group by l_returnflag",
+    "select l_returnflag, round(cast(sum(l_extendedprice) as decimal(38,7)), 2)::double as total, "
+    "round(cast(avg(l_quantity) as decimal(38,7)), 2)::double as mean from lineitem group by l_returnflag",
 )
 def rounded(t):
     return agg.rounded(t.lineitem, ["l_returnflag"], {"total": F.sum("l_extendedprice"), "mean": F.avg("l_quantity")})
@@ -75,7 +75,7 @@ def rounded(t):
 
 @check(
     "s04_08_ratio",
-    "select l_suppkey, round(cast(sum(l_extendedprice) / nullif(sum(l_quantity), 0) as decimal(38,8)), 2)::double as ratio "
+    "select l_suppkey, round(cast(sum(l_extendedprice) / nullif(sum(l_quantity), 0) as decimal(38,7)), 2)::double as ratio "
     "from lineitem group by l_suppkey",
 )
 def ratio(t):
@@ -118,8 +118,8 @@ def salted_hot(t):
 @check(
     "s04_14_skew_report",
     """with c as (select l_suppkey, count(*) as rows from lineitem group by l_suppkey)
-    select l_suppkey, rows, round(cast(rows / (select sum(rows) from c) as decimal(38,14)), 6)::double as share,
-      round(cast(rows / (select avg(rows) from c) as decimal(38,12)), 4)::double as times_mean
+    select l_suppkey, rows, round(cast(rows / (select sum(rows) from c) as decimal(38,11)), 6)::double as share,
+      round(cast(rows / (select avg(rows) from c) as decimal(38,9)), 4)::double as times_mean
     from c order by rows desc, l_suppkey limit 20""",
 )
 def skew_report(t):

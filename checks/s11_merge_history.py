@@ -255,9 +255,9 @@ def type2(t):
 @check(
     "s11_17_type2_apply",
     f"""with d as ({TYPE2.format(where=" where version <= 10")}), b as ({newest("version between 11 and 15", "k, state, commit_ts")}),
-    m as (select d.*, b.state as new_state, b.commit_ts as at from d left join b on d.k = b.k and d.is_current and d.state <> b.state)
-    select k, state, valid_from, coalesce(at, valid_to) as valid_to, is_current and at is null as is_current from m
-    union all select k, new_state, at, null, true from m where at is not null
+    m as (select d.*, b.state as new_state, b.commit_ts as closed_at from d left join b on d.k = b.k and d.is_current and d.state <> b.state)
+    select k, state, valid_from, coalesce(closed_at, valid_to) as valid_to, is_current and closed_at is null as is_current from m
+    union all select k, new_state, closed_at, null, true from m where closed_at is not null
     union all select k, state, commit_ts, null, true from b where k not in (select k from d)""",
     "fx_changes",
 )

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
 from checks.s01_sources import landed, weather_kv
 from checks.s09_streams import ANY_DELAY, ntz, to_files, to_state
 from tablekit.operators import scd
@@ -28,11 +28,6 @@ from tablekit.sources import io, streamio
 from tablekit.streaming import stream
 
 
-def fixed(sql: str, digits: int) -> str:
-    """Half-up rounding of a double, as the plans round."""
-    return f"round(cast({sql} as decimal(38,8)), {digits})::double"
-
-
 # --- telecom ----------------------------------------------------------------
 
 TELECOM = f"""typed as (select usage_id, customer_id, try_cast(phone_number as bigint) as phone_number, upper(trim(region)) as region,
@@ -65,7 +60,7 @@ def telecom_transform(t):
 
 @check("s12_02_telecom_dim_customer", f"with {TELECOM} select * exclude (rn) from customers", "fx_usage")
 def telecom_dim_customer(t):
-    return telecom.dim_customer(telecom.transform(t.fx_usage))
+    return telecom.star(t.fx_usage)["dim_customer"]
 
 
 @check(
@@ -77,18 +72,17 @@ def telecom_dim_customer(t):
     "fx_usage",
 )
 def telecom_dim_time(t):
-    return telecom.dim_time(telecom.transform(t.fx_usage))
+    return telecom.star(t.fx_usage)["dim_time"]
 
 
 @check("s12_02_telecom_dim_network", f"with {TELECOM} select * from networks", "fx_usage")
 def telecom_dim_network(t):
-    return telecom.dim_network(telecom.transform(t.fx_usage))
+    return telecom.star(t.fx_usage)["dim_network"]
 
 
 @check("s12_03_telecom_fact", f"with {TELECOM} select {', '.join(telecom.FACT)} from facts", "fx_usage")
 def telecom_fact(t):
-    sessions = telecom.transform(t.fx_usage)
-    return telecom.fact(sessions, telecom.dim_network(sessions))
+    return telecom.star(t.fx_usage)["fact"]
 
 
 @check(
@@ -105,9 +99,7 @@ def telecom_fact(t):
     "fx_usage",
 )
 def telecom_gold(t):
-    sessions = telecom.transform(t.fx_usage)
-    facts = telecom.fact(sessions, telecom.dim_network(sessions))
-    return telecom.gold_kpis(facts, telecom.dim_customer(sessions))
+    return telecom.star(t.fx_usage)["gold_kpis"]
 
 
 # --- website checks ---------------------------------------------------------
@@ -491,7 +483,7 @@ def weather_alert_join(t):
 @check(
     "s12_26_checkout_audit",
     """select order_status, old_status, new_status, count(*) as events, count(*) filter (new_status = 'FAILED') as failures,
-      count(*) filter (new_status = 'REFUNDED') as refunds, round(cast(avg(risk_score) as decimal(38,12)), 4)::double as avg_risk,
+      count(*) filter (new_status = 'REFUNDED') as refunds, round(cast(avg(risk_score) as decimal(38,9)), 4)::double as avg_risk,
       sum(json_extract(metadata, '$.k')::bigint)::bigint as metadata_total
     from fx_audit join fx_orders on checkout_id = order_id group by 1, 2, 3""",
     "fx_audit fx_orders",

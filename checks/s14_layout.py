@@ -14,7 +14,7 @@ from tablekit.sources import io
 def repartition(t):
     by_key = layout.repartition(t.lineitem.select("l_suppkey"), 8, "l_suppkey")
     split = layout.keys_in_several_partitions(by_key, "l_suppkey").agg(F.count(F.lit(1)).alias("n")).scalar()
-    return by_key.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l_suppkey").alias("keys"), F.max(split).alias("split_keys"))
+    return by_key.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l_suppkey").alias("keys")).withColumn("split_keys", split)
 
 
 @check("s14_02_coalesce", "select event_type, count(*) as rows from events group by event_type")
@@ -26,7 +26,8 @@ def coalesce(t):
 def partition_report(t):
     report = layout.partition_report(layout.repartition(t.lineitem, 8))
     skew = layout.partition_skew(layout.repartition(t.lineitem, 8)).select((F.col("skew") < 1.5).alias("even")).scalar()
-    return report.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"), F.bool_and(skew).alias("even"))
+    totals = report.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
+    return totals.withColumn("even", skew)
 
 
 @check("s14_04_file_report", "select 6::bigint as files, true as sized, count(*) as rows from lineitem")

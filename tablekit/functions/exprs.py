@@ -130,13 +130,16 @@ def minutes_between(start: Column | str, end: Column | str, digits: int = 2) ->
 # --- numbers ----------------------------------------------------------------
 
 
+GUARD_DIGITS = 5
+
+
 def stable_round(col: Column | str, digits: int) -> Column:
     """Round half up, after taking off the float noise a distributed sum leaves.
 
-    The same rows added in another order differ in the last bits; rounding to eight more
+    The same rows added in another order differ in the last bits; rounding to a few more
     digits first makes a value on the half land on the same side every time.
     """
-    return F.round(F.round(_column(col), digits + 8), digits)
+    return F.round(F.round(_column(col), digits + GUARD_DIGITS), digits)
 
 
 def scaled(col: Column | str, factor: float, digits: int | None = None) -> Column:

@@ -39,12 +39,8 @@ def partition_skew(df: DataFrame) -> DataFrame:
 
 def keys_in_several_partitions(df: DataFrame, key: str) -> DataFrame:
     """Keys whose rows lie in more than one partition; none after ``repartition(n, key)``."""
-    return (
-        df.groupBy(key)
-        .agg(F.min(F.spark_partition_id()).alias("lo"), F.max(F.spark_partition_id()).alias("hi"))
-        .filter("lo < hi")
-        .select(key)
-    )
+    placed = df.select(key, F.spark_partition_id().alias("at"))
+    return placed.groupBy(key).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).filter("lo < hi").select(key)
 
 
 def file_report(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -73,11 +69,13 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
     total = sizes.agg(F.sum("__rows").alias("n")).scalar()
     share = sizes.withColumn("__files", F.greatest(F.lit(1), F.ceil(F.col("__rows") * files / total))).drop("__rows")
+    side = share.withColumnsRenamed({c: f"__by_{c}" for c in by})
     on = F.lit(True)
     for c in by:
-        on = on & df[c].eqNullSafe(share[c])
-    placed = df.join(share, on).select(*[df[c] for c in df.columns], (spread % F.col("__files")).alias("__part"))
-    replace_table(placed.repartition(max(files, 1), *by, "__part").drop("__part"), path, by)
+        on = on & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    # one row per directory of the table, which the driver lists anyway
+    placed = df.join(F.broadcast(side), on).select(*df.columns, (spread % F.col("__files")).alias("__part"))
+    replace_table(placed.repartition(files, *by, "__part").drop("__part"), path, by)
 
 
 def z_value(df: DataFrame, cols: list[str], bits: int = 6) -> Column:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tablekit.operators import rows
 from tablekit.operators.windows import latest_per_key
 
 
@@ -20,7 +21,7 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 
 def unique(df: DataFrame, cols: list[str], name: str = "copies") -> DataFrame:
     """Duplicated keys and how often they occur; NULL keys are not compared."""
-    return df.na.drop(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)
+    return rows.require(df, cols).groupBy(*cols).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) > 1)
 
 
 def primary_key(df: DataFrame, cols: list[str]) -> DataFrame:

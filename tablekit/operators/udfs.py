@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.operators import rows
+
 
 def scalar(fn: Callable, returns: str, use_arrow: bool = True) -> Callable[..., Column]:
     """A row-at-a-time function, moved in Arrow batches unless ``use_arrow`` is off."""
@@ -50,7 +52,7 @@ def row_transform(df: DataFrame, steps: list[dict[str, Column]], drop_null: list
     Columns of one step see the values from before it, as one projection.
     """
     if drop_null:
-        df = df.na.drop(subset=drop_null)
+        df = rows.require(df, drop_null)
     for step in steps:
         df = df.withColumns(step)
     return df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablekit.functions import exprs
 from tablekit.operators import cols, join, rows
 from tablekit.operators.windows import dense_key, latest_per_key
+from tablekit.storage import cut_lineage
 
 # Columns brought to upper case, closed ranges, label thresholds.
 UPPER = ["plan_type", "device_type", "customer_status", "region", "source_system"]
@@ -120,3 +121,22 @@ def gold_kpis(facts: DataFrame, customers: DataFrame) -> DataFrame:
         sessions("network_type", "4G").alias("sessions_4g"),
         sessions("network_type", "LTE").alias("sessions_lte"),
     )
+
+
+def star(usage: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions, facts and KPIs over sessions that are cleaned and stored once.
+
+    Four tables read the sessions; without the stored copy each would clean the raw usage
+    again.
+    """
+    sessions = cut_lineage(transform(usage), "telecom-sessions")
+    network, customer = dim_network(sessions), dim_customer(sessions)
+    facts = fact(sessions, network)
+    return {
+        "sessions": sessions,
+        "dim_customer": customer,
+        "dim_time": dim_time(sessions),
+        "dim_network": network,
+        "fact": facts,
+        "gold_kpis": gold_kpis(facts, customer),
+    }

@@ -17,6 +17,12 @@ from tablekit.operators.join import hinted
 Schema = str | T.StructType
 CORRUPT = "_corrupt_record"
 
+# text formats write milliseconds unless told to keep all digits
+FULL_TIME = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 # --- files ------------------------------------------------------------------
 
@@ -65,7 +71,7 @@ def inference_report(spark: SparkSession, path: str, schema: Schema) -> DataFram
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error", header: bool = True, delimiter: str = ",") -> None:
-    df.write.mode(mode).option("header", header).option("sep", delimiter).csv(path)
+    df.write.mode(mode).options(**FULL_TIME).option("header", header).option("sep", delimiter).csv(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -79,7 +85,7 @@ def read_json(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**FULL_TIME).json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -102,6 +108,8 @@ def convert(
     elif src_fmt == "csv":
         reader = reader.option("inferSchema", True)
     writer = reader.load(src).write.mode(mode).format(dst_fmt)
+    if dst_fmt in ("csv", "json"):
+        writer = writer.options(**FULL_TIME)
     if dst_fmt == "csv":
         writer = writer.option("header", True)
     writer.save(dst)
