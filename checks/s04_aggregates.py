@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
+from tablekit.functions.exprs import stable_round
 from tablekit.operators import agg
 
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -17,12 +18,12 @@ def count_by(t):
 
 @check(
     "s04_02_stats_by",
-    "select o_orderpriority, round(avg(o_totalprice), 4) as avg_o_totalprice, max(o_totalprice) as max_o_totalprice, "
+    f"select o_orderpriority, {fixed('avg(o_totalprice)', 4)} as avg_o_totalprice, max(o_totalprice) as max_o_totalprice, "
     "min(o_totalprice) as min_o_totalprice from orders group by o_orderpriority",
 )
 def stats_by(t):
     stats = agg.stats_by(t.orders, ["o_orderpriority"], "o_totalprice")
-    return stats.withColumn("avg_o_totalprice", F.round("avg_o_totalprice", 4))
+    return stats.withColumn("avg_o_totalprice", stable_round("avg_o_totalprice", 4))
 
 
 @check(
@@ -84,10 +85,10 @@ def ratio(t):
 
 @check(
     "s04_09_global_stats",
-    "select min(value) as min_value, max(value) as max_value, round(avg(value), 6) as avg_value, count(*) as rows from events",
+    f"select min(value) as min_value, max(value) as max_value, {fixed('avg(value)', 6)} as avg_value, count(*) as rows from events",
 )
 def global_stats(t):
-    return agg.global_stats(t.events, "value").withColumn("avg_value", F.round("avg_value", 6))
+    return agg.global_stats(t.events, "value").withColumn("avg_value", stable_round("avg_value", 6))
 
 
 @check("s04_10_distribution", "select event_type, count(*) as count from events group by event_type")

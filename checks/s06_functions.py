@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
 from tablekit.functions import exprs
 
 
@@ -189,14 +189,14 @@ def arith(t):
 
 @check(
     "s06_25_margin",
-    "select l_orderkey, l_linenumber, l_partkey, round((l_extendedprice - l_quantity * 10) / nullif(l_extendedprice, 0), 6) as margin, "
-    "round(l_extendedprice * (1 + l_tax), 4) as taxed from lineitem",
+    f"select l_orderkey, l_linenumber, l_partkey, {fixed('(l_extendedprice - l_quantity * 10) / nullif(l_extendedprice, 0)', 6)} as margin, "
+    f"{fixed('l_extendedprice * (1 + l_tax)', 4)} as taxed from lineitem",
 )
 def margin(t):
     return t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        F.round(exprs.margin("l_extendedprice", F.col("l_quantity") * 10), 6).alias("margin"),
-        F.round(exprs.with_tax("l_extendedprice", "l_tax"), 4).alias("taxed"),
+        exprs.stable_round(exprs.margin("l_extendedprice", F.col("l_quantity") * 10), 6).alias("margin"),
+        exprs.stable_round(exprs.with_tax("l_extendedprice", "l_tax"), 4).alias("taxed"),
     )

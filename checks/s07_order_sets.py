@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
+from tablekit.functions.exprs import stable_round
 from tablekit.operators import order, sets
 
 
@@ -20,10 +21,10 @@ def limit(t):
 
 @check(
     "s07_03_top_k",
-    "select l_suppkey, round(avg(l_extendedprice), 4) as avg_price from lineitem group by l_suppkey order by round(avg(l_extendedprice), 4) desc, l_suppkey limit 10",
+    f"select l_suppkey, {fixed('avg(l_extendedprice)', 4)} as avg_price from lineitem group by l_suppkey order by 2 desc, 1 limit 10",
 )
 def top_k(t):
-    mean = F.round(F.avg("l_extendedprice"), 4).alias("avg_price")
+    mean = stable_round(F.avg("l_extendedprice"), 4).alias("avg_price")
     return order.top_k(t.lineitem, ["l_suppkey"], [mean], ["-avg_price", "l_suppkey"], 10)
 
 

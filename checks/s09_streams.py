@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
 from checks.s01_sources import landed
 from checks.s03_joins import INTERVAL, signups_and_buys
+from tablekit.functions.exprs import stable_round
 from tablekit.operators import events, history
 from tablekit.sources import streamio
 from tablekit.streaming import stream
@@ -60,8 +61,8 @@ def with_event_time(t):
     return ntz(to_files(t, weather(t).select("city", "event_id", "event_time")), "event_time")
 
 
-BUCKETS = """select time_bucket(interval 1 hour, strptime(fetched_at, '%Y-%m-%dT%H:%M:%S')) as window_start, city,
-  round(avg(temp_c), 4) as avg_temp, max(humidity) as max_humidity, count(*) as readings from fx_weather group by 1, 2"""
+BUCKETS = f"""select time_bucket(interval 1 hour, strptime(fetched_at, '%Y-%m-%dT%H:%M:%S')) as window_start, city,
+  {fixed('avg(temp_c)', 4)} as avg_temp, max(humidity) as max_humidity, count(*) as readings from fx_weather group by 1, 2"""
 
 
 def temps():
@@ -69,7 +70,7 @@ def temps():
 
 
 def _rounded(df):
-    return ntz(df, "window_start").drop("window_end").withColumn("avg_temp", F.round("avg_temp", 4))
+    return ntz(df, "window_start").drop("window_end").withColumn("avg_temp", stable_round("avg_temp", 4))
 
 
 @check("s09_02_tumbling", BUCKETS, "fx_weather")
@@ -77,17 +78,17 @@ def tumbling(t):
     return _rounded(to_state(t, stream.tumbling(weather(t), "event_time", "1 hour", ["city"], temps()), ["window_start", "city"], "complete"))
 
 
-SLIDES = """with h as (select strptime(fetched_at, '%Y-%m-%dT%H:%M:%S') as at, city, humidity from fx_weather),
-  s as (select time_bucket(interval 1 hour, at) as window_start, city, humidity from h
-    union all select time_bucket(interval 1 hour, at) - interval 1 hour, city, humidity from h)
-  select window_start, city, round(avg(humidity), 4) as avg_humidity from s group by 1, 2"""
+SLIDES = f"""with h as (select strptime(fetched_at, '%Y-%m-%dT%H:%M:%S') as seen_at, city, humidity from fx_weather),
+  s as (select time_bucket(interval 1 hour, seen_at) as window_start, city, humidity from h
+    union all select time_bucket(interval 1 hour, seen_at) - interval 1 hour, city, humidity from h)
+  select window_start, city, {fixed('avg(humidity)', 4)} as avg_humidity from s group by 1, 2"""
 
 
 @check("s09_03_sliding", SLIDES, "fx_weather")
 def sliding(t):
     agg = [F.avg("humidity").alias("avg_humidity")]
     out = to_state(t, stream.sliding(weather(t), "event_time", "2 hours", "1 hour", ["city"], agg), ["window_start", "city"])
-    return ntz(out, "window_start").drop("window_end").withColumn("avg_humidity", F.round("avg_humidity", 4))
+    return ntz(out, "window_start").drop("window_end").withColumn("avg_humidity", stable_round("avg_humidity", 4))
 
 
 @check("s09_04_dedup", "select distinct city, strptime(fetched_at, '%Y-%m-%dT%H:%M:%S') as event_time from fx_weather", "fx_weather")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import check, fixed
+from tablekit.functions.exprs import stable_round
 from tablekit.operators import quality
 
 RULES = [
@@ -89,11 +90,11 @@ def expectation_report(t):
     return quality.expectation_report(t.fx_checks, RULES)
 
 
-@check("s13_06_non_empty", "select count(*) as rows, round(avg(value), 4) as score from events")
+@check("s13_06_non_empty", f"select count(*) as rows, {fixed('avg(value)', 4)} as score from events")
 def non_empty(t):
     df = quality.non_empty(t.events, "events")
     quality.min_score(df, F.avg("value"), 0.0)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("value"), 4).alias("score"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), stable_round(F.avg("value"), 4).alias("score"))
 
 
 @check("s13_07_relationship", "select audit_id, checkout_id from fx_audit where checkout_id not in (select order_id from fx_orders)", "fx_audit fx_orders")
