@@ -1,6 +1,6 @@
 """A latest-state table that micro-batches are merged into.
 
-Layout: ``path/bucket=<hash bucket>/v=<batch id>``. A batch rewrites only the buckets its
+Layout: ``path/state_bucket=<hash bucket>/state_version=<batch id>``. A batch rewrites only the buckets its
 keys fall into, from the newest version below its own id, so a batch that is delivered
 again after a failure recomputes the same directories and loses nothing. The version before
 the newest is kept until the next write to that bucket.
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tablekit import storage
 
-BUCKET, VERSION = "bucket", "v"
+BUCKET, VERSION = "state_bucket", "state_version"
 
 
 @dataclass(frozen=True)
