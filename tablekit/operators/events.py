@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.operators.join import hinted
 from tablekit.operators.windows import lag_lead, latest_per_key, running, top_n_per_group
 
 
@@ -53,4 +54,4 @@ def store_once(df: DataFrame, producer: list[str], seq: str, arrival: list[str])
 def replay(log: DataFrame, offsets: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:
     """Everything from the stored offset of each partition on; others from their start."""
     start = offsets.select(partition, F.col(offset).alias("__from"))
-    return log.join(start, partition, "left").filter(F.col(offset) >= F.coalesce("__from", F.lit(0))).drop("__from")
+    return log.join(hinted(start), partition, "left").filter(F.col(offset) >= F.coalesce("__from", F.lit(0))).drop("__from")

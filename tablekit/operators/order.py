@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tablekit.operators.slices import sort_columns
+from tablekit.operators.windows import row_number
+
+TOP_ROWS = 100_000
 
 
 def sort(df: DataFrame, by: list[str]) -> DataFrame:
@@ -23,5 +27,13 @@ def top_k(df: DataFrame, group: list[str], aggs: list[Column], by: list[str], k:
 
 
 def page(df: DataFrame, key: list[str], size: int, number: int) -> DataFrame:
-    """Page ``number`` (from 0) of a keyed order."""
-    return df.orderBy(*sort_columns(key)).offset(size * number).limit(size)
+    """Page ``number`` (from 0) of a keyed order.
+
+    Early pages keep a bounded number of rows per task. Late ones number the rows in key
+    slices instead, because an offset would bring all skipped rows to one task.
+    """
+    first = size * number
+    if first + size <= TOP_ROWS:
+        return df.orderBy(*sort_columns(key)).offset(first).limit(size)
+    placed = row_number(df, [], key, "__at")
+    return placed.filter((F.col("__at") > first) & (F.col("__at") <= first + size)).drop("__at")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.functions.exprs import surrogate_key
-from tablekit.operators.windows import lag_lead
+from tablekit.operators.slices import slice_hot_keys
+from tablekit.operators.windows import neighbours
 
 
 def type2_from_changes(
@@ -18,12 +19,13 @@ def type2_from_changes(
     ``valid_to``, ``is_current`` and a hash ``version_id``.
     """
     at = ts or order[0]
-    values = rows.withColumn("__v", F.struct(*tracked))
+    values = slice_hot_keys(rows.withColumn("__v", F.struct(*tracked)), key, order)
     # a struct is never NULL, so a NULL neighbour means the first row of the key
-    before = lag_lead(values, key, order, lags={"__before": ("__v", 1)})
-    starts = before.filter(~F.col("__v").eqNullSafe(F.col("__before")))
-    ended = lag_lead(starts, key, order, leads={"__until": (at, 1)})
-    return ended.select(
+    before = neighbours(values, {"__before": ("__v", 1)}, {})
+    # leaving rows out does not move the others to another slice
+    starts = before.on(before.df.filter(~F.col("__v").eqNullSafe(F.col("__before"))))
+    ended = neighbours(starts, {}, {"__until": (at, 1)})
+    return ended.df.select(
         *key,
         *tracked,
         F.col(at).alias("valid_from"),

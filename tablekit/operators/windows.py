@@ -11,22 +11,23 @@ from tablekit.operators.slices import SLICE, Sliced, order_names, slice_hot_keys
 
 def row_number(df: DataFrame, part: list[str], order: list[str], name: str = "row_number") -> DataFrame:
     """1..n inside each partition; ``order`` must be total to be repeatable."""
-    return _numbered(slice_hot_keys(df, part, order), F.row_number(), name).done()
+    return numbered(slice_hot_keys(df, part, order), F.row_number(), name).done()
 
 
 def rank(df: DataFrame, part: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """Rank with gaps after ties. Ties share their order values, hence their slice."""
-    return _numbered(slice_hot_keys(df, part, order), F.rank(), name).done()
+    return numbered(slice_hot_keys(df, part, order), F.rank(), name).done()
 
 
 def dense_rank(df: DataFrame, part: list[str], order: list[str], name: str = "dense_rank") -> DataFrame:
     """Rank without gaps: distinct order values of the slices before are added."""
     sliced = slice_hot_keys(df, part, order)
     values = F.count_distinct(F.struct(*order_names(order)))
-    return _numbered(sliced, F.dense_rank(), name, values).done()
+    return numbered(sliced, F.dense_rank(), name, values).done()
 
 
-def _numbered(sliced: Sliced, ranking: Column, name: str, per_slice: Column | None = None) -> Sliced:
+def numbered(sliced: Sliced, ranking: Column, name: str, per_slice: Column | None = None) -> Sliced:
+    """A ranking function over slices; ``per_slice`` (default: rows) is what earlier slices add to it."""
     local = sliced.df.withColumn(name, ranking.over(sliced.window()).cast("long"))
     if not sliced.split:
         return sliced.on(local)
@@ -44,10 +45,11 @@ def lag_lead(
     leads: dict[str, tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Add previous and next values: ``{new_name: (column, offset)}``; NULL at the edges."""
-    return _neighbours(slice_hot_keys(df, part, order), lags or {}, leads or {}).done()
+    return neighbours(slice_hot_keys(df, part, order), lags or {}, leads or {}).done()
 
 
-def _neighbours(sliced: Sliced, lags: dict[str, tuple[str, int]], leads: dict[str, tuple[str, int]]) -> Sliced:
+def neighbours(sliced: Sliced, lags: dict[str, tuple[str, int]], leads: dict[str, tuple[str, int]]) -> Sliced:
+    """:func:`lag_lead` over slices; several steps can share one cutting of the keys."""
     def shifted(over) -> dict[str, Column]:
         return {
             **{n: F.lag(c, k).over(over) for n, (c, k) in lags.items()},
@@ -103,10 +105,11 @@ def running(
     current row and its ties. ``rows=True`` stops at the current row itself. ``last`` is the
     latest non-NULL value so far and needs an ascending order.
     """
-    return _running(slice_hot_keys(df, part, order), aggs, rows).done()
+    return cumulate(slice_hot_keys(df, part, order), aggs, rows).done()
 
 
-def _running(sliced: Sliced, aggs: dict[str, tuple[str, str]], rows: bool) -> Sliced:
+def cumulate(sliced: Sliced, aggs: dict[str, tuple[str, str]], rows: bool) -> Sliced:
+    """:func:`running` over slices."""
     w = sliced.window()
     start = Window.unboundedPreceding
     frame = w.rowsBetween(start, 0) if rows else w.rangeBetween(start, 0)
@@ -168,9 +171,9 @@ def streak_batch(df: DataFrame, key: list[str], order: list[str], cond: str, nam
     The streak is the distance to the last row that broke it, so no island of rows has to
     be gathered anywhere.
     """
-    numbered = _numbered(slice_hot_keys(df, key, order), F.row_number(), "__at")
+    placed = numbered(slice_hot_keys(df, key, order), F.row_number(), "__at")
     broke = F.when(~F.coalesce(F.expr(cond), F.lit(False)), F.col("__at"))
-    marked = numbered.on(numbered.df.withColumn("__broke", broke))
-    seen = _running(marked, {"__last": ("max", "__broke")}, rows=True)
+    marked = placed.on(placed.df.withColumn("__broke", broke))
+    seen = cumulate(marked, {"__last": ("max", "__broke")}, rows=True)
     streak = F.col("__at") - F.coalesce("__last", F.lit(0))
     return seen.on(seen.df.withColumn(name, streak)).done("__at", "__broke", "__last")

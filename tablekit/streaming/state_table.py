@@ -59,8 +59,18 @@ class StateTable:
     def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """``merge(old_state, batch)`` on the buckets the batch touches.
 
-        ``batch`` should be materialised or cheap: its buckets are listed first.
+        The batch is kept while it is used, so a stateful stream behind it runs once.
         """
+        mine = not batch.is_cached
+        if mine:
+            batch.persist()
+        try:
+            self._apply(batch, batch_id, merge)
+        finally:
+            if mine:
+                batch.unpersist()
+
+    def _apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         spark = batch.sparkSession
         # at most one row per bucket
         touched = [r[BUCKET] for r in batch.select(self.bucket().alias(BUCKET)).distinct().collect()]

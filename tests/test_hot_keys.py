@@ -179,3 +179,11 @@ def test_retention_by_bytes(table, cut_small):
     for group in in_order([r for r in make_rows() if r[1]], [1, 4]).values():
         want |= {r[4] for r in group[-(100 // 7):]}
     assert {r["id"] for r in kept.collect()} == want
+
+
+def test_late_pages_equal_early_ones(table, cut_small, monkeypatch):
+    from tablekit.operators import order
+
+    early = [r["id"] for r in order.page(table, ["id"], 25, 7).collect()]
+    monkeypatch.setattr(order, "TOP_ROWS", 10)
+    assert sorted(r["id"] for r in order.page(table, ["id"], 25, 7).collect()) == sorted(early) == list(range(175, 200))
