@@ -14,9 +14,9 @@ from tablekit.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
     session = local_session(
-        4,
+        8,
         "4g",
-        **{"spark.sql.warehouse.dir": f"{root}/warehouse", "spark.checkpoint.dir": f"{root}/shared"},
+        **{"spark.sql.shuffle.partitions": "2", "spark.sql.warehouse.dir": f"{root}/warehouse", "spark.checkpoint.dir": f"{root}/shared"},
     )
     yield session
     session.stop()
