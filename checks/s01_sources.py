@@ -275,10 +275,10 @@ def read_files(t):
 
 def _drifting(t) -> str:
     """JSON lines in which some rows have a new field and some a value of the wrong type."""
-    value = F.when(F.col("event_id") % 7 == 0, F.lit("bad")).otherwise(F.col("user_id").cast("string"))
+    user = F.when(F.col("event_id") % 7 == 0, F.lit('"bad"')).otherwise(F.col("user_id").cast("string"))
     line = F.concat(
         F.lit('{"event_id":'), F.col("event_id").cast("string"),
-        F.lit(',"user_id":'), F.when(F.col("event_id") % 7 == 0, F.lit('"bad"')).otherwise(value),
+        F.lit(',"user_id":'), user,
         F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"event_type":"'), F.col("event_type"), F.lit('"'))).otherwise(""),
         F.lit("}"),
     )
