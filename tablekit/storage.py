@@ -6,7 +6,6 @@ disks, HDFS and object stores.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +14,9 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only in local mode."""
+    """The shared folder the session names, or else one beside the tables of its warehouse."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tablekit-")
-    raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
