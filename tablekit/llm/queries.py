@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, secrets, warc
+from tablekit.llm import bpe, decontaminate, jaccard, secrets, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -111,3 +111,36 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+ORACLE_2 = f"""
+    with recursive d as (
+        select doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') as w from documents
+    ),
+    s as (
+        select distinct doc_id, w[i:i + 2] as s
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from d where len(w) > 0)
+    ),
+    n as (select doc_id, count(*) as n from s group by 1),
+    prints as (select doc_id, n, min(doc_id) over (partition by p) as first from (select doc_id, count(*) as n, md5(string_agg(s::varchar, '|' order by s)) as p from s group by 1)),
+    r as (select s.* from s join prints using (doc_id) where first = doc_id),
+    common as (select s from r group by 1 having count(*) > 1),
+    rc as (select r.* from r join common using (s)),
+    pairs as (
+        select a.doc_id as a, b.doc_id as b, count(*) as agree
+        from rc a join rc b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+    ),
+    links as (
+        select a, b from pairs join n na on na.doc_id = a join n nb on nb.doc_id = b where agree * 100 >= (na.n + nb.n - agree) * 90
+    ),
+    edges as (select a, b from links union select b, a from links),
+    reach as (select doc_id as a, doc_id as b from prints where first = doc_id union select reach.a, edges.b from reach join edges on reach.b = edges.a),
+    c as (select a, min(b) as component from reach group by 1)
+    select d.doc_id, coalesce(prints.n, 0)::bigint as n_shingles, coalesce(component, d.doc_id) as component_id
+    from d left join prints using (doc_id) left join c on c.a = prints.first
+    """
+
+
+@query("op2_jaccard_join", ORACLE_2)
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
