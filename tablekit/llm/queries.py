@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, jaccard, secrets, warc
+from tablekit.llm import bpe, decontaminate, jaccard, language, secrets, vectors, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -144,3 +144,31 @@ ORACLE_2 = f"""
 @query("op2_jaccard_join", ORACLE_2)
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+@query(
+    "op4_embedding_near_dup",
+    """
+    with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+    n as (select vec_id, e, sqrt(list_dot_product(e, e)) as norm from v),
+    links as (
+        select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id
+        where a.norm > 0 and b.norm > 0 and list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+    ),
+    counts as (select a, count(*) as n_links from links group by 1),
+    reach as (select vec_id as a, vec_id as b from v union select reach.a, links.b from reach join links on reach.b = links.a),
+    c as (select a, min(b) as component_id from reach group by 1)
+    select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+    from v join c on c.a = vec_id left join counts on counts.a = vec_id
+    """,
+)
+def op4_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.remainder("doc_id") == 1
+    prototypes = language.learn(docs.where(~held_out))
+    return language.predict(docs, prototypes).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
