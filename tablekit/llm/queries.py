@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, jaccard, language, secrets, vectors, warc
+from tablekit.llm import bpe, decontaminate, jaccard, language, secrets, tokens, urls, vectors, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +173,42 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.remainder("doc_id") == 1
     prototypes = language.learn(docs.where(~held_out))
     return language.predict(docs, prototypes).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counts(table(spark, sf_dir, "documents"), tokens.read_pieces(PIECES))
+
+
+RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query(
+    "op10_url_filter",
+    """
+    with u as (select page_id, case when strpos(coalesce(url, ''), '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+    p as (
+        select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u
+    ),
+    r(rule_host, rule_path, rule_verdict) as (
+        values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+    ),
+    f as (
+        select page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule, arg_max(rule_verdict, length(rule_host || rule_path)) as rule_verdict
+        from p join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by 1
+    ),
+    j as (select p.*, rule, rule_verdict from p left join f using (page_id)),
+    b as (select host from j group by 1 having count(*) filter (rule_verdict = 'block') > count(*) filter (rule_verdict = 'allow'))
+    select page_id, j.host, path, rule, coalesce(rule_verdict, case when b.host is null then 'allow' else 'block' end) as verdict
+    from j left join b on j.host = b.host
+    """,
+)
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
