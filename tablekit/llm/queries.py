@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, jaccard, language, secrets, tokens, urls, vectors, warc
+from tablekit.llm import bpe, decontaminate, jaccard, language, licenses, secrets, tokens, urls, vectors, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -212,3 +212,37 @@ RULES = [
 )
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def _oracle_3() -> str:
+    rows = ", ".join(f"('{name}', [{', '.join(repr(g) for g in licenses.bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
+    return f"""
+    with t(license, grams) as (values {rows}),
+    l as (select doc_id, string_split(lower(coalesce(text, '')), chr(10)) as lines from documents),
+    u as (select doc_id, unnest(lines) as unit from l union all select doc_id, array_to_string(lines, ' ') from l where len(lines) > 1),
+    w as (select doc_id, string_split(trim(regexp_replace(unit, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as w from u),
+    g as (
+        select doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g from w where len(w) > 1
+    ),
+    m as (
+        select doc_id, license, 2.0::double * len(list_intersect(g, grams)) / (len(g) + len(grams)) as dice from g, t
+    ),
+    best as (
+        select doc_id, count(*) as n_matches, max(dice) as dice from m where dice >= {licenses.LEAST} group by 1
+    ),
+    named as (select doc_id, min(license) as license from m join best using (doc_id, dice) group by 1)
+    select doc_id, license, coalesce(dice, 0)::double as dice, coalesce(n_matches, 0)::bigint as n_matches
+    from documents left join best using (doc_id) left join named using (doc_id)
+    """
+
+
+@query("op3_license_scan", _oracle_3())
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    best = F.get("matches", F.lit(0))
+    return found.select(
+        "doc_id",
+        best["license"].alias("license"),
+        F.coalesce(best["dice"], F.lit(0.0)).alias("dice"),
+        F.size("matches").cast("long").alias("n_matches"),
+    )
