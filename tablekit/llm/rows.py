@@ -21,7 +21,7 @@ def text_bytes(name: str) -> Column:
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with at most SLICE_BYTES in a binary column, or one row."""
-    lengths = [0 if v is None else len(v.as_buffer()) for v in batch.column(column)]
+    lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)]
     start = total = 0
     for i, n in enumerate(lengths):
         if i > start and (total + n > SLICE_BYTES or i - start >= SLICE_ROWS):
