@@ -42,7 +42,7 @@ class Tables:
 
 def fixed(sql: str, digits: int) -> str:
     """Half-up rounding of a double, as ``stable_round`` does it."""
-    return f"round(cast({sql} as decimal(38,{digits + 5})), {digits})::double"
+    return f"round(cast({sql} as decimal(38,{digits + 6})), {digits})::double"
 
 
 def with_views(sql: str, views: tuple[str, ...]) -> str:

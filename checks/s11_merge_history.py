@@ -20,7 +20,7 @@ def newest(where: str, cols: str = "k, state, amount") -> str:
 
 
 T10 = newest("version <= 10") + " and op <> 'D'"
-SRC = newest("version between 11 and 15", "k, state, amount, op, commit_ts")
+SRC = newest("version > 10", "k, state, amount, op, commit_ts")
 
 
 def log(t):
@@ -32,7 +32,7 @@ def target(t):
 
 
 def feed(t):
-    return t.fx_changes.filter("version between 11 and 15")
+    return t.fx_changes.filter("version > 10")
 
 
 @check(
@@ -47,7 +47,7 @@ def upsert(t):
 @check(
     "s11_02_upsert_if",
     f"""with t as ({T10}), s as (select k, state, amount from (select *, row_number() over (partition by k order by amount desc) as rn
-      from fx_changes where version between 11 and 15) where rn = 1)
+      from fx_changes where version > 10) where rn = 1)
     select coalesce(t.k, s.k) as k, case when t.k is null or s.amount > t.amount then s.amount else t.amount end as amount
     from t full join s on t.k = s.k""",
     "fx_changes",
@@ -107,7 +107,7 @@ def delete(t):
 
 @check(
     "s11_08_write_disposition",
-    f"""with t as ({T10}), b as ({newest('version between 11 and 15')})
+    f"""with t as ({T10}), b as ({newest('version > 10')})
     select 'append' as how, * from t union all select 'append', * from b
     union all select 'replace', * from b
     union all select 'merge', * from t where k not in (select k from b) union all select 'merge', * from b
@@ -254,7 +254,7 @@ def type2(t):
 
 @check(
     "s11_17_type2_apply",
-    f"""with d as ({TYPE2.format(where=" where version <= 10")}), b as ({newest("version between 11 and 15", "k, state, commit_ts")}),
+    f"""with d as ({TYPE2.format(where=" where version <= 10")}), b as ({newest("version > 10", "k, state, commit_ts")}),
     m as (select d.*, b.state as new_state, b.commit_ts as closed_at from d left join b on d.k = b.k and d.is_current and d.state <> b.state)
     select k, state, valid_from, coalesce(closed_at, valid_to) as valid_to, is_current and closed_at is null as is_current from m
     union all select k, new_state, closed_at, null, true from m where closed_at is not null

@@ -130,14 +130,14 @@ def minutes_between(start: Column | str, end: Column | str, digits: int = 2) ->
 # --- numbers ----------------------------------------------------------------
 
 
-GUARD_DIGITS = 5
+GUARD_DIGITS = 6
 
 
 def stable_round(col: Column | str, digits: int) -> Column:
-    """Round half up, after taking off the float noise a distributed sum leaves.
+    """Round half up, where a value within half a unit of the sixth further digit is on the half.
 
-    The same rows added in another order differ in the last bits; rounding to a few more
-    digits first makes a value on the half land on the same side every time.
+    The same rows added in another order differ in the last bits. Without that tolerance a
+    value on the half would land on either side from run to run.
     """
     return F.round(F.round(_column(col), digits + GUARD_DIGITS), digits)
 

@@ -110,6 +110,8 @@ def point_in_time(
     are merged on one timeline per key and the last version is carried forward, so the
     work grows with facts plus versions and never with their product.
     """
+    # a version that ends when it begins holds nothing and would hide the one it ties with
+    dim = dim.filter(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
     payload = [c for c in dim.columns if c not in key]
     version = F.struct(*[F.col(c) for c in payload])
     row = F.struct(*[F.col(c) for c in fact.columns])
@@ -158,6 +160,8 @@ def interval(
     (key, step): a hot key spreads over its time range. ``a`` stays single, hence left,
     semi and anti joins work as well.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "semi", "left_semi", "leftsemi", "anti", "left_anti", "leftanti"):
+        raise ValueError("rows of b are listed twice, so only inner, left, semi and anti joins are possible")
     if set(a.columns) & set(b.columns) - set(keys):
         raise ValueError("rename the columns the two sides share, apart from the keys")
     length = F.lit(within_seconds)

@@ -18,13 +18,20 @@ from tablekit.operators.windows import latest_per_key
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Source rows replace target rows of the same key; the rest is kept or inserted.
 
-    With ``order`` only the newest source row of each key counts. NULL keys match nothing.
+    Only the newest source row of each key counts: the last by ``order``, or else the last by
+    the other columns in their sequence. NULL keys match nothing.
     """
-    newest = latest_per_key(source, keys, order) if order else source
+    newest = latest_per_key(source, keys, order or _others(source, keys))
     kept = target.join(newest.select(*keys), keys, "left_anti")
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
+def _others(df: DataFrame, keys: list[str]) -> list[str]:
+    """The columns beside the keys that can be sorted by; a map cannot."""
+    names = [c for c, kind in df.dtypes if c not in keys and "map<" not in kind]
+    return names or keys
+
+
 def upsert_if(target: DataFrame, source: DataFrame, keys: list[str], newer: str) -> DataFrame:
     """Update only where the source's ``newer`` column is greater; insert unmatched rows."""
     return general(

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tablekit.operators.slices import sort_columns
 from tablekit.operators.windows import row_number
 
-TOP_ROWS = 100_000
-
 
 def sort(df: DataFrame, by: list[str]) -> DataFrame:
     """Multi-key sort; a leading ``-`` sorts that column downwards."""
@@ -27,13 +25,23 @@ def top_k(df: DataFrame, group: list[str], aggs: list[Column], by: list[str], k:
 
 
 def page(df: DataFrame, key: list[str], size: int, number: int) -> DataFrame:
-    """Page ``number`` (from 0) of a keyed order.
-
-    Early pages keep a bounded number of rows per task. Late ones number the rows in key
-    slices instead, because an offset would bring all skipped rows to one task.
-    """
+    """Page ``number`` (from 0) of a keyed order, by the rows' numbers in that order."""
     first = size * number
-    if first + size <= TOP_ROWS:
-        return df.orderBy(*sort_columns(key)).offset(first).limit(size)
     placed = row_number(df, [], key, "__at")
     return placed.filter((F.col("__at") > first) & (F.col("__at") <= first + size)).drop("__at")
+
+
+def page_after(df: DataFrame, key: list[str], size: int, last: dict | None = None) -> DataFrame:
+    """The ``size`` rows that follow the key values ``last`` of the page before; None is the start.
+
+    Nothing is numbered: the filter reaches the scan and every task keeps ``size`` rows.
+    ``last`` holds no NULL.
+    """
+    follows = F.lit(last is None)
+    for name in reversed(key if last else []):
+        plain = name.removeprefix("-")
+        value = F.lit(last[plain]).cast(df.schema[plain].dataType)
+        # NULL is the smallest value
+        beyond = F.col(plain).isNull() | (F.col(plain) < value) if name.startswith("-") else F.col(plain) > value
+        follows = beyond | ((F.col(plain) == value) & follows)
+    return limit(df.filter(follows), key, size)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablekit.operators import rows
-from tablekit.operators.windows import latest_per_key
+from tablekit.operators.windows import latest_per_key, top_n_per_group
 
 
 class CheckFailed(Exception):
@@ -141,10 +141,18 @@ RUN_LOG_SCHEMA = (
 RUN_STATES = ["PENDING", "IN_PROGRESS", "DONE", "FAILED"]
 
 
-def run_log(log: DataFrame, entries: DataFrame) -> DataFrame:
-    """Append entries. A PENDING entry is skipped while its table already has an active run."""
-    active = latest_run(log).filter(F.col("status").isin("PENDING", "IN_PROGRESS")).select("table_name")
-    opens = entries.filter(F.col("status") == "PENDING").join(active, "table_name", "left_anti")
+# After these states a table is not opened again.
+BLOCKING_STATES = ("PENDING", "IN_PROGRESS", "DONE")
+
+
+def run_log(log: DataFrame, entries: DataFrame, blocking: tuple[str, ...] = BLOCKING_STATES) -> DataFrame:
+    """Append entries. A PENDING entry is skipped if its table's newest entry is in a blocking state.
+
+    Of several PENDING entries of one table the first enters.
+    """
+    blocked = latest_run(log).filter(F.col("status").isin(*blocking)).select("table_name")
+    pending = top_n_per_group(entries.filter(F.col("status") == "PENDING"), ["table_name"], ["logged_at", "seq"], 1)
+    opens = pending.join(blocked, "table_name", "left_anti")
     rest = entries.filter(F.col("status") != "PENDING")
     return log.unionByName(opens.unionByName(rest))
 

@@ -5,7 +5,9 @@ key holds a large share of the table that task is the job. The functions here cu
 such keys - and only those - into slices along the window order, so the window
 runs per (key, slice) and a small summary per slice carries the running state
 over the cuts. The cut points are samples of the data; any cut points give the
-same result, they only decide how even the slices are.
+same result, they only decide how even the slices are. Sizes and cuts are tables
+of their own, joined with the rows, so neither their number nor that of the hot
+keys is limited.
 
 Orders are lists of column names; a leading ``-`` means descending. NULL counts
 as the smallest value, as in Spark's default ordering.
@@ -17,19 +19,17 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-from tablekit.storage import plan_bytes
+from tablekit.storage import cut_lineage
 
 ROWS_PER_SLICE = 5_000_000
 ROWS_CONF = "tablekit.rowsPerSlice"
-MAX_HOT_KEYS = 1_000
-MAX_SLICES = 4_096
 SAMPLES_PER_CUT = 24
+#: Cuts that a row is compared with at once; more cuts take more levels of a search tree.
+FAN_OUT = 64
 
 SLICE = "__slice"
-_CUTS = "__cuts"
 _ROWS = "__rows"
 
 
@@ -41,48 +41,19 @@ def order_names(order: list[str]) -> list[str]:
     return [n.removeprefix("-") for n in order]
 
 
-def _descending_terms(col: Column, dtype: T.DataType) -> tuple[list[Column], bool]:
-    """Ascending stand-ins for a descending column; False if ties may be coarser."""
-    null_last = F.isnull(col).cast("int")
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        nan_first = F.when(F.isnan(col), 0).otherwise(1)
-        return [null_last, nan_first, -F.nanvl(col, F.lit(0.0))], True
-    if isinstance(dtype, T.DecimalType):
-        return [null_last, -col], True
-    if isinstance(dtype, T.IntegralType):
-        return [null_last, F.bitwise_not(col.cast("long"))], True
-    if isinstance(dtype, T.BooleanType):
-        return [null_last, -col.cast("int")], True
-    if isinstance(dtype, T.DateType):
-        return [null_last, -F.unix_date(col)], True
-    if isinstance(dtype, T.TimestampType):
-        return [null_last, -F.unix_micros(col)], True
-    if isinstance(dtype, T.TimestampNTZType):
-        # hour/minute/second of a zone-less timestamp never pass through the session zone
-        day = F.unix_date(col.cast("date")).cast("long") * F.lit(86_400_000_000)
-        clock = (F.hour(col) * 3600 + F.minute(col) * 60).cast("long") * F.lit(1_000_000)
-        micros = (F.date_part(F.lit("SECOND"), col) * F.lit(1_000_000)).cast("long")
-        return [null_last, -(day + clock + micros)], True
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 7)), 14, "0")
-        return [null_last, -F.conv(head, 16, 10).cast("long")], False
-    raise TypeError(f"cannot order by {dtype.simpleString()} descending")
-
-
-def _order_struct(df: DataFrame, order: list[str]) -> Column:
-    """A struct that compares (weakly) the way the order does."""
-    terms: list[Column] = []
-    for name in order:
-        plain = name.removeprefix("-")
-        dtype = df.schema[plain].dataType
-        if not name.startswith("-"):
-            terms.append(F.col(plain))
-            continue
-        extra, exact = _descending_terms(F.col(plain), dtype)
-        terms += extra
-        if not exact:
-            break
-    return F.struct(*[t.alias(f"o{i}") for i, t in enumerate(terms)])
+def _before(a: Column, b: Column, down: bool) -> Column:
+    """Whether ``a`` sorts strictly before ``b``; NULL is the smallest value."""
+    small, large = (b, a) if down else (a, b)
+    return (small.isNull() & large.isNotNull()) | F.coalesce(small < large, F.lit(False))
+
+
+def _not_after(cut: Column, order: list[str]) -> Column:
+    """Whether a cut's values ``o0, o1, ...`` sort before those of the row or equal them."""
+    result = F.lit(True)
+    for i, name in reversed(list(enumerate(order))):
+        down, mine, its = name.startswith("-"), F.col(name.removeprefix("-")), cut[f"o{i}"]
+        result = F.when(_before(its, mine, down), True).when(_before(mine, its, down), False).otherwise(result)
+    return result
 
 
 @dataclass(frozen=True)
@@ -111,8 +82,7 @@ class Sliced:
     def carry(self, totals: dict[str, Column], combine: dict[str, Column]) -> DataFrame:
         """One row per hot (key, slice): state of all slices before it.
 
-        ``totals`` summarises a slice, ``combine`` folds the summaries. The result has
-        at most MAX_SLICES + MAX_HOT_KEYS rows, which is what makes it broadcastable.
+        ``totals`` summarises a slice, ``combine`` folds the summaries.
         """
         per_slice = self.hot().groupBy(*self.keys, SLICE).agg(
             *[c.alias(n) for n, c in totals.items()]
@@ -131,84 +101,62 @@ class Sliced:
         on = F.lit(True)
         for c in names:
             on = on & F.col(c).eqNullSafe(F.col(f"__c_{c}"))
-        return df.join(F.broadcast(side), on, "left").drop(*[f"__c_{c}" for c in names])
+        return df.join(side, on, "left").drop(*[f"__c_{c}" for c in names])
 
 
 def _rows_per_slice(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_CONF, str(ROWS_PER_SLICE)))
 
 
+def _same_keys(keys: list[str]) -> Column:
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return on
+
+
+def _cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
+    """Numbered cut values of each hot key: at least one, and about one per ``limit`` rows."""
+    named = [f"__k{i}" for i in range(len(keys))]
+    values = F.struct(*[F.col(n).alias(f"o{i}") for i, n in enumerate(order_names(order))])
+    picked = df.filter(F.rand(17) < F.lit(SAMPLES_PER_CUT / limit)).join(hot, _same_keys(keys))
+    whole = Window.partitionBy(*named)
+    ranked = picked.select(
+        *named,
+        _ROWS,
+        values.alias("__o"),
+        F.row_number().over(whole.orderBy(*sort_columns(order))).alias("__at"),
+        F.count(F.lit(1)).over(whole).alias("__n"),
+    )
+    slices = F.ceil(F.col(_ROWS) / F.lit(limit))
+    step = F.greatest(F.lit(1), F.floor(F.col("__n") / slices))
+    number = F.floor(F.col("__at") / step)
+    return ranked.filter((F.col("__at") % step == 0) & (number < slices)).select(*named, number.alias("__no"), "__o")
+
+
 def slice_hot_keys(df: DataFrame, keys: list[str], order: list[str]) -> Sliced:
     """Find the keys above the row limit and cut them along ``order``."""
     limit = _rows_per_slice(df)
-    if plan_bytes(df) < limit:
-        # less than a byte per row of the limit: no key can be worth cutting
-        return Sliced(df, keys, order, split=False)
-    sizes = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > limit)
-    )
-    # at most total/limit keys can pass the filter; beyond the cap the largest are cut
-    hot = sizes.orderBy(F.desc(_ROWS)).limit(MAX_HOT_KEYS).collect()
-    if not hot:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > limit)
+    if sizes.isEmpty():
         return Sliced(df, keys, order, split=False)
-
-    spark = df.sparkSession
-    wanted = sum(-(-r[_ROWS] // limit) for r in hot)
-    per_slice = limit * max(1.0, wanted / MAX_SLICES)
-    term = _order_struct(df, order)
-    hot_rows = [(*r[:-1], float(r[_ROWS])) for r in hot]
-    fields = [T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    hot_df = spark.createDataFrame(hot_rows, T.StructType([*fields, T.StructField(_ROWS, T.DoubleType())]))
-
-    def matched(side: DataFrame, how: str) -> DataFrame:
-        if not keys:
-            return df
-        on = F.lit(True)
-        for i, k in enumerate(keys):
-            on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        return df.join(F.broadcast(side), on, how)
-
-    # about SAMPLES_PER_CUT order values per slice: bounded by MAX_SLICES whatever the table
-    rate = F.lit(SAMPLES_PER_CUT / per_slice)
-    key_names = [f"__k{i}" for i in range(len(keys))]
-    picked = (
-        matched(hot_df, "inner")
-        .filter(F.rand(17) < rate)
-        .select(*(F.col(n) for n in key_names), term.alias("__o"))
-    )
-    cuts = (
-        picked.groupBy(*key_names)
-        .agg(F.array_sort(F.collect_list("__o")).alias("__s"))
-        .withColumn("__n", F.floor(F.size("__s") / F.lit(SAMPLES_PER_CUT)).cast("int"))
-        .filter("__n > 1")
-        .withColumn("__i", F.expr("sequence(1, __n - 1)"))
-        .withColumn("__s", F.expr(f"transform(__i, i -> __s[i * {SAMPLES_PER_CUT}])"))
-        .select(*key_names, F.array_distinct("__s").alias("__s"))
-    )
-    found = spark.createDataFrame(cuts.collect(), cuts.schema)
-    width = max(1, int(MAX_SLICES**0.5))
-    # two levels, so a row compares with ~2*sqrt(cuts) values and not with all of them
-    groups = F.expr(
-        f"transform(sequence(0, (size(__s) - 1) div {width}), "
-        f"g -> struct(__s[g * {width}] as lo, slice(__s, cast(g * {width} + 1 as int), {width}) as fine))"
-    )
-    found = found.select(*key_names, groups.alias(_CUTS))
-
-    if keys:
-        marked = matched(found, "left").drop(*key_names)
-    else:
-        marked = df.withColumn(_CUTS, found.select(_CUTS).scalar())
-    coarse = F.filter(F.col(_CUTS), lambda g: g["lo"] <= F.col("__o"))
-    fine = F.filter(F.element_at(F.col("__coarse"), -1)["fine"], lambda v: v <= F.col("__o"))
-    number = (
-        F.when(F.col(_CUTS).isNull(), -1)
-        .when(F.size("__coarse") == 0, 0)
-        .otherwise((F.size("__coarse") - 1) * width + F.size(fine))
-    )
-    out = (
-        marked.withColumn("__o", term)
-        .withColumn("__coarse", coarse)
-        .withColumn(SLICE, number)
-        .drop("__o", "__coarse", _CUTS)
-    )
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    hot = cut_lineage(sizes.select(*named, _ROWS), "hot-keys")
+    cuts = cut_lineage(_cuts(df, hot, keys, order, limit), "cuts")
+
+    # a search tree: on each level a row meets the cuts between two of the level above
+    columns = [f"__k{i}" for i in range(len(keys))]
+    most = cuts.agg(F.max("__no")).first()[0] or 0
+    out = df.join(hot.select(*columns, F.lit(0).cast("long").alias(SLICE)), _same_keys(keys), "left").drop(*columns)
+    out = out.withColumn(SLICE, F.coalesce(SLICE, F.lit(-1)))
+    width = 1
+    while width * FAN_OUT <= most:
+        width *= FAN_OUT
+    while width:
+        level = cuts.filter(F.col("__no") % width == 0).withColumn("__no", F.expr(f"__no div {width}"))
+        level = level.filter(F.col("__no") % FAN_OUT != 0).groupBy(*columns, F.expr(f"__no div {FAN_OUT}").alias("__under")).agg(F.collect_list("__o").alias("__cuts"))
+        passed = F.size(F.filter(F.coalesce("__cuts", F.array().cast(level.schema["__cuts"].dataType)), lambda c: _not_after(c, order)))
+        out = out.join(level, _same_keys(keys) & (F.col(SLICE) == F.col("__under")), "left")
+        out = out.withColumn(SLICE, F.when(F.col(SLICE) >= 0, F.col(SLICE) * FAN_OUT + passed).otherwise(-1)).drop(*columns, "__under", "__cuts")
+        width //= FAN_OUT
     return Sliced(out, keys, order, split=True)

@@ -49,6 +49,27 @@ def make_parent(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target.getParent())
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written beside its place, then renamed."""
+    staged = f"{path}.tmp-{uuid.uuid4().hex}"
+    make_parent(spark, path)
+    fs, target = hadoop_path(spark, staged)
+    out = fs.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    delete(spark, path)
+    rename(spark, staged, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = hadoop_path(spark, path)
+    source = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = hadoop_path(spark, source)
     if not fs.rename(source_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
@@ -83,15 +104,27 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def move_directories(spark: SparkSession, staged: str, path: str, chosen) -> None:
-    """Replace the chosen partition directories of ``path`` by those of ``staged``."""
+    """Replace the chosen partition directories of ``path`` by those of ``staged``.
+
+    The old ones are moved aside and go last; if a move fails, they are put back.
+    """
     fs, target = hadoop_path(spark, path)
     fs.mkdirs(target)
-    for name in child_names(spark, path):
-        if chosen(name):
-            delete(spark, f"{path}/{name}")
-    for name in child_names(spark, staged):
-        if chosen(name):
-            rename(spark, f"{staged}/{name}", f"{path}/{name}")
+    aside = f"{path}.old-{uuid.uuid4().hex}"
+    fs.mkdirs(hadoop_path(spark, aside)[1])
+    old = [name for name in child_names(spark, path) if chosen(name)]
+    new = [name for name in child_names(spark, staged) if chosen(name)]
+    moved: list[tuple[str, str]] = []
+    try:
+        for source, goal, names in ((path, aside, old), (staged, path, new)):
+            for name in names:
+                rename(spark, f"{source}/{name}", f"{goal}/{name}")
+                moved.append((f"{goal}/{name}", f"{source}/{name}"))
+    except Exception:
+        for now, before in reversed(moved):
+            rename(spark, now, before)
+        raise
+    delete(spark, aside)
     delete(spark, staged)
 
 

@@ -1,13 +1,19 @@
 """A latest-state table that micro-batches are merged into.
 
-Layout: ``path/state_bucket=<hash bucket>/state_version=<batch id>``. A batch rewrites only the buckets its
-keys fall into, from the newest version below its own id, so a batch that is delivered
-again after a failure recomputes the same directories and loses nothing. The version before
-the newest is kept until the next write to that bucket.
+Layout: ``path/state_bucket=<hash bucket>/state_version=<batch id>``, and one commit file per
+batch in ``path/_commits``. A batch rewrites only the buckets its keys fall into, from the
+newest committed state below its own id, so a batch that is delivered again after a failure
+recomputes the same directories and loses nothing. The commit file names the version of every
+bucket and is written after the data: readers see a batch whole or not at all, and a bucket
+that a batch left empty stays empty. The state before the newest commit is kept.
+
+``buckets`` fixes how finely a batch can touch the table; it belongs to the table and is
+chosen for its expected size, so that one bucket is a few tasks' work.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,31 +36,30 @@ class StateTable:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def versions(self, spark: SparkSession, below: int | None = None) -> dict[int, list[int]]:
-        """Versions of each bucket, oldest first. At most a few directories per bucket."""
-        found: dict[int, list[int]] = {}
-        for name in storage.child_names(spark, self.path):
-            if not name.startswith(f"{BUCKET}="):
-                continue
-            numbers = [
-                int(v.removeprefix(f"{VERSION}="))
-                for v in storage.child_names(spark, f"{self.path}/{name}")
-                if v.startswith(f"{VERSION}=")
-            ]
-            kept = sorted(n for n in numbers if below is None or n < below)
-            if kept:
-                found[int(name.removeprefix(f"{BUCKET}="))] = kept
-        return found
+    def commits(self, spark: SparkSession, below: int | None = None) -> list[int]:
+        """Ids of the batches that are in the table, oldest first."""
+        names = storage.child_names(spark, f"{self.path}/_commits")
+        ids = sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+        return [i for i in ids if below is None or i < below]
+
+    def versions(self, spark: SparkSession, below: int | None = None) -> dict[int, int]:
+        """The version of each bucket after the newest commit."""
+        known = self.commits(spark, below)
+        if not known:
+            return {}
+        held = json.loads(storage.read_text(spark, f"{self.path}/_commits/{known[-1]}.json"))
+        return {int(b): v for b, v in held.items()}
 
     def _directory(self, bucket: int, version: int) -> str:
         return f"{self.path}/{BUCKET}={bucket}/{VERSION}={version}"
 
     def read(self, spark: SparkSession, only: list[int] | None = None, below: int | None = None) -> DataFrame:
         """The newest version of every bucket, or of the chosen ones."""
-        newest = {b: v[-1] for b, v in self.versions(spark, below).items() if only is None or b in only}
-        if not newest:
+        newest = {b: v for b, v in self.versions(spark, below).items() if only is None or b in only}
+        found = [d for d in (self._directory(b, v) for b, v in newest.items()) if storage.exists(spark, d)]
+        if not found:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*[self._directory(b, v) for b, v in newest.items()])
+        return spark.read.schema(self.schema).parquet(*found)
 
     def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """``merge(old_state, batch)`` on the buckets the batch touches.
@@ -76,6 +81,9 @@ class StateTable:
         touched = [r[BUCKET] for r in batch.select(self.bucket().alias(BUCKET)).distinct().collect()]
         if not touched:
             return
+        before = self.versions(spark, below=batch_id)
+        for bucket in touched:  # what an earlier try of this batch left
+            storage.delete(spark, self._directory(bucket, batch_id))
         merged = merge(self.read(spark, touched, below=batch_id), batch)
         stamped = merged.select(*self.schema.names).withColumns({BUCKET: self.bucket(), VERSION: F.lit(batch_id)})
         (
@@ -84,10 +92,17 @@ class StateTable:
             .partitionBy(BUCKET, VERSION)
             .parquet(self.path)
         )
-        self._drop_superseded(spark, touched, batch_id)
-
-    def _drop_superseded(self, spark: SparkSession, touched: list[int], batch_id: int) -> None:
-        older = self.versions(spark, below=batch_id)
-        for bucket in touched:
-            for version in older.get(bucket, [])[:-1]:
-                storage.delete(spark, self._directory(bucket, version))
+        self._commit(spark, before | dict.fromkeys(touched, batch_id), batch_id)
+
+    def _commit(self, spark: SparkSession, versions: dict[int, int], batch_id: int) -> None:
+        storage.write_text(spark, f"{self.path}/_commits/{batch_id}.json", json.dumps(versions))
+        known = self.commits(spark, below=batch_id)
+        for old in known[:-1]:
+            storage.delete(spark, f"{self.path}/_commits/{old}.json")
+        # the last two commits keep their directories
+        needed = set(versions.items()) | set(self.versions(spark, below=batch_id).items())
+        for bucket in versions:
+            for name in storage.child_names(spark, f"{self.path}/{BUCKET}={bucket}"):
+                version = int(name.removeprefix(f"{VERSION}=")) if name.startswith(f"{VERSION}=") else None
+                if version is not None and version < batch_id and (bucket, version) not in needed:
+                    storage.delete(spark, self._directory(bucket, version))

@@ -97,8 +97,9 @@ def streak(
     is dropped, by the clock (``processing``) or by the watermark (``event``; the first
     order column carries it). A stream that is to end by itself needs ``event`` or ``none``:
     by the clock there is always another batch to wait for. ``order`` are up to two sortable columns (time first); rows of a batch are
-    taken in that order. Only the two order numbers and the condition of a row reach Python,
-    chunk by chunk, and of those only rows after the last break are held.
+    taken in that order. A row that comes in a later batch than a row after it in that order is
+    late: it is left out, for the rows it would part are no longer there. Only the two order
+    numbers and the condition of a row reach Python, chunk by chunk.
     """
     time = F.col(order[0])
     at = F.unix_micros(time.cast("timestamp")).alias("__t")
@@ -112,31 +113,38 @@ def streak(
         if state.hasTimedOut:
             state.remove()
             return
-        length = state.get[0] if state.exists else 0
-        broken: tuple[int, int] | None = None
-        t_held, i_held = np.empty(0, "int64"), np.empty(0, "int64")
+        length, seen = (state.get[0], state.get[1:]) if state.exists else (0, None)
+        broken, last = None, seen
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         newest_ms = 0
         for chunk in chunks:
             t, i, ok = (chunk[c].to_numpy() for c in ("__t", "__i", "__ok"))
             newest_ms = max(newest_ms, int(t.max()) // 1000)
-            bad_t, bad_i = t[~ok], i[~ok]
-            if len(bad_t):
-                newest = bad_t.max()
-                candidate = (newest, bad_i[bad_t == newest].max())
-                broken = candidate if broken is None else max(broken, candidate)
-            t_held, i_held = np.concatenate([t_held, t[ok]]), np.concatenate([i_held, i[ok]])
-            if broken is not None:
-                after = (t_held > broken[0]) | ((t_held == broken[0]) & (i_held > broken[1]))
-                t_held, i_held = t_held[after], i_held[after]
-        length = len(t_held) + (length if broken is None else 0)
-        state.update((length,))
+            if seen is not None:
+                fresh = (t > seen[0]) | ((t == seen[0]) & (i > seen[1]))
+                t, i, ok = t[fresh], i[fresh], ok[fresh]
+            if not len(t):
+                continue
+            last = max(last or _newest(t, i), _newest(t, i))
+            if not ok.all():
+                broken = max(broken or _newest(t[~ok], i[~ok]), _newest(t[~ok], i[~ok]))
+            held.append((t[ok], i[ok]))
+        after = sum(len(t) if broken is None else int(((t > broken[0]) | ((t == broken[0]) & (i > broken[1]))).sum()) for t, i in held)
+        length = after + (length if broken is None else 0)
+        state.update((length, *last))
         if timeout == "processing":
             state.setTimeoutDuration(timeout_ms)
         elif timeout == "event":
             state.setTimeoutTimestamp(max(newest_ms, state.getCurrentWatermarkMs()) + timeout_ms)
         yield pd.DataFrame({key: [k[0]], name: [length]})
 
-    return grouped_state(slim, [key], advance, out, "streak LONG", timeout)
+    return grouped_state(slim, [key], advance, out, "streak LONG, at LONG, tie LONG", timeout)
+
+
+def _newest(t: np.ndarray, i: np.ndarray) -> tuple[int, int]:
+    """The last (time, tie) of some rows."""
+    latest = t.max()
+    return int(latest), int(i[t == latest].max())
 
 
 _TIMEOUTS = {

@@ -181,9 +181,44 @@ def test_retention_by_bytes(table, cut_small):
     assert {r["id"] for r in kept.collect()} == want
 
 
-def test_late_pages_equal_early_ones(table, cut_small, monkeypatch):
+def test_pages_by_number_and_by_last_key(table, cut_small):
     from tablekit.operators import order
 
-    early = [r["id"] for r in order.page(table, ["id"], 25, 7).collect()]
-    monkeypatch.setattr(order, "TOP_ROWS", 10)
-    assert sorted(r["id"] for r in order.page(table, ["id"], 25, 7).collect()) == sorted(early) == list(range(175, 200))
+    want = list(range(175, 200))
+    assert sorted(r["id"] for r in order.page(table, ["id"], 25, 7).collect()) == want
+    assert [r["id"] for r in order.page_after(table, ["id"], 25, {"id": 174}).collect()] == want
+    assert [r["id"] for r in order.page_after(table, ["id"], 3).collect()] == [0, 1, 2]
+    by_two = [(r["v"], r["id"]) for r in table.filter("v is not null").orderBy(F.desc("v"), "id").collect()]
+    after = dict(zip(["v", "id"], by_two[40], strict=True))
+    assert [(r["v"], r["id"]) for r in order.page_after(table, ["-v", "id"], 10, after).collect()] == by_two[41:51]
+
+
+@pytest.mark.parametrize("order", [["-u", "id"], ["u", "-id"], ["-b", "-u"]])
+def test_slices_follow_whole_values(spark, cut_small, order):
+    rows = [("hot", f"https://example.org/a/long/path/{i:05d}", bytes([i % 7]), i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k STRING, u STRING, b BINARY, id BIGINT").repartition(4)
+    sizes = [r["count"] for r in slice_hot_keys(df, ["k"], order).df.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 100 and len(sizes) > 20
+    got = result(windows.row_number(df, ["k"], order), "row_number")
+    down = {n[1:]: True for n in order if n.startswith("-")}
+    ranked = sorted(rows, key=lambda r: r[3], reverse="id" in down)
+    place = {"u": 1, "b": 2, "id": 3}
+    for name in reversed(order):
+        plain = name.removeprefix("-")
+        ranked.sort(key=lambda r, c=place[plain]: r[c], reverse=plain in down)
+    assert got == {r[3]: (i,) for i, r in enumerate(ranked, 1)}
+
+
+def test_many_hot_keys_and_those_just_over_the_limit(spark, cut_small):
+    df = spark.range(1500 * 30).select((F.col("id") % 1500).alias("k"), "id")
+    sizes = slice_hot_keys(df, ["k"], ["id"]).df.groupBy("k", SLICE).count()
+    worst = sizes.agg(F.max("count"), F.count("*"), F.min(SLICE)).first()
+    assert worst[0] < 30 and worst[1] >= 2800 and worst[2] == 0
+
+
+def test_more_cuts_than_one_level_of_the_tree(spark, cut_small):
+    df = spark.range(6000).select(F.lit("one").alias("k"), "id").repartition(3)
+    sliced = slice_hot_keys(df, ["k"], ["id"])
+    assert sliced.df.select(SLICE).distinct().count() > 200
+    numbered = windows.row_number(df, ["k"], ["id"])
+    assert numbered.filter(F.col("row_number") != F.col("id") + 1).isEmpty()
