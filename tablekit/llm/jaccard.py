@@ -13,8 +13,9 @@ is that number counted.
    Within a tile, classes of identical prefix and size form one group; group pairs pass if
    sizes agree and if the prefixes share as many shingles as the threshold demands.
 3. Members of the pairs that passed are verified on their whole sets. A large list first
-   yields each member's best partner. What these link is one component, and only pairs
-   across components follow, so a large group of near copies does not become all its pairs.
+   yields each member's best partner. What these link is one component. Then its members are
+   compared across components within the task, which hands on only the pairs that tie
+   components together, so a large group of near copies does not become all its pairs.
 
 Every pair that can reach the threshold is verified or already connected, so components
 are exact. Shingles are 63-bit hashes; prefixes are compared by 32 bits of them, where
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablekit.llm.components import components
 from tablekit.llm.packed import hash_spans, layout, mix, true_runs
@@ -44,7 +46,7 @@ from tablekit.llm.rows import field, map_rows, text_bytes
 from tablekit.storage import cut_lineage
 
 #: Rows of one list that meet in one task at most, twice (a tile with another).
-TILE = 1024
+TILE = 1536
 #: A list of at most so many members yields all pairs at once.
 SMALL = 8
 #: The counted share of the hash space, in prefix lengths.
@@ -149,91 +151,166 @@ def lists(prefixed: DataFrame) -> DataFrame:
     return found.where("members > 1").groupBy("members", "h1", "h2").agg(F.min("key").alias("key")).select("key", "members")
 
 
-def _tiles(prefixed: DataFrame, chosen: DataFrame, label: DataFrame | None) -> DataFrame:
-    rows = prefixed.select(F.explode("keys").alias("key"), "id", "size", "prefix", "keys").join(chosen, "key")
-    rows = rows.join(label, "id", "left").withColumn("label", F.coalesce("label", "id")) if label is not None else rows.withColumn("label", F.col("id"))
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows of lists, each once per pair of tiles of its list that it is needed in."""
+    columns = [c for c in rows.columns if c != "key"]
     tiles = F.ceil(F.col("members") / F.lit(TILE)).cast("int")
     rows = rows.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "tile", "id", "size", "prefix", "label", "keys", "members")
+    rows = rows.select("key", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "tile", *columns)
     return rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
 
 
-def candidates(prefixed: DataFrame, chosen: DataFrame, num: int, den: int, label: DataFrame | None = None) -> DataFrame:
-    """Pairs ``a < b`` of one list that pass the size and prefix filters.
-
-    Without ``label``: all pairs of small lists, and each member's best partner in large
-    ones. With it: all pairs whose labels differ, of the lists in ``chosen``.
-    """
-    kind = prefixed.schema["id"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    everything = label is not None
+def _chosen(tiled: DataFrame, schema: T.StructType, choose) -> DataFrame:
+    """The rows that ``choose`` makes of the rows of each pair of tiles."""
 
     def run(batches):
-        for rows in _groups(batches):
-            pairs = _pairs(rows, num, den, everything)
-            if pairs:
-                a, b = zip(*pairs, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for group in _groups(batches):
+            rows = choose(group)
+            if rows:
+                columns = [pa.array(c) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, to_arrow_schema(schema), strict=True)], names=schema.names)
 
-    return _tiles(prefixed, chosen, label).mapInArrow(run, schema).distinct()
+    return tiled.mapInArrow(run, schema)
 
 
-def _groups(batches) -> Iterator[list[tuple]]:
-    """Rows (tile, id, size, prefix, label, keys, members) of one tile pair after the other."""
+def _pair_schema(prefixed: DataFrame) -> T.StructType:
+    kind = prefixed.schema["id"].dataType
+    return T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
-    def rows():
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            yield from zip(*columns, strict=True)
 
-    for _, group in groupby(rows(), key=lambda r: r[:3]):
+def _named(group: list[dict], pairs) -> list[tuple]:
+    """Pairs of rows as pairs of ids, the smaller first."""
+    ids = [r["id"] for r in group]
+    return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs]
+
+
+def _groups(batches) -> Iterator[list[dict]]:
+    """The rows of one pair of tiles after the other."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for _, group in groupby(rows, key=lambda r: (r["key"], r["one"], r["two"])):
         group = list(group)
         if len(group) > 1:
             yield group
 
 
-def _pairs(rows: list[tuple], num: int, den: int, everything: bool) -> list[tuple]:
-    """The pairs of one tile pair that pass; for a pair of two tiles only those across."""
-    across = rows[0][1] != rows[0][2]
-    members = rows[0][9]
-    # classes of identical prefix and size are one group
+def candidates(prefixed: DataFrame, chosen: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of the lists in ``chosen`` that pass the size and prefix filters.
+
+    All such pairs of small lists, and each member's best partner - most shared shingles,
+    then smallest id - in large ones.
+    """
+    rows = prefixed.select(F.explode("keys").alias("key"), "id", "size", "prefix", "keys").join(chosen, "key")
+
+    def choose(group: list[dict]) -> list[tuple[int, int]]:
+        passed, shared = _passing(group, num, den)
+        if group[0]["members"] <= SMALL:
+            return _named(group, zip(*(x.tolist() for x in passed), strict=True))
+        best: dict[int, tuple] = {}
+        for i, j, k in zip(*(x.tolist() for x in (*passed, shared)), strict=True):
+            for x, y in ((i, j), (j, i)):
+                if x not in best or (-k, group[y]["id"]) < best[x][:2]:
+                    best[x] = (-k, group[y]["id"], y)
+        return _named(group, ((x, y) for x, (_, _, y) in best.items()))
+
+    return _chosen(_tiles(rows), _pair_schema(prefixed), choose).distinct()
+
+
+def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+    """Pairs that tie different components of the lists in ``chosen`` together, as few as do.
+
+    A pair belongs to the largest list that holds both. First each list names the members
+    that have a pair of their own there which passes the prefix filter; only they are given
+    their sets, as 31 bits of each shingle (other bits in each ``turn``). Then a task compares
+    these pairs and keeps one only if what it has kept before does not connect the two.
+    """
+    order = -F.col("members") * F.lit(2**32) + F.col("key").cast("long") + F.lit(2**31)
+    entries = prefixed.select(F.explode("keys").alias("key"), "id").join(chosen, "key").withColumn("order", order)
+    lists_of = entries.groupBy("id").agg(F.collect_list("order").alias("lists"))
+    named = prefixed.select("id", "size", "prefix", "keys").join(lists_of, "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = cut_lineage(named, "named")
+    rows = entries.select("key", "id", "members", "order").join(named, "id")
+    place = ["key", "one", "two"]
+    schema = T.StructType([*(T.StructField(c, T.IntegerType()) for c in (*place, "tile")), T.StructField("id", prefixed.schema["id"].dataType), T.StructField("order", T.LongType())])
+
+    def taking_part(group: list[dict]) -> list[tuple]:
+        one, two = _own_pairs(group, num, den)
+        return [tuple(group[i][c] for c in schema.names) for i in np.unique(np.concatenate([one, two])).tolist()]
+
+    sketch = F.transform("shingles", lambda s: (F.shiftright(s, 7 * turn % 32) % F.lit(2147483647)).cast("int"))
+    part = _chosen(_tiles(rows), schema, taking_part).join(named, "id").join(sets.select("id", sketch.alias("sketch")), "id")
+
+    def tying(group: list[dict]) -> list[tuple]:
+        one, two = _own_pairs(group, num, den)
+        size = [r["size"] for r in group]
+        labels = [r["label"] for r in group]
+        sketches = [set(r["sketch"]) for r in group]
+        root = {x: x for x in labels}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        kept = []
+        for i, j in zip(one.tolist(), two.tolist(), strict=True):
+            x, y = find(labels[i]), find(labels[j])
+            if x != y:
+                both = len(sketches[i] & sketches[j])
+                if both * den >= (size[i] + size[j] - both) * num:
+                    root[y] = x
+                    kept.append((i, j))
+        return _named(group, kept)
+
+    return _chosen(part.repartition(*place).sortWithinPartitions(*place), _pair_schema(prefixed), tying).distinct()
+
+
+def _own_pairs(group: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The passing pairs across components that no larger list holds."""
+    (one, two), _ = _passing(group, num, den)
+    label = np.unique([r["label"] for r in group], return_inverse=True)[1]
+    across = label[one] != label[two]
+    one, two = one[across], two[across]
+    if not len(one):
+        return one, two
+    before = _shared([[x for x in r["lists"] if x < r["order"]] for r in group])[one, two]
+    return one[before == 0], two[before == 0]
+
+
+def _passing(group: list[dict], num: int, den: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The pairs of a pair of tiles that pass, and how many prefix shingles they share.
+
+    Classes of identical prefix and size are one group; pairs of groups are filtered, and
+    those that pass are expanded to their members. Of two tiles only pairs across count.
+    """
     groups: dict[tuple, list[int]] = {}
-    for i, row in enumerate(rows):
-        groups.setdefault((row[5], row[6], tuple(row[8])), []).append(i)
+    for i, row in enumerate(group):
+        groups.setdefault((row["size"], row["prefix"], tuple(row["keys"])), []).append(i)
     shape = list(groups)
     size = np.array([g[0] for g in shape])
-    prefix = np.array([g[1] for g in shape])
+    rest = size - np.array([g[1] for g in shape])
     shared = _shared([g[2] for g in shape])
     low, high = np.minimum.outer(size, size), np.maximum.outer(size, size)
     alike = low * den >= high * num
     least = -(-num * (low + high) // (num + den))
-    rest = size - prefix
     alike &= shared >= np.maximum(1, least - np.maximum.outer(rest, rest))
-    best: dict[int, tuple] = {}
-    out = []
-    listed = list(groups.values())
-    one, two = np.nonzero(np.triu(alike))
-    for g, h in zip(one.tolist(), two.tolist(), strict=True):
-        k = int(shared[g, h])
-        for i in listed[g]:
-            for j in listed[h]:
-                if (g == h and i >= j) or rows[i][4] == rows[j][4] or (across and rows[i][3] == rows[j][3]):
-                    continue
-                if everything:
-                    if rows[i][7] != rows[j][7]:
-                        out.append((i, j))
-                elif members <= SMALL:
-                    out.append((i, j))
-                else:
-                    for x, y in ((i, j), (j, i)):
-                        if x not in best or (k, -y) > best[x][:2]:
-                            best[x] = (k, -y, y)
-    out += [(x, y) for x, (_, _, y) in best.items()]
-    return [(min(rows[i][4], rows[j][4]), max(rows[i][4], rows[j][4])) for i, j in out]
-
-
-def _shared(sets: list[tuple[int, ...]]) -> np.ndarray:
+    of = np.zeros(len(group), np.int64)
+    for g, members in enumerate(groups.values()):
+        of[members] = g
+    if len(shape) < len(group):
+        alike, shared = alike[np.ix_(of, of)], shared[np.ix_(of, of)]
+    else:
+        alike, shared = alike[of][:, of], shared[of][:, of]
+    one, two = np.nonzero(np.triu(alike, 1))
+    ids, tile = np.unique([r["id"] for r in group], return_inverse=True)[1], np.array([r["tile"] for r in group])
+    keep = ids[one] != ids[two]
+    if group[0]["one"] != group[0]["two"]:
+        keep &= tile[one] != tile[two]
+    return (one[keep], two[keep]), shared[one[keep], two[keep]]
+
+
+def _shared(sets: list) -> np.ndarray:
     """How many keys each two sets share."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
@@ -243,10 +320,11 @@ def _shared(sets: list[tuple[int, ...]]) -> np.ndarray:
     shared = np.zeros((n, n), np.float32)
     np.fill_diagonal(shared, size)
     several = times[column] > 1
-    row, column = row[several], np.unique(column[several], return_inverse=True)[1]
-    for start in range(0, int(column.max()) + 1 if len(column) else 0, 4096):
+    row, column = row[several], (np.cumsum(times > 1) - 1)[column[several]]
+    width = int(column.max()) + 1 if len(column) else 0
+    for start in range(0, width, 4096):
         here = (column >= start) & (column < start + 4096)
-        matrix = np.zeros((n, 4096), np.float32)
+        matrix = np.zeros((n, min(4096, width - start)), np.float32)
         matrix[row[here], column[here] - start] = 1
         product = matrix @ matrix.T
         np.fill_diagonal(product, 0)
@@ -287,12 +365,19 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str
     label = components(found).select(F.col("node").alias("id"), F.col("component").alias("label"))
 
     large = meeting.where(F.col("members") > SMALL)
-    open_lists = prefixed.select(F.explode("keys").alias("key"), "id").join(large, "key").join(label, "id", "left")
-    several = open_lists.groupBy("key").agg(F.min(F.coalesce("label", "id")).alias("lo"), F.max(F.coalesce("label", "id")).alias("hi"), F.first("members").alias("members"))
-    chosen_lists = cut_lineage(several.where("lo < hi").select("key", "members"), "open")
-    if not chosen_lists.isEmpty():
-        more = verified(candidates(prefixed, chosen_lists, num, den, label), sets, num, den)
-        label = components(found.union(more)).select(F.col("node").alias("id"), F.col("component").alias("label"))
+    turn = failed = 0
+    while turn == 0 or failed:
+        named = prefixed.select(F.explode("keys").alias("key"), "id").join(large, "key").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        several = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("members").alias("members"))
+        open_lists = cut_lineage(several.where("lo < hi").select("key", "members"), "open")
+        if open_lists.isEmpty():
+            break
+        tried = cut_lineage(bridges(prefixed, open_lists, sets, label, num, den, turn), "tried")
+        more = cut_lineage(verified(tried, sets, num, den), "more")
+        found = found.union(more)
+        label = components(found).select(F.col("node").alias("id"), F.col("component").alias("label"))
+        # a pair that only its sketches link may have kept another from being tried
+        failed, turn = tried.count() - more.count(), turn + 1
 
     reached = classes.join(label.withColumnRenamed("id", "first"), "first", "left").select("print", F.coalesce("label", "first").alias("component_id"))
     alone = rows.where("size = 0 or id is null")
