@@ -49,9 +49,9 @@ def where_compare(t):
     return rows.where_compare(df, "o_orderstatus", "=", "F").select("o_orderkey", "o_totalprice")
 
 
-@check("s02_07_where_like", "select p_partkey, p_name from part where p_name like 's%l_t'")
+@check("s02_07_where_like", "select p_partkey, p_name from part where p_name like 's%b_lt'")
 def where_like(t):
-    return rows.where_like(t.part, "p_name", "s%l_t").select("p_partkey", "p_name")
+    return rows.where_like(t.part, "p_name", "s%b_lt").select("p_partkey", "p_name")
 
 
 @check(

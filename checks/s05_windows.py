@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import ORACLES, check
 from tablekit.operators import windows
+from tablekit.operators.slices import ROWS_CONF
 
 OVER = "over (partition by o_custkey order by o_orderdate, o_orderkey)"
 ID = "select o_orderkey, o_custkey, "
@@ -101,3 +102,22 @@ def dense_key(t):
 def streak_batch(t):
     out = windows.streak_batch(t.events, ["user_id"], ["ts", "event_id"], "value > 20")
     return out.select("event_id", "user_id", "streak")
+
+
+def _with_cut_keys(fn):
+    """The same operator with every key above 20 rows cut into slices."""
+
+    def run(t):
+        before = t.spark.conf.get(ROWS_CONF, None)
+        t.spark.conf.set(ROWS_CONF, "20")
+        try:
+            return fn(t)
+        finally:
+            t.spark.conf.unset(ROWS_CONF) if before is None else t.spark.conf.set(ROWS_CONF, before)
+
+    return run
+
+
+for _key in ("s05_01_row_number", "s05_02_rank", "s05_03_dense_rank", "s05_04_lag_lead", "s05_05_running_rows"):
+    _fn = {"s05_01_row_number": row_number, "s05_02_rank": rank, "s05_03_dense_rank": dense_rank, "s05_04_lag_lead": lag_lead, "s05_05_running_rows": running_rows}[_key]
+    check(f"{_key}_cut", ORACLES[_key])(_with_cut_keys(_fn))

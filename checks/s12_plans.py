@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import check, fixed
 from checks.s01_sources import landed, weather_kv
 from checks.s09_streams import ANY_DELAY, ntz, to_files, to_state
+from tablekit.functions import exprs
 from tablekit.operators import scd
 from tablekit.operators.windows import latest_per_key
 from tablekit.plans import (
@@ -440,14 +441,16 @@ def _topic(t):
 
 @check(
     "s12_25_weather_averages",
-    "select date_trunc('minute', strptime(fetched_at, '%Y-%m-%dT%H:%M:%S')) as window_start, city, count(distinct fetched_at) as readings from fx_weather group by 1, 2",
+    f"""with r as (select distinct fetched_at, city, temp_c, humidity from fx_weather)
+    select date_trunc('minute', strptime(fetched_at, '%Y-%m-%dT%H:%M:%S')) as window_start, city, count(*) as readings,
+      {fixed("avg(temp_c)", 4)} as avg_temp, max(humidity) as max_humidity from r group by 1, 2""",
     "fx_weather",
 )
 def weather_averages(t):
-    # which of two readings of one second is kept is open, so only counts are compared
     averages = weather.averages(weather.readings(_topic(t), ANY_DELAY))
     out = to_state(t, averages, ["window_start", "city"])
-    return ntz(out, "window_start").select("window_start", "city", "readings")
+    rounded = out.withColumn("avg_temp", exprs.stable_round("avg_temp", 4))
+    return ntz(rounded, "window_start").select("window_start", "city", "readings", "avg_temp", "max_humidity")
 
 
 @check(

@@ -134,10 +134,10 @@ def run_log(t):
     """with l as (select event_type || '-' || (user_id % 50)::varchar as table_name, case user_id % 3 when 0 then 'PENDING' when 1 then 'FAILED' else 'DONE' end as status,
       ts as logged_at, event_id as seq from events),
     old as (select * from l where logged_at < timestamp '2024-01-20'), fresh as (select * from l where logged_at >= timestamp '2024-01-20'),
-    last as (select * from (select *, row_number() over (partition by table_name order by logged_at desc, seq desc) as rn from old) where rn = 1)
-    first as (select * from (select *, row_number() over (partition by table_name order by logged_at, seq) as rn from fresh where status = 'PENDING') where rn = 1)
+    last as (select * from (select *, row_number() over (partition by table_name order by logged_at desc, seq desc) as rn from old) where rn = 1),
+    opening as (select * from (select *, row_number() over (partition by table_name order by logged_at, seq) as rn from fresh where status = 'PENDING') where rn = 1)
     select table_name, status, seq from old union all select table_name, status, seq from fresh where status <> 'PENDING'
-    union all select table_name, status, seq from first where table_name not in (select table_name from last where status <> 'FAILED')""",
+    union all select table_name, status, seq from opening where table_name not in (select table_name from last where status <> 'FAILED')""",
 )
 def run_log_append(t):
     state = F.when(F.col("user_id") % 3 == 0, "PENDING").when(F.col("user_id") % 3 == 1, "FAILED").otherwise("DONE")

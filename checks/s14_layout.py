@@ -70,6 +70,13 @@ def cluster(t):
     return io.read_parquet(t.spark, path)
 
 
+@check("s14_06_cluster_any_type", "select event_id, event_type, ts, value from events")
+def cluster_any_type(t):
+    path = t.dir("clustered")
+    layout.cluster(t.events.select("event_id", "event_type", "ts", "value"), ["event_type", "ts"], 12).write.parquet(path)
+    return io.read_parquet(t.spark, path)
+
+
 @check(
     "s14_07_partition_advice",
     " union all ".join(

@@ -68,7 +68,8 @@ select l_orderkey as broadcast_id, l_linenumber as line_no,
   from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
 """,
     "fx_weather": """
-select concat('city', cast(user_id % 5 as string)) as city, value as temp_c, cast(event_id % 100 as int) as humidity,
+select concat('city', cast(user_id % 5 as string)) as city, cast(substr(cast(ts as string), 18, 2) as double) + user_id % 5 as temp_c,
+  cast(substr(cast(ts as string), 15, 2) as int) as humidity,
   event_type as condition, replace(substr(cast(ts as string), 1, 19), ' ', 'T') as fetched_at, event_id from events
 """,
     "fx_changes": """

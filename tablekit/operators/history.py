@@ -53,14 +53,26 @@ def as_of(log: Log, version=None, timestamp=None) -> DataFrame:
 
 
 def _sides(log: Log, v1, v2) -> DataFrame:
-    old = as_of(log, version=v1).select(*log.keys, F.struct(*log.payload).alias("__old"))
-    new = as_of(log, version=v2).select(*log.keys, F.struct(*log.payload).alias("__new"))
+    """Both states of each key from one pass over the log: the newest change up to either version."""
+    for version in (v1, v2):
+        if log.horizon is not None and version < log.horizon:
+            raise ValueError(f"version {version} was expired; history starts at {log.horizon}")
+    row, place = F.struct(F.col(log.op).alias("op"), F.struct(*log.payload).alias("row")), F.struct(*log.order)
+
+    def newest(version) -> Column:
+        return F.max_by(row, F.when(F.col(log.version) <= F.lit(version), place))
+
+    def state(change: str) -> Column:
+        return F.when(F.col(change)["op"] != "D", F.col(change)["row"])
+
+    seen = log.df.filter(F.col(log.version) <= F.lit(max(v1, v2)))
+    changes = seen.groupBy(*log.keys).agg(newest(v1).alias("__v1"), newest(v2).alias("__v2"))
+    both = changes.select(*log.keys, state("__v1").alias("__old"), state("__v2").alias("__new"))
     kind = (
         F.when(F.col("__old").isNull(), "added")
         .when(F.col("__new").isNull(), "removed")
         .when(F.col("__old") != F.col("__new"), "changed")
     )
-    both = old.join(new, log.keys, "full_outer")
     same = F.col("__old").eqNullSafe(F.col("__new"))
     return both.filter(~same).withColumn("diff", F.coalesce(kind, F.lit("changed")))
 

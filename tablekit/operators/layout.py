@@ -73,36 +73,58 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     on = F.lit(True)
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
-    # one row per directory of the table, which the driver lists anyway
-    placed = df.join(F.broadcast(side), on).select(*df.columns, (spread % F.col("__files")).alias("__part"))
+    placed = df.join(side, on).select(*df.columns, (spread % F.col("__files")).alias("__part"))
     replace_table(placed.repartition(files, *by, "__part").drop("__part"), path, by)
 
 
 def z_value(df: DataFrame, cols: list[str], bits: int = 6) -> Column:
-    """Interleaved bits of each column's quantile rank, so nearby rows get nearby values."""
-    steps = [i / 2**bits for i in range(1, 2**bits)]
-    # one aggregate for all columns; its result is 2**bits - 1 numbers per column
-    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), steps, 10_000).alias(c) for c in cols]).first()
+    """Interleaved bits of each column's quantile rank, so nearby rows get nearby values.
+
+    Columns are of any type that can be sorted. Ranks are cut at values of a random sample
+    of 32 rows for each of the ``2**bits`` ranks; NULL has the lowest rank.
+    """
+    sample = df.select(*cols).orderBy(F.rand(17)).limit(32 * 2**bits).collect()
     z = F.lit(0).cast("long")
     for i, c in enumerate(cols):
-        bounds = sorted(set(cuts[c] or []))
-        rank = _rank(F.col(c).cast("double"), bounds)
+        # NaN sorts above all numbers and needs no cut
+        values = sorted(r[c] for r in sample if r[c] is not None and r[c] == r[c])
+        cuts = sorted({values[len(values) * k // 2**bits] for k in range(1, 2**bits)}) if values else []
+        rank = _rank(F.col(c), [F.lit(v).cast(df.schema[c].dataType) for v in cuts])
         for bit in range(bits):
             flag = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
             z = z.bitwiseOR(F.shiftleft(flag, bit * len(cols) + i))
     return z
 
 
-def _rank(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie at or below the value; 0 for NULL."""
-    if not bounds:
-        return F.lit(0)
-    listed = F.array(*[F.lit(b) for b in bounds])
-    return F.coalesce(F.size(F.filter(listed, lambda b: b <= value)), F.lit(0))
+#: Cuts that one decision tree holds; of more, each leaf of the tree has a short list.
+TREE_CUTS = 255
+
+
+def _rank(value: Column, cuts: list[Column]) -> Column:
+    """How many cuts lie at or below the value; 0 for NULL."""
+    step = len(cuts) // (TREE_CUTS + 1) + 1
+    coarse = cuts[step - 1 :: step]
 
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value >= coarse[middle], tree(middle + 1, high)).otherwise(tree(low, middle))
 
-def cluster(df: DataFrame, cols: list[str], n: int, bits: int = 6) -> DataFrame:
-    """Bring related values together in ``n`` partitions so files skip more on any of ``cols``."""
+    if step == 1:
+        return tree(0, len(coarse))
+    leaves = F.array(*[F.array(*(cuts[k * step : (k + 1) * step - 1] or cuts[:1])) for k in range(len(coarse) + 1)])
+    at = tree(0, len(coarse))
+    return at * step + F.coalesce(F.size(F.filter(F.element_at(leaves, at + 1), lambda c: c <= value)), F.lit(0))
+
+
+def cluster(df: DataFrame, cols: list[str], n: int, bits: int | None = None) -> DataFrame:
+    """Bring related values together in ``n`` partitions so files skip more on any of ``cols``.
+
+    Without ``bits`` there are at least 16 values of the curve for each partition.
+    """
+    if bits is None:
+        bits = min(62 // len(cols), max(4, math.ceil((math.log2(max(n, 1)) + 4) / len(cols))))
     tagged = df.withColumn("__z", z_value(df, cols, bits))
     return tagged.repartitionByRange(n, "__z").sortWithinPartitions("__z", *cols).drop("__z")
 

@@ -42,6 +42,7 @@ def upsert_if(target: DataFrame, source: DataFrame, keys: list[str], newer: str)
             When.matched(F.col(f"s.{newer}") > F.col(f"t.{newer}")).update_all(),
             When.not_matched().insert_all(),
         ],
+        single=True,
     )
 
 
@@ -85,18 +86,22 @@ class When:
         return When(self.is_match, self.condition, "set", values)
 
 
-def general(target: DataFrame, source: DataFrame, keys: list[str], clauses: list[When]) -> DataFrame:
+def general(target: DataFrame, source: DataFrame, keys: list[str], clauses: list[When], single: bool = False) -> DataFrame:
     """Merge with ordered clauses; the first one that holds decides a row.
 
     Matched rows without a clause stay, unmatched source rows without one are ignored. Two
-    source rows for one target row are an error, raised when the result is computed.
+    source rows for one target row are an error, raised when the result is computed. With
+    ``single`` the source is known to have one row per key and is not counted.
     """
     columns = target.columns
     for clause in clauses:
         if clause.is_match is False and clause.action == "delete":
             raise ValueError("an unmatched row cannot be deleted")
-    counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter("__copies > 1")
-    source = source.join(counts, keys, "left")
+    if single:
+        source = source.withColumn("__copies", F.lit(1).cast("long"))
+    else:
+        counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter("__copies > 1")
+        source = source.join(counts, keys, "left")
     t = target.withColumn("__in_t", F.lit(True)).alias("t")
     s = source.withColumn("__in_s", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
@@ -148,6 +153,7 @@ def apply_cdc(target: DataFrame, feed: DataFrame, keys: list[str], order: list[s
             When.matched(F.col(f"s.{op}") == "U").update_all(),
             When.not_matched(F.col(f"s.{op}") == "I").insert_all(),
         ],
+        single=True,
     )
 
 
