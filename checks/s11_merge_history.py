@@ -111,6 +111,7 @@ def delete(t):
     select 'append' as how, * from t union all select 'append', * from b
     union all select 'replace', * from b
     union all select 'merge', * from t where k not in (select k from b) union all select 'merge', * from b
+    union all select 'upsert', * from t where k not in (select k from b) union all select 'upsert', * from b
     union all select 'insert-only', * from t union all select 'insert-only', * from b where k not in (select k from t)""",
     "fx_changes",
 )
@@ -118,7 +119,7 @@ def write_disposition(t):
     base = target(t)
     batch = merge.latest_per_key(feed(t), ["k"], ["commit_ts", "seq"]).select(*base.columns)
     out = None
-    for how in ("append", "replace", "merge", "insert-only"):
+    for how in ("append", "replace", "merge", "upsert", "insert-only"):
         one = merge.write_disposition(base, batch, how, keys=["k"]).select(F.lit(how).alias("how"), *base.columns)
         out = one if out is None else out.unionByName(one)
     return out

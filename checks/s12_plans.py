@@ -528,6 +528,20 @@ def orders_expectations(t):
     return regional.orders_expectations(landed_orders)
 
 
+@check(
+    "s12_28_orders_expectations_stream",
+    "select city, count(*) as orders from (select nullif(order_id % 11, 0) as ok, * from fx_orders) join fx_customers using (customer_id) where ok is not null group by city",
+    "fx_orders fx_customers",
+)
+def orders_expectations_stream(t):
+    orders = t.fx_orders.join(t.fx_customers, "customer_id").withColumn("order_id", F.when(F.col("order_id") % 11 != 0, F.col("order_id")))
+    # every order lands twice
+    path = landed(t, orders.union(orders))
+    source = streamio.read_files(t.spark, path, orders.schema, max_files=1)
+    kept = to_files(t, regional.orders_expectations_stream(source, "5000 days"))
+    return kept.groupBy("city").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @check("s11_17_snapshot_first", "select k, state, commit_ts as valid_from, null::timestamp as valid_to, true as is_current from (select *, row_number() over (partition by k order by commit_ts desc, seq desc) as rn from fx_changes) where rn = 1", "fx_changes")
 def first_snapshot(t):
     return scd.first_snapshot(latest_per_key(t.fx_changes, ["k"], ["commit_ts", "seq"]), ["k"], ["state"], F.col("commit_ts"))

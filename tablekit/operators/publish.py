@@ -77,7 +77,9 @@ def backfill(build: Callable[[str, str], DataFrame], path: str, day: str, from_d
     checked = df.filter(F.when(inside, F.lit(True)).otherwise(stray))
     spark = df.sparkSession
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
-    checked.repartition(day, F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.partitionBy(day).parquet(staged)
+    # as many tasks as a shuffle has may write a day, since one day can hold most rows
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checked.repartition(day, F.pmod(F.xxhash64(*df.columns), F.lit(tasks))).write.partitionBy(day).parquet(staged)
     prefix = f"{day}="
 
     def in_range(name: str) -> bool:

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tablekit import storage
 from tablekit.operators import evolve
-from tablekit.operators.join import hinted
 
 Schema = str | T.StructType
 CORRUPT = "_corrupt_record"
@@ -208,7 +207,7 @@ def create_table(
 
 def load_seed(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """A lookup CSV with declared types; broadcast while it is small."""
-    return hinted(spark.read.option("header", True).schema(schema).csv(path))
+    return spark.read.option("header", True).schema(schema).csv(path)
 
 
 # --- incremental loading ----------------------------------------------------
@@ -267,8 +266,9 @@ def copy_table(src: DataFrame, dst: str, key: str, chunks: int) -> Loaded:
     """Copy a table in key ranges, the destination replaced as a whole, counts compared."""
     spark = src.sparkSession
     staged = f"{dst}.tmp-{uuid.uuid4().hex}"
-    src.repartitionByRange(chunks, key).write.parquet(staged)
-    wanted = src.count()
+    seen = Observation()
+    src.repartitionByRange(chunks, key).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    wanted = seen.get["rows"]
     loaded = spark.read.parquet(staged).count()
     if wanted != loaded:
         storage.delete(spark, staged)

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tablekit.operators import merge
-from tablekit.operators.join import hinted
 from tablekit.operators.windows import latest_per_key
 from tablekit.sources.io import overwrite_partitions
 from tablekit.streaming.state_table import StateTable
@@ -55,7 +54,7 @@ def dedup(df: DataFrame, keys: list[str], ts: str | None = None, delay: str | No
 
 def enrich_static(stream: DataFrame, dim: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join each micro-batch with a table; broadcast while the table is small."""
-    return stream.join(hinted(dim), on, how)
+    return stream.join(dim, on, how)
 
 
 def join_interval(
@@ -63,15 +62,25 @@ def join_interval(
 ) -> DataFrame:
     """Two streams: same key and ``a_ts <= b_ts < a_ts + within``. Both need watermarks.
 
-    A left join emits an unmatched row once the watermark rules a partner out.
+    A left join emits an unmatched row once the watermark rules a partner out. Time is cut
+    into steps of ``within``, and rows of ``b`` are listed under their step and the one before,
+    so a hot key's state is spread over its time range; hence inner and left joins only.
     """
-    renamed = b.withColumnsRenamed({k: f"__b_{k}" for k in keys})
-    on = F.col(b_ts) >= F.col(a_ts)
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError("rows of b are listed twice, so only inner and left joins are possible")
+    length = a.sparkSession.sql(f"select unix_micros(timestamp '1970-01-01 00:00:00Z' + interval {within})").first()[0]
+
+    def step(ts: str) -> Column:
+        return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(length))
+
+    a = a.withColumn("__step", step(a_ts))
+    renamed = b.withColumnsRenamed({k: f"__b_{k}" for k in keys}).withColumn("__b_step", F.explode(F.array(step(b_ts), step(b_ts) - 1)))
+    on = (F.col("__step") == F.col("__b_step")) & (F.col(b_ts) >= F.col(a_ts))
     end = F.expr(f"{a_ts} + interval {within}")
     on = on & ((F.col(b_ts) <= end) if closed else (F.col(b_ts) < end))
     for k in keys:
         on = on & (F.col(k) == F.col(f"__b_{k}"))
-    return a.join(renamed, on, how).drop(*[f"__b_{k}" for k in keys])
+    return a.join(renamed, on, how).drop("__step", "__b_step", *[f"__b_{k}" for k in keys])
 
 
 def filter_alerts(df: DataFrame, col: str, threshold: float) -> DataFrame:
@@ -271,7 +280,7 @@ def cdc_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int],
 
 def progress(query: StreamingQuery) -> DataFrame:
     """Recent progress of a query: one row per trigger."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     rows = [
         (
             str(p.id),
