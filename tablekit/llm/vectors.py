@@ -156,16 +156,20 @@ def _linked(key: tuple, part: pa.Table, least: float):
     shares = blocks(d, least)
     span, share = shares[block]
     u = turned[:, span].astype(np.float32)
-    square = (u * u).sum(axis=1)
+    # one product per strip tells all: <u, v> - |u|^2 / 2 - |v|^2 / 2 is minus half the squared distance
+    half, one_each = ((u * u).sum(axis=1) / 2)[:, None], np.ones((len(u), 1), np.float32)
+    of_left, of_right = np.hstack([u, half, one_each]), np.hstack([u, -one_each, -half])
+    enough = np.float32(-(share + LOOSE) / 2)
     left = np.flatnonzero(tile == one)
     right = left if one == two else np.flatnonzero(tile == two)
     count = np.zeros(len(ids), np.int64)
     found_a, found_b = [], []
+    turned_right = np.ascontiguousarray(of_right[right].T)
     for start in range(0, len(left), STRIP):
         rows = left[start : start + STRIP]
-        near = square[rows][:, None] + square[right][None, :] - 2 * (u[rows] @ u[right].T) <= share + LOOSE
-        i, j = np.nonzero(near)
-        a, b = rows[i], right[j]
+        skip = start if one == two else 0  # within a tile each pair is looked at once
+        i, j = np.divmod(np.flatnonzero((of_left[rows] @ turned_right[:, skip:]).ravel() >= enough), len(right) - skip)
+        a, b = rows[i], right[skip + j]
         keep = ~(upper[a] & upper[b])
         if one == two:
             keep &= a < b
