@@ -33,15 +33,18 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """One document of each group that links of similarity 0.8 over five-word shingles hold together: that with the smallest id.
 
     Rows without id stay, as do documents without words. Of rows that repeat an id the one
-    whose text is first in order stays.
+    whose text is first in order stays, and of those the first by the other columns.
     """
     joined = jaccard.join(docs, n=5, num=80, den=100)
     gone = joined.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.coalesce("text", F.lit(""))).alias("chosen")).where("n > 1")
-    left = docs.join(gone, "doc_id", "left_anti")
-    single = left.join(repeated.select("doc_id"), "doc_id", "left_anti")
-    firsts = left.join(repeated, "doc_id").where(F.coalesce("text", F.lit("")) == F.col("chosen")).select(*docs.columns).dropDuplicates(["doc_id"])
-    return single.select(*docs.columns).union(firsts)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    single = docs.join(gone.union(repeated), "doc_id", "left_anti").select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    several = docs.join(repeated, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
+    firsts = several.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
+    return single.union(firsts.select(*docs.columns))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

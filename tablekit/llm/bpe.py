@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from tablekit.llm.packed import gather, hash_spans, layout
 from tablekit.llm.rows import field, map_rows, text_bytes
 
-KEPT_IDS = 3_000_000
+KEPT_IDS = 1_000_000
 NEVER = 1 << 30
 
 #: The characters of Unicode's White_Space property.
@@ -82,8 +82,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.ids = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.ids = np.empty(0, np.int32)
+        self.size = np.empty(0, np.int32)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left << 32 | right
@@ -202,13 +202,13 @@ class Encoder:
                 keep[starts[w] + 1 : starts[w] + count[w]] = False
                 count[w] = 1
         self.known.update(zip(names, range(len(self.size), len(self.size) + len(names)), strict=True))
-        self.ids = np.append(self.ids, ids[keep])
-        self.size = np.append(self.size, count)
+        self.ids = np.append(self.ids, ids[keep].astype(np.int32))
+        self.size = np.append(self.size, count.astype(np.int32))
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts side by side, and where each text's ids start and the last end."""
         if not len(data):
-            return np.empty(0, np.int64), np.zeros(len(bounds), np.int64)
+            return np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
         code = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
         at = np.flatnonzero((data & 0xC0) != 0x80)  # where characters begin
         starts = self.word_starts(code, np.searchsorted(at, bounds))
@@ -226,8 +226,8 @@ class Encoder:
             chosen = first[new]
             self._learn(data, begin[chosen], size[chosen], [listed[i] for i in new])
         index = np.array([self.known[name] for name in listed], np.int64)[which]
-        count = self.size[index]
-        ids = gather(self.ids, (np.cumsum(self.size) - self.size)[index], count)
+        count = self.size[index].astype(np.int64)
+        ids = gather(self.ids, (np.cumsum(self.size, dtype=np.int64) - self.size)[index], count)
         total = np.append(0, np.cumsum(count))
         return ids, total[np.searchsorted(begin, bounds)]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SLICE_ROWS = 2048
 
 
