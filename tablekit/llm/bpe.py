@@ -315,4 +315,4 @@ def _mapped(docs: DataFrame, vocabulary: str, doc_id: str, text: str, keep: tupl
     def convert(batch: pa.RecordBatch):
         return [*(batch.column(i) for i in range(n)), *compute(encoder_of(shared.value), batch.column(n))]
 
-    return map_rows(docs.select(*names, text_bytes(text).alias("_text")), schema, convert, "_text")
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")

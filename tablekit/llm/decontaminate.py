@@ -204,11 +204,11 @@ def matches(
     span = T.ArrayType(T.ArrayType(T.LongType()))
     names = [doc_id, *[k for k in keep if k != doc_id]]
     carried = [field(docs, k) for k in names]
-    out = docs.select(*names, text_bytes(text).alias("_text"), F.lit(0).cast("long").alias("_words"), F.array().cast(span).alias("_spans"), F.array().cast("array<string>").alias("_items"))
-    schema = T.StructType([*carried, T.StructField("_text", T.BinaryType()), T.StructField("_words", T.LongType()), T.StructField("_spans", span), T.StructField("_items", T.ArrayType(T.StringType()))])
+    out = docs.select(*names, text_bytes(text).alias("__llm_text"), F.lit(0).cast("long").alias("_words"), F.array().cast(span).alias("_spans"), F.array().cast("array<string>").alias("_items"))
+    schema = T.StructType([*carried, T.StructField("__llm_text", T.BinaryType()), T.StructField("_words", T.LongType()), T.StructField("_spans", span), T.StructField("_items", T.ArrayType(T.StringType()))])
     for group in [*shards(items, item_id, item_text, n, shard_words)] or [[]]:
         shared = spark.sparkContext.broadcast(group)
-        out = map_rows(out, schema, _matcher(shared, n, len(names)), "_text")
+        out = map_rows(out, schema, _matcher(shared, n, len(names)), "__llm_text")
     return out.select(
         *names,
         F.col("_words").alias("n_words"),

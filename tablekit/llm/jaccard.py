@@ -110,7 +110,7 @@ def profiles(docs: DataFrame, n: int, num: int, den: int, doc_id: str = "doc_id"
             far.append(low[counted : max(counted, prefix)])
         return [batch.column(0), size, prints, near, far]
 
-    return map_rows(docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("_text")), schema, convert, "_text")
+    return map_rows(docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, n: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,8 +120,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame, n: int, doc_id: str = "doc_id",
     def convert(batch: pa.RecordBatch):
         return [batch.column(0), list(shingles(*layout(batch.column(1)), n))]
 
-    chosen = docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("_text")).join(ids.hint("shuffle_hash"), "id")
-    return map_rows(chosen, schema, convert, "_text")
+    chosen = docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("__llm_text")).join(ids.hint("shuffle_hash"), "id")
+    return map_rows(chosen, schema, convert, "__llm_text")
 
 
 def prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:

@@ -121,8 +121,8 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: i
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, "_text"):
-                rows, owner, gram = trigrams(part.column("_text"))
+            for part in slices(batch, "__llm_text"):
+                rows, owner, gram = trigrams(part.column("__llm_text"))
                 if not len(rows):
                     continue
                 names = part.column("lang").to_pylist()
@@ -137,7 +137,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: i
                 [pa.array(list(sums)), pa.array([v.round().astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "sums"]
             )
 
-    labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("_text"))
+    labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("__llm_text"))
     summed = labelled.mapInArrow(run, schema).select("lang", F.posexplode("sums").alias("dimension", "value")).groupBy("lang", "dimension").agg(F.sum("value").alias("value"))
     languages = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dimension", "value"))).alias("sums"))
     found = languages.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
@@ -156,7 +156,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "d
     def convert(batch: pa.RecordBatch):
         return [*(batch.column(i) for i in range(n)), *scores(batch.column(n), shared.value)]
 
-    return map_rows(docs.select(*names, text_bytes(text).alias("_text")), schema, convert, "_text")
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")
 
 
 def scores(column: pa.Array, prototypes: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:

@@ -159,7 +159,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             found.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in in_code_points(raw, spans_of(raw))])
         return [batch.column(0), found]
 
-    return map_rows(docs.select(doc_id, text_bytes(text).alias("_text")), schema, convert, "_text")
+    return map_rows(docs.select(doc_id, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")
 
 
 def listed(spans):

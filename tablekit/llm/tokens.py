@@ -138,4 +138,4 @@ def counts(docs: DataFrame, pieces: list[tuple[str, float]], doc_id: str = "doc_
         counter = counter_of(shared.value)
         return [*(batch.column(i) for i in range(n)), [counter.text(x.as_py().decode()) for x in batch.column(n)]]
 
-    return map_rows(docs.select(*names, text_bytes(text).alias("_text")), schema, convert, "_text")
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")

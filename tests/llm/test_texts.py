@@ -255,7 +255,7 @@ def test_secret_examples(spark, odd, empty):
     for r in secrets.find(docs).collect():
         assert [(s.start, secrets.KINDS.index(s.kind), s.end) for s in r.spans if s.kind != "guess"] == plain_base(SECRETS[r.doc_id])
     guessed = {r.doc_id: [SECRETS[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "guess"] for r in secrets.find(docs).collect()}
-    assert guessed[4] == ["Zx9$kQ2!vB7pLw"]
+    assert "Zx9$kQ2!vB7pLw" in guessed[4] and "password123" not in guessed[4]
     assert secrets.find(odd).count() == odd.count() and secrets.find(empty).count() == 0
     red = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert red[1] == "é [SECRET]' and [SECRET]"
