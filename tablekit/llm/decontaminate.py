@@ -265,6 +265,9 @@ def remove(
     others each span over ``max_words`` is cut from its first word's start to its last
     word's end. Documents without hits keep their text untouched. The columns stay the same.
     """
+    outer = docs.columns
+    doc_id, text = f"__in{outer.index(doc_id)}", f"__in{outer.index(text)}"
+    docs = docs.toDF(*(f"__in{i}" for i in range(len(outer))))  # no column of the input can clash
     found = matches(docs, items, n, doc_id, text, keep=tuple(docs.columns))
     kept = found.where(hit_words() <= F.col("n_words") * F.lit(max_coverage)).withColumn("_cut", F.filter("spans", lambda s: s["end"] - s["start"] > max_words))
     names = docs.columns
@@ -279,7 +282,7 @@ def remove(
         return columns
 
     bare = kept.select(*names, "_cut").withColumn(text, F.col(text).cast("binary"))
-    return map_rows(bare, T.StructType([f if f.name != text else T.StructField(text, T.BinaryType()) for f in schema]), convert, text).withColumn(text, F.col(text).cast("string"))
+    return map_rows(bare, T.StructType([f if f.name != text else T.StructField(text, T.BinaryType()) for f in schema]), convert, text).withColumn(text, F.col(text).cast("string")).toDF(*outer)
 
 
 def without(text: bytes, spans: list[dict]) -> bytes:
