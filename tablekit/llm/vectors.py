@@ -8,7 +8,8 @@ block's radius, and meet those of their own and the next cell. Pairs within the
 radius are verified on the original vectors in double precision.
 
 A cell is dealt out in tiles, so that no task holds a hot cell. A pair counts in the first
-block whose share it keeps. A task returns a row per linked vector - how many it is linked
+block whose share it keeps. Pairs are dropped once they are counted and their rows joined,
+so a task's memory is bound by its tiles and a strip, however many pairs link. A task returns a row per linked vector - how many it is linked
 with there, and the smallest vector it reaches there - so links are counted, not listed.
 Equal vectors are one class with a multiplicity.
 
@@ -35,6 +36,8 @@ BLOCK = 16
 #: Rows of a tile. A task compares two tiles at most, in strips.
 TILE = 20_000
 STRIP = 512
+#: Pairs of a strip that are verified, counted and joined at once, and then dropped.
+CUT = 1 << 16
 SEED = 4_711
 #: What the two ways of computing a block's distance may differ by.
 SLACK, LOOSE = 1e-6, 1e-4
@@ -163,19 +166,19 @@ def _linked(key: tuple, part: pa.Table, least: float):
     left = np.flatnonzero(tile == one)
     right = left if one == two else np.flatnonzero(tile == two)
     count = np.zeros(len(ids), np.int64)
-    found_a, found_b = [], []
+    root = np.arange(len(ids))
     turned_right = np.ascontiguousarray(of_right[right].T)
     for start in range(0, len(left), STRIP):
         rows = left[start : start + STRIP]
         skip = start if one == two else 0  # within a tile each pair is looked at once
-        i, j = np.divmod(np.flatnonzero((of_left[rows] @ turned_right[:, skip:]).ravel() >= enough), len(right) - skip)
-        a, b = rows[i], right[skip + j]
-        keep = ~(upper[a] & upper[b])
-        if one == two:
-            keep &= a < b
-        a, b = a[keep], b[keep]
-        for cut in range(0, len(a), 1 << 16):
-            p, q = a[cut : cut + (1 << 16)], b[cut : cut + (1 << 16)]
+        close = np.flatnonzero((of_left[rows] @ turned_right[:, skip:]).ravel() >= enough)
+        for cut in range(0, len(close), CUT):
+            i, j = np.divmod(close[cut : cut + CUT], len(right) - skip)
+            p, q = rows[i], right[skip + j]
+            keep = ~(upper[p] & upper[q])
+            if one == two:
+                keep &= p < q
+            p, q = p[keep], q[keep]
             fits = np.einsum("ij,ij->i", x[p], x[q]) / (norm[p] * norm[q]) >= least
             p, q = p[fits], q[fits]
             apart = (turned[p] - turned[q]) ** 2
@@ -185,12 +188,11 @@ def _linked(key: tuple, part: pa.Table, least: float):
             p, q = p[fits], q[fits]
             np.add.at(count, p, weight[q])
             np.add.at(count, q, weight[p])
-            found_a.append(p)
-            found_b.append(q)
-    root = _roots(len(ids), np.concatenate(found_a), np.concatenate(found_b)) if found_a else []
+            root = _merged(root, p, q)
     linked = np.flatnonzero(count)
     if not len(linked):
         return None
+    root = root.tolist()
     smallest: dict[int, object] = {}
     for i in linked.tolist():
         r = root[i]
@@ -199,20 +201,27 @@ def _linked(key: tuple, part: pa.Table, least: float):
     return [ids[i] for i in linked.tolist()], count[linked], [smallest[root[i]] for i in linked.tolist()]
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
-    root = list(range(n))
+def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The root of every row after joining rows ``a`` with rows ``b``; ``root`` names roots only."""
+    one, two = root[a], root[b]
+    apart = one != two
+    if not apart.any():
+        return root
+    n = len(root)
+    one, two = np.divmod(np.unique(np.minimum(one, two)[apart] * n + np.maximum(one, two)[apart]), n)
+    above = list(range(n))
 
     def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
         return i
 
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+    for i, j in zip(one.tolist(), two.tolist(), strict=True):
         i, j = find(i), find(j)
         if i != j:
-            root[j] = i
-    return [find(i) for i in range(n)]
+            above[j] = i
+    return np.array([find(i) for i in range(n)])[root]
 
 
 def near_duplicates(rows: DataFrame, least: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:

@@ -123,6 +123,40 @@ def test_vectors(spark, monkeypatch, tile):
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_vectors_all_linked_in_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, d = 4_000, 16
+    draw = np.random.default_rng(5)
+    x = draw.standard_normal(d) + draw.standard_normal((n, d)) * 1e-3
+    ids = draw.permutation(n)
+    part = pa.table({"tile": np.zeros(n, np.int32), "upper": np.zeros(n, bool), "id": ids, "n": np.ones(n, np.int64), "vector": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    tracemalloc.start()
+    got, count, reached = vectors._linked((d, 0, 0, 0, 0), part, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == ids.tolist() and set(count.tolist()) == {n - 1} and set(reached) == {0}
+    # its 8 million pairs alone take 128 MB
+    assert peak < 100e6
+
+
+def test_vectors_rows_join_over_cuts():
+    draw = random.Random(6)
+    for _ in range(30):
+        n = draw.randint(2, 40)
+        pairs = [(draw.randrange(n), draw.randrange(n)) for _ in range(draw.randint(0, 40))]
+        root = np.arange(n)
+        label = list(range(n))
+        for at in range(0, len(pairs), 3):
+            a, b = np.array(pairs[at : at + 3]).T
+            root = vectors._merged(root, a, b)
+            for i, j in pairs[at : at + 3]:
+                label = [label[i] if v == label[j] else v for v in label]
+        assert [[root[i] == root[j] for j in range(n)] for i in range(n)] == [[label[i] == label[j] for j in range(n)] for i in range(n)]
+
+
 # ------------------------------------------------------------------ pipeline
 
 SF = "/root/testdata/sf0.001"
