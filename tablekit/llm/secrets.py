@@ -32,12 +32,17 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(rb"[0-9a-f]{16,}")
 MIN_ASSIGN = 12
 
-#: Words behind which a value is a credential, and what may stand between.
+#: Words behind which a value is a credential, and what may stand between. Gaps and values are
+#: as long as they are. A quoted value may hold blanks and escaped quotes and ends on its line; one
+#: whose quote is not closed there ends as an unquoted one does.
 CONTEXT = re.compile(
-    rb"""(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|credentials?|auth)["']?[\x20\t]{0,8}(?:[:=]|=>|\bis\b)[\x20\t]{0,8}(?:"([^"\s]{8,256})"|'([^'\s]{8,256})'|([^\s"'<>,;]{8,256}))""",
+    rb"""(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|credentials?|auth)["']?[\x20\t]*+(?:[:=]|=>|\bis\b)[\x20\t]*+"""
+    rb"""(?:"((?:[^"\\\r\n]++|\\.)*+)"|'((?:[^'\\\r\n]++|\\.)*+)'|["']?([^\s"'<>,;]{8,}))""",
     re.IGNORECASE,
 )
 HINTS = (b"passw", b"passphrase", b"pwd", b"secret", b"token", b"api", b"credential", b"auth")
+#: Shorter values are not judged.
+MIN_VALUE = 8
 MIN_BITS = 36.0
 
 #: Words that stand in for a password or begin most guesses, most common first.
@@ -50,6 +55,8 @@ COMMON = (
 ).split()
 RANK = {word: i + 1 for i, word in enumerate(COMMON)}
 LONGEST = max(map(len, COMMON))
+#: No part but a walk or a repeat of one key starts further back: words, dates, blocks of 16.
+REACH = max(LONGEST, 16)
 #: Rows of a keyboard.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 NEXT_KEYS = {(row[i], row[i + 1]) for row in KEYBOARD for i in range(len(row) - 1)}
@@ -68,26 +75,31 @@ def brute_bits(c: str) -> float:
     return math.log2(33) if c.isascii() else 10.0
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, enough: float = math.inf) -> float:
     """The bits of the cheapest way to guess ``value`` part by part.
 
     A part costs the bits of its own choice and one bit that ends it. Ties are of no
     consequence, since only the cost is returned. The empty value costs nothing.
+
+    As soon as every way on costs ``enough`` or more, a number that is at least ``enough`` is
+    returned: a part starts within the last REACH places or in the walk or repeat under way.
     """
     n = len(value)
     low = value.lower()
     plain = low.translate(LEET)
     cost = [0.0] + [math.inf] * n
     walk_start = repeat_start = 0
+    # starts of a walk and of a repeat under way that may still be cheapest, with the cost up to and with their first key
+    walk: list[tuple[float, int]] = []
+    repeat: list[tuple[float, int]] = []
     dates: dict[int, list[int]] = {}
-    for i in range(n):
-        for m in (DATE.match(value, i),):
-            if m:
-                dates.setdefault(m.end(), []).append(i)
-                if m.end() - i > 4:
-                    dates.setdefault(i + 4, []) if not value[i : i + 4].isdigit() else dates.setdefault(i + 4, []).append(i)
     for end in range(1, n + 1):
         c = low[end - 1]
+        m = DATE.match(value, end - 1)
+        if m:
+            dates.setdefault(m.end(), []).append(end - 1)
+            if m.end() - end > 3 and value[end - 1 : end + 3].isdigit():
+                dates.setdefault(end + 3, []).append(end - 1)
         best = cost[end - 1] + brute_bits(value[end - 1]) + (1.0 if value[end - 1].isupper() else 0.0)
         # words, in plain or leet letters, upper case costs a bit
         for start in range(max(0, end - LONGEST), end - 1):
@@ -100,26 +112,50 @@ def guess_bits(value: str) -> float:
                 if low[start:end] != value[start:end]:
                     extra += 1.0
                 best = min(best, cost[start] + math.log2(rank) + 1.0 + extra)
-        for start in dates.get(end, ()):
+        for start in dates.pop(end, ()):
             best = min(best, cost[start] + (DATE_BITS if end - start > 4 else math.log2(120)) + 1.0)
         # keyboard walks and repeats of three or more: first key, then the length
         if end > 1:
             if (low[end - 2], c) not in NEXT_KEYS:
                 walk_start = end - 1
+                walk.clear()
             if low[end - 2] != c:
                 repeat_start = end - 1
-        for since in (walk_start, repeat_start):
+                repeat.clear()
+        for since, starts in ((walk_start, walk), (repeat_start, repeat)):
             if end - since >= 3:
-                for start in range(since, end - 2):
-                    best = min(best, cost[start] + brute_bits(value[start]) + math.log2(end - start) + 1.0)
+                best = min(best, _run_bits(starts, cost[end - 3] + brute_bits(value[end - 3]), end))
         # a repeat of the block before
         for size in range(2, min(16, end // 2) + 1):
             if low[end - size : end] == low[end - 2 * size : end - size]:
                 best = min(best, cost[end - size] + math.log2(size) + 2.0)
         cost[end] = best
+        if best >= enough and end < n:
+            least = min(cost[max(0, end - REACH) : end + 1])
+            if least >= enough and all(x >= enough for x, _ in (*walk, *repeat)):
+                return least
     return cost[n]
 
 
+def _run_bits(starts: list[tuple[float, int]], bits: float, end: int) -> float:
+    """The cheapest walk or repeat up to ``end``, after its latest possible start has joined ``starts``.
+
+    The length of an earlier start grows the slower, so a start that an earlier one undercuts
+    now is undercut from now on, and one that costs no less than a later one always is.
+    """
+    while starts and starts[-1][0] >= bits:
+        starts.pop()
+    starts.append((bits, end - 3))
+    best, kept = math.inf, []
+    for bits, start in starts:
+        total = bits + math.log2(end - start) + 1.0
+        if total < best:
+            best = total
+            kept.append((bits, start))
+    starts[:] = kept
+    return best
+
+
 def spans_of(text: bytes) -> list[tuple[int, int, int]]:
     """(start, kind, end) in bytes, in order."""
     found = [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)] if b"AKIA" in text else []
@@ -127,10 +163,14 @@ def spans_of(text: bytes) -> list[tuple[int, int, int]]:
     low = text.lower()
     if any(h in low for h in HINTS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
-        for m in CONTEXT.finditer(text):
-            at = m.lastindex
-            if guess_bits(m.group(at).decode("utf-8", "replace")) >= MIN_BITS:
-                found.append((m.start(at), 3, m.end(at)))
+        m = CONTEXT.search(text)
+        while m:
+            start, end = m.span(m.lastindex)
+            secret = end - start >= MIN_VALUE and guess_bits(text[start:end].decode("utf-8", "replace"), MIN_BITS) >= MIN_BITS
+            if secret:
+                found.append((start, 3, end))
+            # a value that is none may hold the next credential word
+            m = CONTEXT.search(text, end if secret else start)
     return sorted(found)
 
 

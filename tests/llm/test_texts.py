@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import binascii
+import functools
 import hashlib
 import math
 import random
@@ -272,6 +273,58 @@ def test_guess_cost():
     assert all(secrets.guess_bits(v) <= sum(secrets.brute_bits(c) + c.isupper() for c in v) + 1e-9 for v in weak + strong)
 
 
+def test_credentials_are_found_whole():
+    draw = random.Random(8)
+    long = "".join(draw.choices("abcdefghijkmnpqrstuvwxyzABCDEFGH23456789!%&*~", k=400))
+    same = "".join(draw.choices("abcdefghijkmnpqrstuvwxyz", k=100_000))
+    for text, values in [
+        (f"auth: {long} end", [long]),
+        (f'auth: "{long}" end', [long]),
+        (f"pwd{' ' * 10}={' ' * 300}{long}", [long]),
+        ('secret: password: "X9$kq2#LmZ77w"', ["X9$kq2#LmZ77w"]),
+        ('passphrase = "violet kettle orbits nine lamps"', ["violet kettle orbits nine lamps"]),
+        (r'auth: "X9$kq2\"#LmZ77w" x', [r"X9$kq2\"#LmZ77w"]),
+        (f'credential: "{long}\nnext line', [long]),
+        (f"auth: {same} pwd: {'z' * 50_000} auth: password123", [same]),
+        ('pwd: "short" pwd: "" auth: "password" then', []),
+    ]:
+        raw = text.encode()
+        assert [raw[a:b].decode() for a, k, b in secrets.spans_of(raw) if k == 3] == values, text[:80]
+        assert secrets._replaced(raw, b"#").decode() == functools.reduce(lambda t, v: t.replace(v, "#"), values, text)
+
+
+def test_guess_cost_stops_early_and_follows_long_runs():
+    draw = random.Random(9)
+    for _ in range(400):
+        value = "".join(draw.choice(["a", "1", "12", "123", "qwe", "pass", "passs", "password", "2011", "20111105", "Zx", "$", "aaaa", "abcab"]) for _ in range(draw.randint(1, 14)))
+        whole = secrets.guess_bits(value)
+        assert whole == pytest.approx(plain_guess_bits(value))
+        for enough in (10.0, secrets.MIN_BITS):
+            assert (secrets.guess_bits(value, enough) >= enough) == (whole >= enough)
+
+
+def plain_guess_bits(value: str) -> float:
+    """The cheapest cut, with every part that may end at a place looked at."""
+    low, plain = value.lower(), value.lower().translate(secrets.LEET)
+    cost = [0.0] + [math.inf] * len(value)
+    for end in range(1, len(value) + 1):
+        ways = [cost[end - 1] + secrets.brute_bits(value[end - 1]) + value[end - 1].isupper()]
+        for start in range(end - 1):
+            word, size = low[start:end], end - start
+            rank = secrets.RANK.get(word) or secrets.RANK.get(plain[start:end])
+            if rank:
+                ways.append(cost[start] + math.log2(rank) + 1 + 2 * (word not in secrets.RANK) + (word != value[start:end]))
+            date = secrets.DATE.match(value, start)
+            if date and (date.end() == end or date.end() - start > 4 and size == 4 and value[start:end].isdigit()):
+                ways.append(cost[start] + (secrets.DATE_BITS if size > 4 else math.log2(120)) + 1)
+            if size > 2 and (len(set(word)) == 1 or all(pair in secrets.NEXT_KEYS for pair in zip(word, word[1:], strict=False))):
+                ways.append(cost[start] + secrets.brute_bits(value[start]) + math.log2(size) + 1)
+            if size <= 16 and start >= size and low[start - size : start] == word:
+                ways.append(cost[start] + math.log2(size) + 2)
+        cost[end] = min(ways)
+    return cost[-1]
+
+
 # ------------------------------------------------------------------ licences
 
 
