@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablekit.llm import bpe, decontaminate, jaccard, language, secrets
 from tablekit.storage import shared_root
 
-#: A cosine below this says nothing about a text's language.
+#: The least cosine in a language where labelled texts give no level of their own: that of texts turned away from every language.
 MIN_SCORE = 0.01
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -25,8 +25,9 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of ``lang``; texts without a letter or like none go."""
-    return language.accepted(docs, language.learn(docs), MIN_SCORE)
+    """Documents in one of the languages of ``lang``; texts without a letter or less like it than its labelled texts go."""
+    prototypes, levels = language.learn_with_levels(docs)
+    return language.accepted(docs, prototypes, MIN_SCORE, levels=levels)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,12 +10,16 @@ over the texts labelled with it. The prediction is the prototype with the larges
   was learned. Of equal cosines the language first in order wins; scores lie in 0 to 1.
 * Rows without label are not learned from. Repeated rows count each time. Extra columns are ignored.
 * Sums are of integers, so prototypes do not depend on the order of rows.
+
+What cosine a text must reach to be in a language depends on how many trigrams it spreads
+over: ``levels`` takes it from labelled texts, each scored by prototypes it is not part of.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +32,19 @@ SEED = 20_011
 #: Prototypes go to every task: this many languages at most, 8 kB each. More raise an error.
 MAX_LANGUAGES = 5_000
 UNKNOWN = "und"
+#: Classes of spread: class k holds texts that spread over 2 ** k trigrams or more, but not twice as many.
+CLASSES = 32
+#: Parts of the labelled texts; each is scored by what was learned from the others.
+FOLDS = 3
+#: A level is SHARE of the QUANTILE of the held-out scores of one language and spread, if there are LEAST_TEXTS of them. The
+#: quantile itself would reject that part of the clean texts.
+QUANTILE, SHARE, LEAST_TEXTS = 0.01, 0.5, 50
+#: Unrelated sums have cosines of spread 1 / sqrt(dimensions); a level within this many of those tells nothing.
+CHANCE = 4.0
 #: Texts whose counts are multiplied with trigram vectors together.
 _BLOCK = 256
+#: Trigrams whose vectors are spelled out in floats together.
+_GRAMS = 2048
 
 
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +93,7 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep[1:] |= is_letter[:-1]
     code = np.where(is_letter, lower[code], 0)[keep]
     place = np.flatnonzero(keep)
-    text = np.searchsorted(at[place], bounds[1:-1] + np.arange(1, n), "right") if n > 1 else np.empty(0, np.int64)
+    text = np.searchsorted(at[place], bounds[1:-1] + np.arange(1, n), "left") if n > 1 else np.empty(0, np.int64)
     owner = np.zeros(len(code), np.int64)
     np.add.at(owner, text[text < len(code)], 1)
     owner = np.cumsum(owner)
@@ -116,34 +131,93 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: i
 
     Each task sums its own rows, so what is shuffled is one vector per task and language.
     """
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("sums", T.ArrayType(T.LongType()))])
+    return _learned(docs, F.lit(0), lang, text, dimensions).get(0, {})
+
+
+def _learned(docs: DataFrame, fold: Column, lang: str, text: str, dimensions: int) -> dict[int, dict[str, np.ndarray]]:
+    """The prototypes of each fold's labelled rows."""
+    schema = T.StructType([T.StructField("fold", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("sums", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple[int, str], np.ndarray] = {}
         for batch in batches:
             for part in slices(batch, "__llm_text"):
                 rows, owner, gram = trigrams(part.column("__llm_text"))
                 if not len(rows):
                     continue
-                names = part.column("lang").to_pylist()
+                names = list(zip(part.column("fold").to_pylist(), part.column("lang").to_pylist(), strict=True))
                 labels = sorted(set(names))
                 label_of = np.array([labels.index(x) for x in names])
                 counts = np.bincount(label_of[owner] * len(rows) + gram, minlength=len(labels) * len(rows)).reshape(len(labels), -1)
-                added = counts.astype(np.float64) @ trigram_vectors(rows, dimensions)
+                added = sum(counts[:, i : i + _GRAMS].astype(np.float64) @ trigram_vectors(rows[i : i + _GRAMS], dimensions) for i in range(0, len(rows), _GRAMS))
                 for label, vector in zip(labels, added, strict=True):
                     sums[label] = sums.get(label, 0) + vector
         if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums)), pa.array([v.round().astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "sums"]
-            )
-
-    labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("__llm_text"))
-    summed = labelled.mapInArrow(run, schema).select("lang", F.posexplode("sums").alias("dimension", "value")).groupBy("lang", "dimension").agg(F.sum("value").alias("value"))
-    languages = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dimension", "value"))).alias("sums"))
-    found = languages.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
+            values = pa.array([v.round().astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in sums], pa.int32()), pa.array([x for _, x in sums]), values], names=schema.names)
+
+    labelled = docs.where(F.col(lang).isNotNull()).select(fold.cast("int").alias("fold"), F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("__llm_text"))
+    summed = labelled.mapInArrow(run, schema).select("fold", "lang", F.posexplode("sums").alias("dimension", "value"))
+    summed = summed.groupBy("fold", "lang", "dimension").agg(F.sum("value").alias("value"))
+    languages = summed.groupBy("fold", "lang").agg(F.sort_array(F.collect_list(F.struct("dimension", "value"))).alias("sums"))
+    found: dict[int, dict[str, np.ndarray]] = {}
+    for r in languages.orderBy("lang", "fold").limit(FOLDS * MAX_LANGUAGES + 1).toLocalIterator():
+        found.setdefault(r.fold, {})[r.lang] = np.array([x.value for x in r.sums], np.float64)
+    if len({x for part in found.values() for x in part}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return {r.lang: np.array([x.value for x in r.sums], np.float64) for r in found}
+    return found
+
+
+def learn_with_levels(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang", text: str = "text", dimensions: int = DIMENSIONS) -> tuple[dict[str, np.ndarray], dict[tuple[str, int], float]]:
+    """The prototypes of ``learn``, and for (language, class of spread) the cosine a text must reach.
+
+    Every labelled text is scored by the prototypes of the other folds. Texts that these take
+    for another language are left out. A language with few texts in a class takes the class's
+    level over all languages, or that of its own nearest texts if lower; a class with few texts
+    takes the level of the one before, since scores grow with the spread. Without any, or within
+    CHANCE, there is no level: so short texts cannot be told from others.
+    """
+    fold = remainder(doc_id, FOLDS)
+    parts = _learned(docs, fold, lang, text, dimensions)
+    whole: dict[str, np.ndarray] = {}
+    for part in parts.values():
+        for label, vector in part.items():
+            whole[label] = whole.get(label, 0) + vector
+    others = {f: {x: v for x, total in whole.items() if (v := total - parts.get(f, {}).get(x, 0)).any()} for f in range(FOLDS)}
+    shared = docs.sparkSession.sparkContext.broadcast(others)
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("spread", T.IntegerType()), T.StructField("score", T.DoubleType())])
+
+    def convert(batch: pa.RecordBatch):
+        labels, spread, score = [], [], []
+        for f in range(FOLDS):
+            part = batch.filter(pc.equal(batch.column("fold"), f))
+            best, cosine, size = scored(part.column("__llm_text"), shared.value[f])
+            right = [i for i, (x, y) in enumerate(zip(best, part.column("lang").to_pylist(), strict=True)) if x == y and size[i] >= 0]
+            labels += [best[i] for i in right]
+            spread += size[right].tolist()
+            score += cosine[right].tolist()
+        return [labels, spread, score]
+
+    labelled = docs.where(F.col(lang).isNotNull()).select(fold.cast("int").alias("fold"), F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("__llm_text"))
+    told = map_rows(labelled, schema, convert, "__llm_text")
+    low = F.percentile_approx("score", QUANTILE, 10_000)
+    # a class holds twice the spread of the one before, so these are CLASSES rows a language at most; those of all languages have none
+    classes = told.withColumn("lang", F.explode(F.array("lang", F.lit(None).cast("string")))).groupBy("lang", "spread").agg(F.count("*").alias("n"), low.alias("low"))
+    own: dict[str | None, dict[int, tuple[int, float]]] = {}
+    for r in classes.toLocalIterator():
+        own.setdefault(r.lang, {})[r.spread] = (r.n, r.low * SHARE)
+    pooled = {spread: level for spread, (n, level) in own.get(None, {}).items() if n >= LEAST_TEXTS}
+    levels: dict[tuple[str, int], float] = {}
+    for label in whole:
+        texts, level = own.get(label, {}), None
+        for spread in range(CLASSES):
+            if texts.get(spread, (0, 0.0))[0] >= LEAST_TEXTS:
+                level = texts[spread][1]
+            elif spread in pooled:
+                level = min([pooled[spread], *(texts[k][1] for k in sorted(texts, key=lambda k: (abs(k - spread), k))[:1])])
+            if level is not None and level > CHANCE / np.sqrt(dimensions):
+                levels[label, spread] = level
+    return whole, levels
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -161,26 +235,43 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "d
 
 def scores(column: pa.Array, prototypes: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
     """The best language of each text and its cosine."""
+    return scored(column, prototypes)[:2]
+
+
+def scored(column: pa.Array, prototypes: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The best language of each text, its cosine, and the class of its spread; that is -1 where there is no letter.
+
+    The spread is the number of equally frequent trigrams that would give a vector of the
+    same length to the sum: a line told a hundred times spreads no further than once.
+    """
     n = len(column)
     labels = sorted(prototypes)
-    best, score = [UNKNOWN] * n, np.zeros(n)
+    best, score, spread = [UNKNOWN] * n, np.zeros(n), np.full(n, -1, np.int64)
+    if not n:
+        return best, score, spread
     rows, owner, gram = trigrams(column)
     if not len(rows) or not labels:
-        return best, score
+        return best, score, spread
     unit = np.stack([prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-300) for x in labels])
-    vectors = trigram_vectors(rows, unit.shape[1])
+    vectors = np.concatenate([trigram_vectors(rows[i : i + _GRAMS], unit.shape[1]).astype(np.int8) for i in range(0, len(rows), _GRAMS)])
     cuts = np.searchsorted(owner, np.arange(0, n + _BLOCK, _BLOCK))
     for start, a, b in zip(range(0, n, _BLOCK), cuts, cuts[1:], strict=False):
         size = min(_BLOCK, n - start)
-        texts = (_counts(owner[a:b] - start, gram[a:b], size, len(rows)) @ vectors).astype(np.float64)
+        counts = _counts(owner[a:b] - start, gram[a:b], size, len(rows))
+        texts = sum(counts[:, i : i + _GRAMS] @ vectors[i : i + _GRAMS].astype(np.float32) for i in range(0, len(rows), _GRAMS)).astype(np.float64)
         norm = np.linalg.norm(texts, axis=1)
         cosine = texts @ unit.T / np.where(norm > 0, norm, 1)[:, None]
         top = cosine.argmax(axis=1)
-        present = np.bincount(owner[a:b] - start, minlength=size) > 0
+        total = np.bincount(owner[a:b] - start, minlength=size)
+        present = total > 0
+        squares = np.einsum("ij,ij->i", counts, counts)
+        del counts
+        wide = np.floor(np.log2(np.maximum(1, total.astype(np.float64) ** 2 / np.maximum(1, squares)) + 1e-6)).astype(np.int64)
+        spread[start : start + size] = np.where(present, np.clip(wide, 0, CLASSES - 1), -1)
         for i in np.flatnonzero(present).tolist():
             best[start + i] = labels[top[i]]
             score[start + i] = min(1.0, max(0.0, cosine[i, top[i]]))
-    return best, score
+    return best, score, spread
 
 
 def remainder(doc_id: str, parts: int = 3) -> Column:
@@ -188,7 +279,16 @@ def remainder(doc_id: str, parts: int = 3) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def accepted(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in a learned language: those with letters and a score of ``min_score`` or more."""
-    told = predict(docs, prototypes, doc_id, text, keep=tuple(docs.columns))
-    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+def accepted(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text: str = "text", levels: dict[tuple[str, int], float] | None = None) -> DataFrame:
+    """The rows of ``docs`` in a learned language: those with letters and a score of ``min_score`` and of their level or more."""
+    shared = docs.sparkSession.sparkContext.broadcast((prototypes, levels or {}))
+    names = docs.columns
+
+    def convert(batch: pa.RecordBatch):
+        learned, least = shared.value
+        found = zip(*scored(batch.column(len(names)), learned), strict=True)
+        keep = pa.array([x != UNKNOWN and s >= max(min_score, least.get((x, int(k)), 0.0)) for x, s, k in found], pa.bool_())
+        return [batch.column(i).filter(keep) for i in range(len(names))]
+
+    schema = T.StructType([field(docs, c) for c in names])
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")

@@ -196,6 +196,20 @@ def test_pipeline_against_plain_python(spark):
     assert len(got) == len(want)
 
 
+def test_only_texts_like_labelled_ones_stay(spark):
+    import base64
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    draw = random.Random(11)
+    polish = "Wczoraj wieczorem poszliśmy nad rzekę, gdzie dzieci puszczały latawce, a starsi ludzie rozmawiali o pogodzie i zbliżających się żniwach."
+    strange = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz     ", k=n)) for n in (300, 3_000)]
+    strange += [base64.b64encode(draw.randbytes(n)).decode() for n in (300, 3_000)]
+    strange += [polish, "Kissa istuu ikkunalla ja katselee ulos, kun lunta sataa hiljaa maahan ja lapset leikkivät pihalla iloisesti koko päivän."]
+    added = spark.createDataFrame([(-1 - i, t, lang, "s", len(t)) for i, (t, lang) in enumerate(zip(strange, ["en", "en", None, "en", None, None], strict=True))], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, docs.union(added.select(*docs.columns)), "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     rows = [(1, None, None, None, None), (None, "words without an id", "en", "s", 3), (2, "", "en", "s", 0), (3, "Twice told tale of words", "en", None, 5), (3, "Twice told tale of words", "en", None, 5), (4, "Another tale of other words", "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
