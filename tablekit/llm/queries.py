@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, jaccard, language, licenses, secrets, tokens, urls, vectors, warc
+from tablekit.llm import bpe, decontaminate, jaccard, language, licenses, merkle, secrets, tokens, urls, vectors, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -246,3 +246,83 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(best["dice"], F.lit(0.0)).alias("dice"),
         F.size("matches").cast("long").alias("n_matches"),
     )
+
+
+#: crc32 of an id's decimal text: the polynomial's table, then one step a character.
+CRC_CTES = """
+    crc_table as (
+        select list(c order by i) as crc_of from (
+            select i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+            from (select unnest(range(256))::bigint as i)
+        )
+    ),
+    crc as (
+        select doc_id, coalesce(xor(list_reduce(
+            [4294967295::bigint] || list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint),
+            lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])
+        ), 4294967295), 0) as h
+        from (select distinct doc_id from documents), crc_table
+    )
+    """
+
+
+def crc32_of_id() -> Column:
+    """Unsigned crc32 of the decimal ``doc_id``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+MERKLE_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _oracle_13() -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen(({value})::varchar)::varchar || ':' || ({value})::varchar, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if f == "text" else f) for f in MERKLE_FIELDS) + ")"
+
+    # trees of up to 16 ** 6 nodes: `u` levels of one tree a source, then `t` levels over the subroots
+    ctes = [
+        CRC_CTES,
+        f"""leaves as (
+            select doc_id, row_number() over (partition by source order by doc_id nulls first, {leaf("text")}) - 1 as place, coalesce('=' || source, '') as tree,
+                   {leaf("text")} as leaf, case when crc.h % 5 = 0 then {leaf(LOWER.format("text"))} else {leaf("text")} end as claimed
+            from documents left join crc using (doc_id)
+        )""",
+        "u0 as (select tree, place, leaf as node, count(*) over (partition by tree) as n from leaves)",
+    ]
+    depth = 6
+    for t, first in (("u", None), ("t", f"select '' as tree, row_number() over (order by tree) - 1 as place, node, count(*) over () as n from u{depth}")):
+        if first:
+            ctes.append(f"t0 as ({first})")
+        for k in range(1, depth + 1):
+            ctes.append(f"""{t}{k} as (
+                select tree, place // 16 as place, case when n = 1 then min(node) else sha256(string_agg(node, '' order by place)) end as node, (n + 15) // 16 as n
+                from {t}{k - 1} group by tree, n, place // 16
+            )""")
+    steps = [("u", k, "tree", f"place // {16**k}") for k in range(depth)] + [("t", k, "''", f"top // {16**k}") for k in range(depth)]
+    ctes.append(f"names as (select tree, row_number() over (order by tree) - 1 as top, node as subroot from u{depth})")
+    ctes.append("w0 as (select leaves.*, top, subroot, claimed as folded, '' as proof from leaves join names using (tree))")
+    for i, (t, k, tree, place) in enumerate(steps):
+        ctes.append(f"""runs{i} as (select tree as run_tree, place // 16 as run, list(node order by place) as nodes from {t}{k} where n > 1 group by all)""")
+        ctes.append(f"""w{i + 1} as (
+            select w.* exclude (folded, proof, nodes, lft, rgt), proof || coalesce(array_to_string(lft || rgt, ''), '') as proof,
+                   case when nodes is null then folded else sha256(array_to_string(lft, '') || folded || array_to_string(rgt, '')) end as folded
+            from (
+                select w{i}.*, nodes, nodes[1:({place}) % 16] as lft, nodes[({place}) % 16 + 2:] as rgt
+                from w{i} left join runs{i} on run_tree = {tree} and run = ({place}) // 16
+            ) w
+        )""")
+    return f"""
+    with {", ".join(ctes)}
+    select doc_id, leaf, subroot, t{depth}.node as root, sha256(proof) as proof_sha256, folded as folded_root, folded = t{depth}.node as verified
+    from w{len(steps)}, t{depth}
+    """
+
+
+@query("op13_merkle_manifest", _oracle_13())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf([lowered if f == "text" else F.col(f) for f in MERKLE_FIELDS])
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), MERKLE_FIELDS, "source", "doc_id", F.when(crc32_of_id() % 5 == 0, tampered))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
