@@ -5,7 +5,7 @@ tree has several nodes, every ARITY consecutive ones (the last run may be shorte
 included) become the SHA-256 of their hex digests. What remains is the group's subroot; the
 subroots, ordered by group, become the root in the same way.
 
-Trees are worked on in superblocks of ARITY ** LEVELS consecutive nodes. On the way up each
+Trees are worked on in superblocks of ARITY ** LEVELS (4,096) consecutive nodes, which is what one call of a task's function holds. On the way up each
 superblock becomes one node, so the next table is some thousands of times smaller. On the way
 down the nodes of a superblock are cogrouped with the one row of nodes outside it that its
 members' proofs need: the task repeats the local reduction, joins both parts of each proof and
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,14 +35,41 @@ from tablekit.storage import cut_lineage
 
 ARITY = 16
 LEVELS = 3
-#: Nodes of a superblock: what one call of the cogrouped function holds.
-BLOCK = ARITY**LEVELS
 
 
 def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+class Shape(NamedTuple):
+    """How trees are cut into superblocks."""
+
+    arity: int
+    levels: int
+
+    @property
+    def block(self) -> int:
+        return self.arity**self.levels
+
+    def local(self, nodes: list[str], size: int) -> tuple[list[list[str]], str]:
+        """The levels of a superblock below its topmost node, and that node; ``size`` is the number of nodes of the whole tree."""
+        below = []
+        while size > 1 and len(below) < self.levels:
+            below.append(nodes)
+            nodes = [digest("".join(nodes[i : i + self.arity])) for i in range(0, len(nodes), self.arity)]
+            size = -(-size // self.arity)
+        return below, nodes[0]
+
+    def siblings(self, below: list[list[str]], index: int) -> list[str]:
+        """For each level the nodes left and right of that which leads to node ``index``, within its run."""
+        path = []
+        for level in below:
+            start = index - index % self.arity
+            path.append("".join(level[start:index]) + ":" + "".join(level[index + 1 : start + self.arity]))
+            index //= self.arity
+        return path
+
+
 def leaf(fields: Sequence[Column]) -> Column:
     """The SHA-256 of fields one behind the other, each ``-`` if null, else its UTF-8 length, a colon and the value."""
     parts = []
@@ -51,7 +79,7 @@ def leaf(fields: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, claimed: Column | None = None, proofs: bool = False) -> DataFrame:
+def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, claimed: Column | None = None, proofs: bool = False, arity: int = ARITY, levels: int = LEVELS) -> DataFrame:
     """Each row's order value and group, its leaf, subroot and root, its proof's SHA-256, and where the claimed leaf leads.
 
     ``claimed`` is the leaf to check against the manifest (null or not given: the row's own);
@@ -59,6 +87,9 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, cla
     that is the manifest's. With ``proofs`` the siblings themselves come too, one text for each
     level: those left of the node, a colon, those right of it.
     """
+    if arity < 2 or levels < 1:
+        raise ValueError("a superblock joins two nodes at least")
+    shape = Shape(arity, levels)
     own = leaf([F.col(c) for c in fields])
     rows = docs.select(
         # a text that is never null and keeps the order, nulls first
@@ -68,21 +99,21 @@ def manifest(docs: DataFrame, fields: Sequence[str], group: str, order: str, cla
         own.alias("node"),
         (F.lit(None).cast("string") if claimed is None else claimed).alias("claimed"),
     )
-    levels = [_placed(cut_lineage(rows, "merkle-leaves"), ["key", "node"])]
-    levels += _reduced(levels[0])
-    subroots = levels[-1]
+    trees = [_placed(cut_lineage(rows, "merkle-leaves"), ["key", "node"])]
+    trees += _reduced(trees[0], shape)
+    subroots = trees[-1]
     tops = [_placed(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("key"), "node"), ["key"])]
-    tops += _reduced(tops[0])
+    tops += _reduced(tops[0], shape)
 
     whole = tops[-1].select("tree", F.col("rank").alias("block"), F.col("node").alias("root"), F.array().cast("array<string>").alias("outer"))
     for nodes in reversed(tops[:-1]):
-        whole = _paths(nodes, whole)
+        whole = _paths(nodes, whole, shape)
     tree_of = tops[0].select(F.col("rank").alias("block"), F.col("key").alias("tree_name"))
     inner = whole.join(tree_of, "block").select(F.col("tree_name").alias("tree"), F.lit(0).cast("long").alias("block"), "root", "outer")
     inner = inner.join(subroots.select("tree", F.col("node").alias("subroot")), "tree")
-    for nodes in reversed(levels[1:-1]):
-        inner = _paths(nodes, inner)
-    return _folded(levels[0], inner, docs.schema[order].dataType, docs.schema[group].dataType, order, group, proofs)
+    for nodes in reversed(trees[1:-1]):
+        inner = _paths(nodes, inner, shape)
+    return _folded(trees[0], inner, shape, docs.schema[order].dataType, docs.schema[group].dataType, order, group, proofs)
 
 
 def _placed(nodes: DataFrame, order: list[str]) -> DataFrame:
@@ -102,50 +133,30 @@ def _placed(nodes: DataFrame, order: list[str]) -> DataFrame:
     return ranked.withColumn("rank", F.col("place") + F.col("shift")).drop("part", "shift", "place")
 
 
-def _local(nodes: list[str], size: int) -> tuple[list[list[str]], str]:
-    """The levels of a superblock below its topmost node, and that node; ``size`` is the number of nodes of the whole tree."""
-    levels = []
-    while size > 1 and len(levels) < LEVELS:
-        levels.append(nodes)
-        nodes = [digest("".join(nodes[i : i + ARITY])) for i in range(0, len(nodes), ARITY)]
-        size = -(-size // ARITY)
-    return levels, nodes[0]
-
-
-def _reduced(nodes: DataFrame) -> list[DataFrame]:
+def _reduced(nodes: DataFrame, shape: Shape) -> list[DataFrame]:
     """The tables above ``nodes``, each with one row for each superblock of the one before, up to one row a tree."""
     schema = T.StructType([T.StructField("tree", T.StringType()), T.StructField("rank", T.LongType()), T.StructField("size", T.LongType()), T.StructField("node", T.StringType())])
 
     def reduce(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         size = int(block["size"].iloc[0])
-        _, top = _local(block.sort_values("rank")["node"].tolist(), size)
-        return pd.DataFrame({"tree": [key[0]], "rank": [key[1]], "size": [-(-size // BLOCK)], "node": [top]})
+        _, top = shape.local(block.sort_values("rank")["node"].tolist(), size)
+        return pd.DataFrame({"tree": [key[0]], "rank": [key[1]], "size": [-(-size // shape.block)], "node": [top]})
 
     above = []
     while True:
-        blocks = nodes.select("tree", "rank", "size", "node", F.floor(F.col("rank") / BLOCK).alias("block")).groupBy("tree", "block")
+        blocks = nodes.select("tree", "rank", "size", "node", F.floor(F.col("rank") / shape.block).alias("block")).groupBy("tree", "block")
         nodes = cut_lineage(blocks.applyInPandas(reduce, schema), "merkle-nodes")
         above.append(nodes)
         if (nodes.agg(F.max("size")).first()[0] or 1) == 1:
             return above
 
 
-def _siblings(levels: list[list[str]], index: int) -> list[str]:
-    """For each level the nodes left and right of that which leads to leaf ``index``, within its run."""
-    path = []
-    for level in levels:
-        start = index - index % ARITY
-        path.append("".join(level[start:index]) + ":" + "".join(level[index + 1 : start + ARITY]))
-        index //= ARITY
-    return path
-
-
-def _cogrouped(nodes: DataFrame, outer: DataFrame):
-    inside = nodes.withColumn("block", F.floor(F.col("rank") / BLOCK)).groupBy("tree", "block")
+def _cogrouped(nodes: DataFrame, outer: DataFrame, shape: Shape):
+    inside = nodes.withColumn("block", F.floor(F.col("rank") / shape.block)).groupBy("tree", "block")
     return inside.cogroup(outer.groupBy("tree", "block"))
 
 
-def _paths(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _paths(nodes: DataFrame, outer: DataFrame, shape: Shape) -> DataFrame:
     """What the superblocks below need: for each node, now a ``block``, the siblings from it up to the root."""
     names = [c for c in outer.columns if c not in ("tree", "block", "outer")]
     schema = T.StructType([T.StructField("tree", T.StringType()), T.StructField("block", T.LongType()), *(outer.schema[c] for c in names), outer.schema["outer"]])
@@ -154,15 +165,15 @@ def _paths(nodes: DataFrame, outer: DataFrame) -> DataFrame:
         if block.empty or above.empty:
             return pd.DataFrame({f.name: [] for f in schema})
         block = block.sort_values("rank")
-        levels, _ = _local(block["node"].tolist(), int(block["size"].iloc[0]))
+        below, _ = shape.local(block["node"].tolist(), int(block["size"].iloc[0]))
         rest = list(above["outer"].iloc[0])
-        paths = [_siblings(levels, i) + rest for i in range(len(block))]
+        paths = [shape.siblings(below, i) + rest for i in range(len(block))]
         return pd.DataFrame({"tree": key[0], "block": block["rank"].to_numpy(), **{c: above[c].iloc[0] for c in names}, "outer": paths})
 
-    return cut_lineage(_cogrouped(nodes.select("tree", "rank", "size", "node"), outer).applyInPandas(join, schema), "merkle-outer")
+    return cut_lineage(_cogrouped(nodes.select("tree", "rank", "size", "node"), outer, shape).applyInPandas(join, schema), "merkle-outer")
 
 
-def _folded(leaves: DataFrame, outer: DataFrame, order_type: T.DataType, group_type: T.DataType, order: str, group: str, proofs: bool) -> DataFrame:
+def _folded(leaves: DataFrame, outer: DataFrame, shape: Shape, order_type: T.DataType, group_type: T.DataType, order: str, group: str, proofs: bool) -> DataFrame:
     texts = ("leaf", "subroot", "root", "proof_sha256", "folded_root")
     # keys travel as texts: a column of numbers with nulls has no pandas type of its own
     schema = T.StructType([
@@ -175,10 +186,10 @@ def _folded(leaves: DataFrame, outer: DataFrame, order_type: T.DataType, group_t
             return pd.DataFrame({f.name: [] for f in schema})
         block = block.sort_values("rank")
         nodes, (top,) = block["node"].tolist(), above.to_dict("records")
-        levels, _ = _local(nodes, int(block["size"].iloc[0]))
+        below, _ = shape.local(nodes, int(block["size"].iloc[0]))
         rest, digests, folded, paths = list(top["outer"]), [], [], []
         for i, (own, told) in enumerate(zip(nodes, block["claimed"].tolist(), strict=True)):
-            path = _siblings(levels, i) + rest
+            path = shape.siblings(below, i) + rest
             node = told if isinstance(told, str) else own
             for level in path:
                 node = digest(level.replace(":", node))
@@ -191,6 +202,6 @@ def _folded(leaves: DataFrame, outer: DataFrame, order_type: T.DataType, group_t
         return pd.DataFrame(out | ({"proof": paths} if proofs else {}))
 
     narrow = leaves.select("tree", "rank", "size", "node", "claimed", F.col("key").cast("string").alias("key"), F.col("group").cast("string").alias("group"))
-    found = _cogrouped(narrow, outer).applyInPandas(fold, schema)
+    found = _cogrouped(narrow, outer, shape).applyInPandas(fold, schema)
     rest = [c for c in found.columns if c not in ("key", "group")]
     return found.select(F.col("key").cast(order_type).alias(order), F.col("group").cast(group_type).alias(group), *rest)

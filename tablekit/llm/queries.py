@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, jaccard, language, licenses, merkle, secrets, tokens, urls, vectors, warc
+from tablekit.llm import bpe, debruijn, decontaminate, jaccard, language, licenses, merkle, periodic, secrets, tokens, urls, vectors, warc
 from tablekit.storage import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -326,3 +326,78 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = merkle.leaf([lowered if f == "text" else F.col(f) for f in MERKLE_FIELDS])
     rows = merkle.manifest(table(spark, sf_dir, "documents"), MERKLE_FIELDS, "source", "doc_id", F.when(crc32_of_id() % 5 == 0, tampered))
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLE_11 = f"""
+    with {CRC_CTES},
+    raw as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    sized as (select doc_id, w, len(w) as n, h, h // 10 as g from raw left join crc using (doc_id)),
+    d as (
+        select doc_id, case when h % 10 = 0 and n > 0
+            then list_transform(range(n), lambda i: case when i < g % n then w[i + 1] else w[g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) + 1] end)
+            else w end as w
+        from sized
+    ),
+    words as (select doc_id, unnest(w) as word, unnest(range(len(w))) as i, len(w) as n from d),
+    equal as (select a.doc_id, b.i - a.i as q, a.i from words a join words b on a.doc_id = b.doc_id and a.word = b.word and a.i < b.i and b.i - a.i <= a.n // 4),
+    islands as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as island from equal),
+    repeats as (select doc_id, q, min(i) as start, count(*) + q as length from islands group by doc_id, q, island having count(*) + q >= greatest(6, 4 * q)),
+    runs as (select doc_id, start, length, min(q) as period from repeats group by 1, 2, 3),
+    gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+    kept as (select doc_id, string_agg(word, ' ' order by i) as text from words anti join gone using (doc_id, i) group by 1),
+    listed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as list from runs group by 1),
+    longest as (select * from runs qualify row_number() over (partition by doc_id order by length desc, start, period) = 1)
+    select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length, period::bigint as period,
+           (1000 * length // period)::bigint as exponent_milli, sha256(coalesce(list, '')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
+    from documents left join listed using (doc_id) left join longest using (doc_id) left join kept using (doc_id)
+    """
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``documents`` where every text whose id's crc32 is divisible by ten repeats words from some place on, as the query is given them."""
+    h = crc32_of_id()
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    n, g = F.size("words"), F.floor(h / 10)
+    first = F.when(n > 0, g % n)
+    period = 1 + F.floor((n - F.col("first")) / (3 + g % 8))
+
+    def repeated(word: Column, i: Column) -> Column:
+        source = F.col("first") + (i - F.col("first")) % F.col("period") + 1
+        return F.when(i < F.col("first"), word).otherwise(F.element_at("words", source.cast("int")))
+
+    planned = docs.withColumn("words", words).withColumn("first", first).withColumn("period", period)
+    text = F.when(F.col("period").isNull(), F.col("text")).otherwise(F.array_join(F.transform("words", repeated), " "))
+    return planned.select("doc_id", text.alias("text"))
+
+
+@query("op11_periodic_runs", ORACLE_11)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(with_repeats(table(spark, sf_dir, "documents")))
+    longest = F.get(F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], F.signum(b["length"] - a["length"])).when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int")), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[f].cast("string") for f in ("start", "length", "period"))))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"longest.{f}").alias(f) for f in ("start", "length", "period")),
+        F.floor(F.lit(1000).cast("long") * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_substring_dedup",
+    """
+    with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+    windows as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d where len(w) >= 20)),
+    later as (select doc_id, i from windows qualify row_number() over (partition by s order by doc_id, i) > 1),
+    gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from later),
+    words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
+    kept as (select doc_id, string_agg(word, ' ' order by i) as text, count(*) as n from words anti join gone using (doc_id, i) group by 1)
+    select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+    from d left join kept using (doc_id)
+    """,
+)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = debruijn.remove(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
