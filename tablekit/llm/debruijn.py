@@ -6,14 +6,14 @@ words from one anchor past the next are the edges of a De Bruijn graph of variab
 
 1. Anchors are counted over the corpus, merged in each task before the shuffle. One that is
    found once ends every window around it; a repeated one is passed through if the words around
-   it are the same wherever it is found, and branches if not. Texts begin and end at branches.
+   it, or the text's begin or end, are the same wherever it is found, and branches if not.
 2. A join brings the kinds back to the places of the repeated anchors.
 3. Anchors that are only passed through lie on paths without branches. Each such path is one
    row: whoever holds a window of it holds all of it. Windows around a branch are a row each.
-4. Rows are compared by 128 bits of their words. The least document of equal rows is their
+4. Rows are compared by 96 bits of their words. The least document of equal rows is their
    source; the coordinates of all others, and of later places in one text, are removed.
 
-So the rows compared are paths and the windows around branches, not all windows of the corpus.
+Texts are compressed before their one shuffle. The rows compared are paths and the windows around branches, not all windows of the corpus.
 All joins and aggregates are on hashes of words or rows; a passage in a third of all texts is
 merged in each task, and its places are a skewed join that adaptive execution splits.
 
@@ -30,12 +30,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.llm.packed import hash_spans, layout, mix, true_runs
 from tablekit.llm.rows import field, map_rows, text_bytes
+from tablekit.storage import cut_lineage
 
 WINDOW = 20
 GRAM = 5
@@ -95,20 +97,18 @@ class Anchors:
         self.last = at[np.append(new[1:], len(at)) - 1]
         self.hash, self.owner = grams[self.place], words.owner[self.place]
 
-    def around(self, words: Words, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of the words that tell the anchors before and after and every window of each anchor, and whether both are there."""
-        n = len(self.place)
-        before, after = np.arange(n) - 1, np.arange(n) + 1
-        inner = np.zeros(n, bool)
-        if n > 2:
-            inner[1:-1] = (self.owner[1:-1] == self.owner[:-2]) & (self.owner[1:-1] == self.owner[2:])
-        before, after = np.where(inner, before, np.arange(n)), np.where(inner, after, np.arange(n))
+    def around(self, words: Words, window: int, gram: int) -> np.ndarray:
+        """A hash of the words that tell the anchors before and after (none: the text's begin or end) and every window of each anchor."""
+        here = np.arange(len(self.place))
+        same = np.append(self.owner[1:] == self.owner[:-1], False)
+        before, after = here - np.append(False, same[:-1]), here + same
         start = np.minimum(self.place[before], self.begin)
         end = np.maximum(self.place[after] + gram, self.last + window)
         told = words.hashes(start, end)
+        # no anchor is at distance 0 from another
         for distance in (self.place - start, self.place - self.place[before], self.place[after] - self.place):
             told = mix(told + distance.astype(np.uint64) * np.uint64(_BASES[1]))
-        return told, inner
+        return told
 
 
 def _with_row(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -116,16 +116,34 @@ def _with_row(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.withColumn("__llm_row", F.xxhash64(F.col(doc_id), F.col(text))).withColumn("__llm_text", text_bytes(text))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with compressed texts, as they are shuffled."""
+    schema = T.StructType([field(rows, c) for c in rows.columns])
+    at = rows.columns.index("__llm_text")
+
+    def convert(batch: pa.RecordBatch):
+        columns, pack = list(batch.columns), zstandard.ZstdCompressor(level=1)
+        columns[at] = [pack.compress(x.as_buffer()) for x in batch.column(at)]
+        return columns
+
+    return map_rows(rows, schema, convert, "__llm_text")
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor()
+    return pa.array([unpack.decompress(x.as_buffer()) for x in column], pa.binary())
+
+
 def anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``anchor, around, row, place`` of every anchor; ``around`` is null where a text begins or ends."""
+    """``anchor, around, row, place`` of every anchor."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("around", T.LongType()), T.StructField("row", T.LongType()), T.StructField("place", T.LongType())])
 
     def convert(batch: pa.RecordBatch):
         words = Words(batch.column("__llm_text"))
         found = Anchors(words, window, gram)
-        around, inner = found.around(words, window, gram)
+        around = found.around(words, window, gram)
         row = np.asarray(batch.column("__llm_row"))[found.owner]
-        return [found.hash.view(np.int64), pa.array(around.view(np.int64), mask=~inner), row, found.place - words.first[found.owner]]
+        return [found.hash.view(np.int64), around.view(np.int64), row, found.place - words.first[found.owner]]
 
     return map_rows(rows.select("__llm_row", "__llm_text"), schema, convert, "__llm_text")
 
@@ -133,15 +151,16 @@ def anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
     """``key_a, key_b, id, row, span``: paths without branches and windows around branches; without key where the text held it before.
 
+    The key has 96 bits of the words.
     ``span`` has the first word in its upper 32 bits, the word behind the last in its lower.
     """
     schema = T.StructType([
-        T.StructField("key_a", T.LongType()), T.StructField("key_b", T.LongType()), field(rows, doc_id, "id"),
+        T.StructField("key_a", T.LongType()), T.StructField("key_b", T.IntegerType()), field(rows, doc_id, "id"),
         T.StructField("row", T.LongType()), T.StructField("span", T.LongType()),
     ])
 
     def convert(batch: pa.RecordBatch):
-        words = Words(batch.column("__llm_text"))
+        words = Words(_unpacked(batch.column("__llm_text")))
         found = Anchors(words, window, gram)
         told = batch.column("__llm_kinds")
         values = np.asarray(told.flatten())
@@ -161,7 +180,7 @@ def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
         start = np.concatenate([found.begin[heads], windows])
         end = np.concatenate([found.last[tails], windows]) + window
         own = words.owner[start] if len(start) else start
-        a, b = words.hashes(start, end, 0), words.hashes(start, end, 1)
+        a, b = words.hashes(start, end, 0).view(np.int64), words.hashes(start, end, 1).astype(np.uint32).view(np.int32)
         order = np.lexsort((start, b, a, own))
         start, end, own, a, b = start[order], end[order], own[order], a[order], b[order]
         later = np.zeros(len(start), bool)
@@ -169,24 +188,26 @@ def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
         shift = words.first[own]
         spans = (start - shift << 32) | (end - shift)
         row = np.asarray(batch.column("__llm_row"))[own]
-        return [pa.array(a.view(np.int64), mask=later), pa.array(b.view(np.int64), mask=later), batch.column(doc_id).take(pa.array(own)), row, spans]
+        return [pa.array(a, mask=later), pa.array(b, mask=later), batch.column(doc_id).take(pa.array(own)), row, spans]
 
     return map_rows(rows, schema, convert, "__llm_text")
 
 
-def earlier_spans(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
+def earlier_spans(rows: DataFrame, packed: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
     """``row`` and the ``spans`` of its words that stand earlier in the corpus; rows without any are left out."""
     places = anchors(rows, window, gram)
-    repeated = places.groupBy("anchor").agg(F.count("*").alias("n"), F.count("around").alias("told"), F.min("around").alias("least"), F.max("around").alias("most"))
-    repeated = repeated.where("n > 1").select("anchor", (F.col("told") == F.col("n")).alias("inner"), (F.col("least") == F.col("most")).alias("same"))
-    through = F.when(F.col("inner") & F.col("same"), 1).otherwise(0)
+    repeated = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most"))
+    # a table of its own: a join on an aggregate's partitions could not split an anchor's many places
+    repeated = cut_lineage(repeated.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("same")), "debruijn-anchors")
+    through = F.when(F.col("same"), 1).otherwise(0)
     kinds = places.select("anchor", "row", "place").join(repeated, "anchor").select(F.col("row").alias("__llm_row"), (F.col("place") * 2 + through).alias("kind"))
     # a set: rows that are equal throughout share their row hash, and each task keeps one of their values
     kinds = kinds.groupBy("__llm_row").agg(F.collect_set("kind").alias("__llm_kinds"))
-    paths = _paths(rows.join(kinds, "__llm_row"), doc_id, window, gram)
-    sources = paths.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"), F.count("id").alias("n_ids"))
-    sources = sources.where("first < last or n_ids > 0 and n_ids < n").select("key_a", "key_b", "first")
-    copied = paths.join(sources, ["key_a", "key_b"]).where("first < id or id is null and first is not null")
+    paths = _paths(packed.join(kinds, "__llm_row"), doc_id, window, gram)
+    sources = paths.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("without"))
+    sources = sources.where("first < last or without and first is not null").select("key_a", F.col("key_b").alias("other"), "first")
+    # on half of the key, so that the sums are dealt anew and a path's many places can be split
+    copied = paths.join(sources, "key_a").where(F.col("key_b").bitwiseXOR(F.col("other")) == 0).where("first < id or id is null")
     within = paths.where("key_a is null")
     gone = copied.select("row", "span").union(within.select("row", "span"))
     return gone.groupBy("row").agg(F.collect_set("span").alias("spans"))
@@ -198,15 +219,17 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tu
         raise ValueError("an anchor is shorter than a window")
     names = list(dict.fromkeys([doc_id, *keep]))
     rows = _with_row(docs.select(*dict.fromkeys([*names, text])), doc_id, text).select(*names, "__llm_row", "__llm_text")
-    spans = earlier_spans(rows, doc_id, window, gram).select(F.col("row").alias("__llm_row"), F.col("spans").alias("__llm_spans"))
+    packed = _packed(rows)
+    spans = earlier_spans(rows, packed, doc_id, window, gram).select(F.col("row").alias("__llm_row"), F.col("spans").alias("__llm_spans"))
     # the same columns as in `earlier_spans`, so that texts are shuffled once for both joins
-    joined = rows.join(spans, "__llm_row", "left")
+    joined = packed.join(spans, "__llm_row", "left")
     schema = T.StructType([*(field(docs, c) for c in names), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept", T.BinaryType())])
 
     def convert(batch: pa.RecordBatch):
         n_words, n_removed, kept = [], [], []
+        unpack = zstandard.ZstdDecompressor()
         for value, gone in zip(batch.column("__llm_text"), batch.column("__llm_spans"), strict=True):
-            words = value.as_py().split()
+            words = unpack.decompress(value.as_buffer()).split()
             n_words.append(len(words))
             if gone.is_valid:
                 span = np.asarray(gone.values)
