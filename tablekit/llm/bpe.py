@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tablekit.llm.packed import gather, hash_spans, layout
-from tablekit.llm.rows import field, map_rows, text_bytes
+from tablekit.llm.rows import field, held, map_rows, text_bytes
 
 KEPT_IDS = 1_000_000
 NEVER = 1 << 30
@@ -252,17 +252,9 @@ class Encoder:
         return ids, id_bounds, *self.decode(ids, id_bounds)
 
 
-_encoders: list[tuple[object, Encoder]] = []
-
-
 def encoder_of(ranks: dict[bytes, int]) -> Encoder:
     """The encoder of a broadcast vocabulary, kept by the Python worker."""
-    for known, encoder in _encoders:
-        if known is ranks:
-            return encoder
-    del _encoders[:]
-    _encoders.append((ranks, Encoder(ranks)))
-    return _encoders[0][1]
+    return held("bpe", ranks, lambda: Encoder(ranks))
 
 
 def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

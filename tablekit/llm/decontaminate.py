@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekit.llm.rows import field, map_rows, text_bytes
+from tablekit.llm.rows import field, held, map_rows, text_bytes
 
 WINDOW = 10
 #: Words of one automaton; a Python automaton takes about 1 kB per word.
@@ -217,17 +217,9 @@ def matches(
     )
 
 
-_built: list[tuple[object, int, Automaton]] = []
-
-
 def automaton_of(group: list, n: int) -> Automaton:
-    """The automaton of a broadcast group, built once per Python worker."""
-    for known, size, automaton in _built:
-        if known is group and size == n:
-            return automaton
-    del _built[:-1]
-    _built.append((group, n, Automaton(group, n)))
-    return _built[-1][2]
+    """The automaton of a broadcast group, kept by the Python worker."""
+    return held(f"automaton {n}", group, lambda: Automaton(group, n))
 
 
 def _matcher(shared, n: int, carried: int):

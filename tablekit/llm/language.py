@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.llm.packed import layout, mix
-from tablekit.llm.rows import field, map_rows, slices, text_bytes
+from tablekit.llm.rows import field, held, map_rows, slices, text_bytes
 
 DIMENSIONS = 1024
 SEED = 20_011
@@ -41,10 +41,10 @@ FOLDS = 3
 QUANTILE, SHARE, LEAST_TEXTS = 0.01, 0.5, 50
 #: Unrelated sums have cosines of spread 1 / sqrt(dimensions); a level within this many of those tells nothing.
 CHANCE = 4.0
-#: Texts whose counts are multiplied with trigram vectors together.
-_BLOCK = 256
-#: Trigrams whose vectors are spelled out in floats together.
+#: Trigrams whose vectors are spelled out together.
 _GRAMS = 2048
+#: A count costs as much to add as so many to multiply.
+_SPARSE = 20
 
 
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -61,21 +61,20 @@ def letter_tables() -> tuple[np.ndarray, np.ndarray]:
     return letter, lower
 
 
-_tables: list[tuple[np.ndarray, np.ndarray]] = []
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    return held("letters", None, letter_tables)
 
 
-def _letters() -> tuple[np.ndarray, np.ndarray]:
-    if not _tables:
-        _tables.append(letter_tables())
-    return _tables[0]
+def letter_bits(codes: np.ndarray, dimensions: int) -> np.ndarray:
+    """A row of bits for each code point: 1 stands for +1, 0 for -1."""
+    words = dimensions // 64
+    seeds = codes.astype(np.uint64)[:, None] * np.uint64(words) + np.arange(words, dtype=np.uint64) + np.uint64(SEED)
+    return np.unpackbits(mix(mix(seeds) * np.uint64(0xD6E8FEB86659FD93)).view(np.uint8), axis=1)
 
 
 def letter_vectors(codes: np.ndarray, dimensions: int) -> np.ndarray:
     """A row of +1 and -1 for each code point."""
-    words = dimensions // 64
-    seeds = codes.astype(np.uint64)[:, None] * np.uint64(words) + np.arange(words, dtype=np.uint64) + np.uint64(SEED)
-    bits = np.unpackbits(mix(mix(seeds) * np.uint64(0xD6E8FEB86659FD93)).view(np.uint8), axis=1)
-    return (bits.astype(np.int8) << 1) - 1
+    return (letter_bits(codes, dimensions).astype(np.int8) << 1) - 1
 
 
 def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,17 +112,56 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, owner[middle], which
 
 
-def trigram_vectors(rows: np.ndarray, dimensions: int) -> np.ndarray:
-    """The bound vectors of trigrams."""
-    alphabet, index = np.unique(rows, return_inverse=True)
-    index = index.reshape(rows.shape)
-    vectors = letter_vectors(alphabet, dimensions)
-    bound = np.roll(vectors, 2, axis=1)[index[:, 0]] * np.roll(vectors, 1, axis=1)[index[:, 1]] * vectors[index[:, 2]]
-    return bound.astype(np.float32)
+class Bound:
+    """The bound vectors of trigrams, as bits: of three signs the product is + where the three bits' exclusive or is 1."""
 
+    def __init__(self, rows: np.ndarray, dimensions: int):
+        alphabet, index = np.unique(rows, return_inverse=True)
+        self.index = index.reshape(rows.shape)
+        bits = letter_bits(alphabet, dimensions)
+        self.rotated = [np.packbits(np.roll(bits, shift, axis=1), axis=1) for shift in (2, 1, 0)]
 
-def _counts(row: np.ndarray, gram: np.ndarray, rows: int, grams: int) -> np.ndarray:
-    return np.bincount(row * grams + gram, minlength=rows * grams).reshape(rows, grams).astype(np.float32)
+    def bits(self, which) -> np.ndarray:
+        first, second, third = (letters[self.index[which, k]] for k, letters in enumerate(self.rotated))
+        return np.unpackbits(first ^ second ^ third, axis=1)
+
+
+def text_sums(rows: np.ndarray, owner: np.ndarray, gram: np.ndarray, n: int, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the trigrams' vectors of each of ``n`` texts, and the sum of the squares of their counts.
+
+    Vectors are spelled out for _GRAMS trigrams at a time, whatever the alphabet. Where texts
+    share few trigrams, each text's own are added up; else counts and vectors are multiplied.
+    """
+    sums, squares = np.zeros((n, dimensions)), np.zeros(n)
+    if n * len(rows) <= 1 << 22:
+        counts = np.bincount(owner * len(rows) + gram, minlength=n * len(rows))
+        pair = np.flatnonzero(counts)
+        times = counts[pair]
+    else:
+        pair, times = np.unique(owner * len(rows) + gram, return_counts=True)
+    who, what = np.divmod(pair, len(rows))
+    if not len(pair):
+        return sums, squares
+    squares += np.bincount(who, times.astype(np.float64) ** 2, n)
+    bound = Bound(rows, dimensions)
+    # a sum of signs is twice the sum of the bits less the number of signs
+    if n * len(rows) <= _SPARSE * len(pair):
+        order = np.argsort(what, kind="stable")
+        cuts = np.searchsorted(what[order], np.arange(0, len(rows) + _GRAMS, _GRAMS))
+        for start, a, b in zip(range(0, len(rows), _GRAMS), cuts, cuts[1:], strict=False):
+            some = order[a:b]
+            block = np.zeros((n, min(_GRAMS, len(rows) - start)), np.float32)
+            block[who[some], what[some] - start] = times[some]
+            sums += block @ bound.bits(slice(start, start + _GRAMS)).astype(np.float32)
+    else:
+        for start in range(0, len(pair), _GRAMS):
+            some = slice(start, start + _GRAMS)
+            first = np.flatnonzero(np.diff(who[some], prepend=-1))
+            bits, often = bound.bits(what[some]), times[some].max() > 1
+            sums[who[some][first]] += np.add.reduceat(bits * times[some, None] if often else bits, first, axis=0, dtype=np.int64 if often else np.int32)
+    sums *= 2
+    sums -= np.bincount(who, times, n)[:, None]
+    return sums, squares
 
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
@@ -148,8 +186,7 @@ def _learned(docs: DataFrame, fold: Column, lang: str, text: str, dimensions: in
                 names = list(zip(part.column("fold").to_pylist(), part.column("lang").to_pylist(), strict=True))
                 labels = sorted(set(names))
                 label_of = np.array([labels.index(x) for x in names])
-                counts = np.bincount(label_of[owner] * len(rows) + gram, minlength=len(labels) * len(rows)).reshape(len(labels), -1)
-                added = sum(counts[:, i : i + _GRAMS].astype(np.float64) @ trigram_vectors(rows[i : i + _GRAMS], dimensions) for i in range(0, len(rows), _GRAMS))
+                added, _ = text_sums(rows, label_of[owner], gram, len(labels), dimensions)
                 for label, vector in zip(labels, added, strict=True):
                     sums[label] = sums.get(label, 0) + vector
         if sums:
@@ -253,24 +290,17 @@ def scored(column: pa.Array, prototypes: dict[str, np.ndarray]) -> tuple[list[st
     if not len(rows) or not labels:
         return best, score, spread
     unit = np.stack([prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-300) for x in labels])
-    vectors = np.concatenate([trigram_vectors(rows[i : i + _GRAMS], unit.shape[1]).astype(np.int8) for i in range(0, len(rows), _GRAMS)])
-    cuts = np.searchsorted(owner, np.arange(0, n + _BLOCK, _BLOCK))
-    for start, a, b in zip(range(0, n, _BLOCK), cuts, cuts[1:], strict=False):
-        size = min(_BLOCK, n - start)
-        counts = _counts(owner[a:b] - start, gram[a:b], size, len(rows))
-        texts = sum(counts[:, i : i + _GRAMS] @ vectors[i : i + _GRAMS].astype(np.float32) for i in range(0, len(rows), _GRAMS)).astype(np.float64)
-        norm = np.linalg.norm(texts, axis=1)
-        cosine = texts @ unit.T / np.where(norm > 0, norm, 1)[:, None]
-        top = cosine.argmax(axis=1)
-        total = np.bincount(owner[a:b] - start, minlength=size)
-        present = total > 0
-        squares = np.einsum("ij,ij->i", counts, counts)
-        del counts
-        wide = np.floor(np.log2(np.maximum(1, total.astype(np.float64) ** 2 / np.maximum(1, squares)) + 1e-6)).astype(np.int64)
-        spread[start : start + size] = np.where(present, np.clip(wide, 0, CLASSES - 1), -1)
-        for i in np.flatnonzero(present).tolist():
-            best[start + i] = labels[top[i]]
-            score[start + i] = min(1.0, max(0.0, cosine[i, top[i]]))
+    texts, squares = text_sums(rows, owner, gram, n, unit.shape[1])
+    norm = np.linalg.norm(texts, axis=1)
+    cosine = texts @ unit.T / np.where(norm > 0, norm, 1)[:, None]
+    top = cosine.argmax(axis=1)
+    total = np.bincount(owner, minlength=n)
+    present = total > 0
+    wide = np.floor(np.log2(np.maximum(1, total.astype(np.float64) ** 2 / np.maximum(1, squares)) + 1e-6)).astype(np.int64)
+    spread = np.where(present, np.clip(wide, 0, CLASSES - 1), -1)
+    for i in np.flatnonzero(present).tolist():
+        best[i] = labels[top[i]]
+        score[i] = min(1.0, max(0.0, cosine[i, top[i]]))
     return best, score, spread
 
 

@@ -14,6 +14,21 @@ SLICE_BYTES = 2 << 20
 SLICE_ROWS = 2048
 
 
+_held: list[tuple[str, object, object]] = []
+
+
+def held(kind: str, source: object, build: Callable[[], object]) -> object:
+    """What ``build`` makes of ``source`` (a broadcast value), kept by a Python worker until it makes something else.
+
+    Workers are used again by the tasks of other operators: one slot for all of them, so that
+    no task starts on top of the tables of those before it.
+    """
+    if not (_held and _held[0][0] == kind and _held[0][1] is source):
+        del _held[:]
+        _held.append((kind, source, build()))
+    return _held[0][2]
+
+
 def text_bytes(name: str) -> Column:
     """The UTF-8 bytes of a text column; null is empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"").cast("binary"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tablekit.llm.rows import field, map_rows, text_bytes
+from tablekit.llm.rows import field, held, map_rows, text_bytes
 
 #: Fixed values of the tokenizer's format.
 MARK = "▁"
@@ -114,17 +114,9 @@ class Counter:
         return total
 
 
-_counters: list[tuple[object, Counter]] = []
-
-
 def counter_of(pieces: list[tuple[str, float]]) -> Counter:
     """The counter of a broadcast vocabulary, kept by the Python worker."""
-    for known, counter in _counters:
-        if known is pieces:
-            return counter
-    del _counters[:]
-    _counters.append((pieces, Counter(pieces)))
-    return _counters[0][1]
+    return held("pieces", pieces, lambda: Counter(pieces))
 
 
 def counts(docs: DataFrame, pieces: list[tuple[str, float]], doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
