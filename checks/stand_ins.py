@@ -49,7 +49,7 @@ select e.event_id as id, case when e.event_id % 101 = 0 then null else concat('
   case e.event_id % 8 when 0 then 200 when 1 then 204 when 2 then 301 when 3 then 404 when 4 then 500 when 5 then 999 when 6 then 200 else null end as status_code,
   case when e.event_id % 103 = 0 then null else e.value * 12 end as response_time_ms,
   e.event_type as status_message, concat(e.event_type, ' ') as fix, e.ts as checked_at
-  from events e cross join (select count(*) as n from pages) c join pages p on e.event_id % c.n = p.page_id
+  from (select *, event_id % (select count(*) from pages) as page_no from events) e join pages p on e.page_no = p.page_id
 """,
     "fx_shop": """
 select concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as order_id, c_name as customer_name, p_name as product,
