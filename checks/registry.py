@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +42,9 @@ class Tables:
 
 
 def fixed(sql: str, digits: int) -> str:
-    """Half-up rounding of a double, as ``stable_round`` does it."""
-    return f"round(cast({sql} as decimal(38,{digits + 6})), {digits})::double"
+    """Half-up rounding of a double's shortest decimal, once; sums and means of doubles are compensated."""
+    exact = re.sub(r"\b(sum|avg)\(", r"f\1(", sql)
+    return f"round(cast(cast(({exact})::double as varchar) as decimal(38,15)), {digits})::double"
 
 
 def with_views(sql: str, views: tuple[str, ...]) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, fixed
-from tablekit.functions.exprs import stable_round
+from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
 from tablekit.operators import agg
 
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -71,17 +71,15 @@ def count_if(t):
 
 @check(
     "s04_07_rounded",
-    "select l_returnflag, round(cast(sum(l_extendedprice) as decimal(38,7)), 2)::double as total, "
-    "round(cast(avg(l_quantity) as decimal(38,7)), 2)::double as mean from lineitem group by l_returnflag",
+    f"select l_returnflag, {fixed('sum(l_extendedprice)', 2)} as total, {fixed('avg(l_quantity)', 2)} as mean from lineitem group by l_returnflag",
 )
 def rounded(t):
-    return agg.rounded(t.lineitem, ["l_returnflag"], {"total": F.sum("l_extendedprice"), "mean": F.avg("l_quantity")})
+    return agg.rounded(t.lineitem, ["l_returnflag"], {"total": exact_sum("l_extendedprice"), "mean": exact_mean("l_quantity")})
 
 
 @check(
     "s04_08_ratio",
-    "select l_suppkey, round(cast(sum(l_extendedprice) / nullif(sum(l_quantity), 0) as decimal(38,7)), 2)::double as ratio "
-    "from lineitem group by l_suppkey",
+    f"select l_suppkey, {fixed('sum(l_extendedprice) / nullif(sum(l_quantity), 0)', 2)} as ratio from lineitem group by l_suppkey",
 )
 def ratio(t):
     return agg.ratio(t.lineitem, ["l_suppkey"], "l_extendedprice", "l_quantity", 2)

@@ -118,6 +118,29 @@ def _with_cut_keys(fn):
     return run
 
 
+TIES = "over (partition by o_orderstatus order by o_orderpriority)"
+
+
+@check("s05_02_rank_ties_cut", f"select o_orderkey, rank() {TIES} as rank from orders")
+def rank_ties(t):
+    return _with_cut_keys(lambda t: windows.rank(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderstatus"], ["o_orderpriority"]))(t).select("o_orderkey", "rank")
+
+
+@check("s05_03_dense_rank_ties_cut", f"select o_orderkey, dense_rank() {TIES} as dense_rank from orders")
+def dense_rank_ties(t):
+    return _with_cut_keys(lambda t: windows.dense_rank(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderstatus"], ["o_orderpriority"]))(t).select("o_orderkey", "dense_rank")
+
+
+@check(
+    "s05_05_running_total_ties_cut",
+    f"select o_orderkey, count(o_orderkey) {TIES} as seen, (sum(o_custkey) {TIES})::bigint as keys, max(o_totalprice) {TIES} as highest from orders",
+)
+def running_ties(t):
+    aggs = {"seen": ("count", "o_orderkey"), "keys": ("sum", "o_custkey"), "highest": ("max", "o_totalprice")}
+    out = _with_cut_keys(lambda t: windows.running(t.orders, ["o_orderstatus"], ["o_orderpriority"], aggs))(t)
+    return out.select("o_orderkey", "seen", "keys", "highest")
+
+
 for _key in ("s05_01_row_number", "s05_02_rank", "s05_03_dense_rank", "s05_04_lag_lead", "s05_05_running_rows"):
     _fn = {"s05_01_row_number": row_number, "s05_02_rank": rank, "s05_03_dense_rank": dense_rank, "s05_04_lag_lead": lag_lead, "s05_05_running_rows": running_rows}[_key]
     check(f"{_key}_cut", ORACLES[_key])(_with_cut_keys(_fn))

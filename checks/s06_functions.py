@@ -124,8 +124,8 @@ def days(t):
 
 @check(
     "s06_17_minutes_between",
-    "select usage_id, ingestion_timestamp, round(cast((epoch_us(try_cast(session_end as timestamp)) - epoch_us(try_cast(session_start as timestamp))) "
-    "/ 6e7 as decimal(38,7)), 2)::double as minutes from fx_usage",
+    f"select usage_id, ingestion_timestamp, {fixed('(epoch_us(try_cast(session_end as timestamp)) - epoch_us(try_cast(session_start as timestamp))) / 6e7', 2)} "
+    "as minutes from fx_usage",
     "fx_usage",
 )
 def minutes_between(t):
@@ -138,7 +138,7 @@ def shift(t):
     return t.events.select("event_id", exprs.shift("ts", hours=5).alias("later"), exprs.shift("ts", days=-30).alias("earlier"))
 
 
-@check("s06_19_scaled", "select id, round(cast(response_time_ms * 0.001 as decimal(38,7)), 2)::double as seconds from fx_checks", "fx_checks")
+@check("s06_19_scaled", f"select id, {fixed('response_time_ms * 0.001', 2)} as seconds from fx_checks", "fx_checks")
 def scaled(t):
     return t.fx_checks.select("id", exprs.scaled("response_time_ms", 0.001, 2).alias("seconds"))
 

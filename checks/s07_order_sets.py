@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check, fixed
-from tablekit.functions.exprs import stable_round
+from tablekit.functions.exprs import exact_mean, stable_round
 from tablekit.operators import order, sets
 
 
@@ -24,7 +24,7 @@ def limit(t):
     f"select l_suppkey, {fixed('avg(l_extendedprice)', 4)} as avg_price from lineitem group by l_suppkey order by 2 desc, 1 limit 10",
 )
 def top_k(t):
-    mean = stable_round(F.avg("l_extendedprice"), 4).alias("avg_price")
+    mean = stable_round(exact_mean("l_extendedprice"), 4).alias("avg_price")
     return order.top_k(t.lineitem, ["l_suppkey"], [mean], ["-avg_price", "l_suppkey"], 10)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks.registry import check, fixed
-from tablekit.functions.exprs import stable_round
+from tablekit.functions.exprs import exact_mean, stable_round
 from tablekit.operators import quality
 
 RULES = [
@@ -94,7 +94,7 @@ def expectation_report(t):
 def non_empty(t):
     df = quality.non_empty(t.events, "events")
     quality.min_score(df, F.avg("value"), 0.0)
-    return df.agg(F.count(F.lit(1)).alias("rows"), stable_round(F.avg("value"), 4).alias("score"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), stable_round(exact_mean("value"), 4).alias("score"))
 
 
 @check("s13_07_relationship", "select audit_id, checkout_id from fx_audit where checkout_id not in (select order_id from fx_orders)", "fx_audit fx_orders")

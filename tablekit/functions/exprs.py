@@ -124,22 +124,43 @@ def minutes_between(start: Column | str, end: Column | str, digits: int = 2) ->
     """Duration in minutes; zone-less and zoned timestamps alike."""
     span = _column(end) - _column(start)
     seconds = span.cast("interval day to second").cast("decimal(38,6)")
-    return stable_round(seconds.cast("double") / 60, digits)
+    return F.round(seconds / 60, digits).cast("double")
 
 
 # --- numbers ----------------------------------------------------------------
 
 
-GUARD_DIGITS = 6
+def stable_round(col: Column | str, digits: int) -> Column:
+    """Round half up, once, on the shortest decimal that stands for the double."""
+    return F.round(_column(col), digits)
 
 
-def stable_round(col: Column | str, digits: int) -> Column:
-    """Round half up, where a value within half a unit of the sixth further digit is on the half.
+#: Units that a double is cut into: multiples of 2 ** 20, then of 2 ** -32, then of 2 ** -84.
+_UNITS = (2.0**20, 2.0**-32, 2.0**-84)
+
+
+def exact_sum(col: Column | str) -> Column:
+    """The sum of doubles, whatever the order of the rows: equal rows give equal bits.
 
-    The same rows added in another order differ in the last bits. Without that tolerance a
-    value on the half would land on either side from run to run.
+    Each value is cut without loss into whole multiples of three units; the multiples are added
+    as whole numbers and the three sums put together at the end. What is below 2 ** -85 of a
+    value is left out. Infinities, NaN and values of 2 ** 100 or more are added as in ``sum``.
     """
-    return F.round(F.round(_column(col), digits + GUARD_DIGITS), digits)
+    value = _column(col).cast("double")
+    finite = F.when(F.abs(value) < F.lit(2.0**100), value)
+    rest, total = finite, None
+    for unit in _UNITS:
+        whole = F.rint(rest / unit)
+        part = F.sum(whole.cast("decimal(28,0)")).cast("double") * unit
+        total = part if total is None else total + part
+        rest = rest - whole * unit
+    others = F.sum(F.when(value.isNotNull() & finite.isNull(), value))
+    return F.coalesce(others + total, others, total)
+
+
+def exact_mean(col: Column | str) -> Column:
+    """The mean that follows from :func:`exact_sum`."""
+    return F.try_divide(exact_sum(col), F.count(_column(col)))
 
 
 def scaled(col: Column | str, factor: float, digits: int | None = None) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.functions.exprs import salt, stable_round
+from tablekit.functions.exprs import exact_sum, salt, stable_round
 
 
 def count_by(df: DataFrame, keys: list[str], name: str = "count") -> DataFrame:
@@ -46,12 +46,13 @@ def count_if(df: DataFrame, keys: list[str], conditions: dict[str, Column]) -> D
 
 
 def rounded(df: DataFrame, keys: list[str], aggs: dict[str, Column], digits: int = 2) -> DataFrame:
+    """Aggregates rounded once; sums of doubles that must not depend on the order of rows use ``exprs.exact_sum``."""
     return df.groupBy(*keys).agg(*[stable_round(c, digits).alias(n) for n, c in aggs.items()])
 
 
 def ratio(df: DataFrame, keys: list[str], num: str, den: str, digits: int, name: str = "ratio") -> DataFrame:
     """Ratio of sums, NULL where the denominator sums to zero."""
-    return df.groupBy(*keys).agg(stable_round(F.try_divide(F.sum(num), F.sum(den)), digits).alias(name))
+    return df.groupBy(*keys).agg(stable_round(F.try_divide(exact_sum(num), exact_sum(den)), digits).alias(name))
 
 
 def global_stats(df: DataFrame, col: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekit.storage import replace_table, total_bytes
 
@@ -77,45 +79,88 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     replace_table(placed.repartition(files, *by, "__part").drop("__part"), path, by)
 
 
-def z_value(df: DataFrame, cols: list[str], bits: int = 6) -> Column:
-    """Interleaved bits of each column's quantile rank, so nearby rows get nearby values.
+#: Sampled values for each rank of a column that has no number to sketch.
+SAMPLE_PER_RANK = 8
+#: Characters of a text that its cuts keep.
+CUT_CHARS = 64
 
-    Columns are of any type that can be sorted. Ranks are cut at values of a random sample
-    of 32 rows for each of the ``2**bits`` ranks; NULL has the lowest rank.
+
+def _as_number(df: DataFrame, name: str) -> tuple[str, Column] | None:
+    """The kind of sketch a column's values fit into, and the values as its numbers, in the same order."""
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint", col.cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "bigint", F.unix_micros(col.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return "bigint", F.unix_date(col).cast("long")
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return "double", col.cast("double")
+    return None
+
+
+def _cuts(df: DataFrame, cols: list[str], bits: int) -> DataFrame:
+    """One row: for each column a sorted array of values that cut it into about ``2**bits`` equal parts.
+
+    Numbers and times come from quantile sketches that tasks build and merge; other types from
+    a sample of some rows for each part.
     """
-    sample = df.select(*cols).orderBy(F.rand(17)).limit(32 * 2**bits).collect()
-    z = F.lit(0).cast("long")
+    parts = 2**bits
+    # one literal: the sketches take a constant array only
+    shares = F.from_json(F.lit(json.dumps([k / parts for k in range(1, parts)])), "array<double>")
+    exact = min(65_535, max(200, 2 * parts))
+    sketches, arrays, sampled = [F.count(F.lit(1)).alias("n")], [], []
     for i, c in enumerate(cols):
-        # NaN sorts above all numbers and needs no cut
-        values = sorted(r[c] for r in sample if r[c] is not None and r[c] == r[c])
-        cuts = sorted({values[len(values) * k // 2**bits] for k in range(1, 2**bits)}) if values else []
-        rank = _rank(F.col(c), [F.lit(v).cast(df.schema[c].dataType) for v in cuts])
-        for bit in range(bits):
-            flag = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
-            z = z.bitwiseOR(F.shiftleft(flag, bit * len(cols) + i))
-    return z
+        number = _as_number(df, c)
+        if number is None:
+            sampled.append(i)
+            continue
+        kind, value = number
+        sketches.append(getattr(F, f"kll_sketch_agg_{kind}")(value, exact).alias(f"s{i}"))
+        held = getattr(F, f"kll_sketch_get_n_{kind}")(f"s{i}") > 0
+        arrays.append(F.when(held, getattr(F, f"kll_sketch_get_quantile_{kind}")(f"s{i}", shares)).alias(f"c{i}"))
+    found = df.agg(*sketches).select(*arrays) if arrays else None
+    if not sampled:
+        return found
+    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    some = df.filter(F.rand(17) < F.lit(SAMPLE_PER_RANK * parts) / rows)
+
+    def shortened(c: str) -> Column:
+        return F.substring(c, 1, CUT_CHARS) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
 
+    lists = some.agg(*[F.array_sort(F.collect_list(shortened(cols[i]))).alias(f"l{i}") for i in sampled])
 
-#: Cuts that one decision tree holds; of more, each leaf of the tree has a short list.
-TREE_CUTS = 255
+    def spread(values: str) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda k: F.get(F.col(values), F.floor(k * F.size(values) / parts).cast("int")))
 
+    picked = [spread(f"l{i}").alias(f"c{i}") for i in sampled]
+    cut = lists.select(*picked)
+    return cut if found is None else cut.select("*", found.select(F.struct("*").alias("s")).scalar().alias("s")).select(*[f"c{i}" for i in sampled], "s.*")
 
-def _rank(value: Column, cuts: list[Column]) -> Column:
-    """How many cuts lie at or below the value; 0 for NULL."""
-    step = len(cuts) // (TREE_CUTS + 1) + 1
-    coarse = cuts[step - 1 :: step]
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value >= coarse[middle], tree(middle + 1, high)).otherwise(tree(low, middle))
+def _rank(value: Column, cuts: Column, bits: int) -> Column:
+    """How many of up to ``2**bits - 1`` sorted cuts lie at or below the value, by halving; 0 for NULL."""
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(cuts, low + step - 1) <= value, low + step).otherwise(low))
 
-    if step == 1:
-        return tree(0, len(coarse))
-    leaves = F.array(*[F.array(*(cuts[k * step : (k + 1) * step - 1] or cuts[:1])) for k in range(len(coarse) + 1)])
-    at = tree(0, len(coarse))
-    return at * step + F.coalesce(F.size(F.filter(F.element_at(leaves, at + 1), lambda c: c <= value)), F.lit(0))
+
+def z_ranks(df: DataFrame, cols: list[str], bits: int) -> DataFrame:
+    """``df`` with ``__z``: the interleaved bits of each column's quantile rank, so nearby rows get nearby values.
+
+    Columns are of any type that can be sorted; NULL has the lowest rank. The cuts are one row
+    that the plan holds as a scalar subquery.
+    """
+    cuts = _cuts(df, cols, bits).select(F.struct("*").alias("c")).scalar()
+    ranks = {}
+    for i, c in enumerate(cols):
+        number = _as_number(df, c)
+        ranks[f"__r{i}"] = _rank(F.col(c) if number is None else number[1], F.col("__cuts")[f"c{i}"], bits)
+    z = F.lit(0).cast("long")
+    for i in range(len(cols)):
+        for bit in range(bits):
+            flag = F.shiftright(f"__r{i}", bit).bitwiseAND(F.lit(1)).cast("long")
+            z = z.bitwiseOR(F.shiftleft(flag, bit * len(cols) + i))
+    return df.withColumn("__cuts", cuts).withColumns(ranks).withColumn("__z", z).drop("__cuts", *ranks)
 
 
 def cluster(df: DataFrame, cols: list[str], n: int, bits: int | None = None) -> DataFrame:
@@ -125,7 +170,7 @@ def cluster(df: DataFrame, cols: list[str], n: int, bits: int | None = None) ->
     """
     if bits is None:
         bits = min(62 // len(cols), max(4, math.ceil((math.log2(max(n, 1)) + 4) / len(cols))))
-    tagged = df.withColumn("__z", z_value(df, cols, bits))
+    tagged = z_ranks(df, cols, bits)
     return tagged.repartitionByRange(n, "__z").sortWithinPartitions("__z", *cols).drop("__z")
 
 

@@ -108,7 +108,7 @@ def _rows_per_slice(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_CONF, str(ROWS_PER_SLICE)))
 
 
-def _same_keys(keys: list[str]) -> Column:
+def same_keys(keys: list[str]) -> Column:
     on = F.lit(True)
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
@@ -119,7 +119,7 @@ def _cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], limi
     """Numbered cut values of each hot key: at least one, and about one per ``limit`` rows."""
     named = [f"__k{i}" for i in range(len(keys))]
     values = F.struct(*[F.col(n).alias(f"o{i}") for i, n in enumerate(order_names(order))])
-    picked = df.filter(F.rand(17) < F.lit(SAMPLES_PER_CUT / limit)).join(hot, _same_keys(keys))
+    picked = df.filter(F.rand(17) < F.lit(SAMPLES_PER_CUT / limit)).join(hot, same_keys(keys))
     whole = Window.partitionBy(*named)
     ranked = picked.select(
         *named,
@@ -134,20 +134,26 @@ def _cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], limi
     return ranked.filter((F.col("__at") % step == 0) & (number < slices)).select(*named, number.alias("__no"), "__o")
 
 
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The keys above the row limit as columns ``__k0, __k1, ...`` with their rows; None if there is none."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > _rows_per_slice(df))
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+    hot = cut_lineage(sizes.select(*named, _ROWS), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
 def slice_hot_keys(df: DataFrame, keys: list[str], order: list[str]) -> Sliced:
     """Find the keys above the row limit and cut them along ``order``."""
     limit = _rows_per_slice(df)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)).filter(F.col(_ROWS) > limit)
-    if sizes.isEmpty():
+    hot = hot_keys(df, keys)
+    if hot is None:
         return Sliced(df, keys, order, split=False)
-    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
-    hot = cut_lineage(sizes.select(*named, _ROWS), "hot-keys")
     cuts = cut_lineage(_cuts(df, hot, keys, order, limit), "cuts")
 
     # a search tree: on each level a row meets the cuts between two of the level above
     columns = [f"__k{i}" for i in range(len(keys))]
     most = cuts.agg(F.max("__no")).first()[0] or 0
-    out = df.join(hot.select(*columns, F.lit(0).cast("long").alias(SLICE)), _same_keys(keys), "left").drop(*columns)
+    out = df.join(hot.select(*columns, F.lit(0).cast("long").alias(SLICE)), same_keys(keys), "left").drop(*columns)
     out = out.withColumn(SLICE, F.coalesce(SLICE, F.lit(-1)))
     width = 1
     while width * FAN_OUT <= most:
@@ -156,7 +162,7 @@ def slice_hot_keys(df: DataFrame, keys: list[str], order: list[str]) -> Sliced:
         level = cuts.filter(F.col("__no") % width == 0).withColumn("__no", F.expr(f"__no div {width}"))
         level = level.filter(F.col("__no") % FAN_OUT != 0).groupBy(*columns, F.expr(f"__no div {FAN_OUT}").alias("__under")).agg(F.collect_list("__o").alias("__cuts"))
         passed = F.size(F.filter(F.coalesce("__cuts", F.array().cast(level.schema["__cuts"].dataType)), lambda c: _not_after(c, order)))
-        out = out.join(level, _same_keys(keys) & (F.col(SLICE) == F.col("__under")), "left")
+        out = out.join(level, same_keys(keys) & (F.col(SLICE) == F.col("__under")), "left")
         out = out.withColumn(SLICE, F.when(F.col(SLICE) >= 0, F.col(SLICE) * FAN_OUT + passed).otherwise(-1)).drop(*columns, "__under", "__cuts")
         width //= FAN_OUT
     return Sliced(out, keys, order, split=True)

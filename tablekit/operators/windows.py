@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablekit.operators.slices import SLICE, Sliced, order_names, slice_hot_keys, sort_columns
+from tablekit.operators.slices import SLICE, Sliced, hot_keys, order_names, same_keys, slice_hot_keys, sort_columns
 
 
 def row_number(df: DataFrame, part: list[str], order: list[str], name: str = "row_number") -> DataFrame:
@@ -15,24 +17,58 @@ def row_number(df: DataFrame, part: list[str], order: list[str], name: str = "ro
 
 
 def rank(df: DataFrame, part: list[str], order: list[str], name: str = "rank") -> DataFrame:
-    """Rank with gaps after ties. Ties share their order values, hence their slice."""
-    return numbered(slice_hot_keys(df, part, order), F.rank(), name).done()
+    """Rank with gaps after ties."""
+
+    def scan(values: Sliced) -> Sliced:
+        upto = cumulate(values, {"__upto": ("sum", "__n")}, rows=True)
+        return upto.on(upto.df.withColumn(name, F.col("__upto") - F.col("__n") + 1).drop("__upto"))
+
+    found = _over_values(df, part, order, {name: F.rank()}, {"__n": F.count(F.lit(1))}, scan)
+    return found.withColumn(name, F.col(name).cast("long"))
 
 
 def dense_rank(df: DataFrame, part: list[str], order: list[str], name: str = "dense_rank") -> DataFrame:
-    """Rank without gaps: distinct order values of the slices before are added."""
-    sliced = slice_hot_keys(df, part, order)
-    values = F.count_distinct(F.struct(*order_names(order)))
-    return numbered(sliced, F.dense_rank(), name, values).done()
+    """Rank without gaps."""
+    found = _over_values(df, part, order, {name: F.dense_rank()}, {}, lambda values: numbered(values, F.row_number(), name))
+    return found.withColumn(name, F.col(name).cast("long"))
 
 
-def numbered(sliced: Sliced, ranking: Column, name: str, per_slice: Column | None = None) -> Sliced:
-    """A ranking function over slices; ``per_slice`` (default: rows) is what earlier slices add to it."""
+def _over_values(
+    df: DataFrame, part: list[str], order: list[str], plain: dict[str, Column], totals: dict[str, Column], scan: Callable[[Sliced], Sliced]
+) -> DataFrame:
+    """Window functions whose result depends on a row's order values only.
+
+    Keys of ordinary size run ``plain`` over their rows. A hot key's rows are first summed up
+    for each combination of order values, in the tasks and then across them; ``scan`` runs over
+    these sums, cut into slices if they are many, and its columns are joined with the rows. So
+    rows that share their order values need not meet in a task, however many they are: the join
+    may split them.
+    """
+    w = Window.partitionBy(*part).orderBy(*sort_columns(order))
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({n: c.over(w) for n, c in plain.items()})
+
+    hot = hot_keys(df, part)
+    if hot is None:
+        return windowed(df)
+    # without partition columns the whole table is one hot key
+    cold = windowed(df.join(hot, same_keys(part), "left_anti") if part else df.limit(0))
+    rows = df.join(hot, same_keys(part), "left_semi") if part else df
+    by = list(dict.fromkeys([*part, *order_names(order)]))
+    values = rows.groupBy(*by).agg(*[c.alias(n) for n, c in totals.items()]) if totals else rows.select(*by).distinct()
+    scanned = scan(slice_hot_keys(values, part, order)).done(*totals)
+    side = scanned.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], *[F.col(n).cast(cold.schema[n].dataType) for n in plain])
+    joined = rows.join(side, same_keys(by)).select(*df.columns, *plain)
+    return cold.select(*df.columns, *plain).union(joined)
+
+
+def numbered(sliced: Sliced, ranking: Column, name: str) -> Sliced:
+    """Row numbers over slices: each adds the rows of the slices before."""
     local = sliced.df.withColumn(name, ranking.over(sliced.window()).cast("long"))
     if not sliced.split:
         return sliced.on(local)
-    rows = F.count(F.lit(1)) if per_slice is None else per_slice
-    before = sliced.carry({"__n": rows}, {"__before": F.sum("__n")})
+    before = sliced.carry({"__n": F.count(F.lit(1))}, {"__before": F.sum("__n")})
     total = F.col(name) + F.coalesce("__before", F.lit(0))
     return sliced.on(sliced.with_carry(local, before).withColumn(name, total).drop("__before"))
 
@@ -105,7 +141,12 @@ def running(
     current row and its ties. ``rows=True`` stops at the current row itself. ``last`` is the
     latest non-NULL value so far and needs an ascending order.
     """
-    return cumulate(slice_hot_keys(df, part, order), aggs, rows).done()
+    if rows or any(f == "last" for f, _ in aggs.values()):
+        return cumulate(slice_hot_keys(df, part, order), aggs, rows).done()
+    totals = {f"__t{i}": _FOLDS[f][0](c) for i, (f, c) in enumerate(aggs.values())}
+    folds = {n: ("sum" if f == "count" else f, f"__t{i}") for i, (n, (f, _)) in enumerate(aggs.items())}
+    plain = {n: _FOLDS[f][0](c) for n, (f, c) in aggs.items()}
+    return _over_values(df, part, order, plain, totals, lambda values: cumulate(values, folds, rows=True))
 
 
 def cumulate(sliced: Sliced, aggs: dict[str, tuple[str, str]], rows: bool) -> Sliced:

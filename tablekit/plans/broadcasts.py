@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.functions.exprs import stable_round
+from tablekit.functions.exprs import exact_sum, stable_round
 from tablekit.operators import rows
 
 # Placeholder date, open range of minutes, points per stream quality.
@@ -41,16 +41,17 @@ def summary(df: DataFrame) -> DataFrame:
         points = F.when(F.col("stream_quality") == quality, value).otherwise(points)
     scored = df.withColumns({"points": points, "duration_hours": stable_round(F.col("duration_minutes") / 60, 2)})
     summed = ["duration_minutes", "duration_hours", "points", "live_viewers", "peak_viewers", "ad_revenue_usd"]
+    fractions = ("duration_hours", "ad_revenue_usd")
     largest = ["duration_minutes", "live_viewers", "peak_viewers", "ad_revenue_usd"]
     parts = scored.groupBy("sport", "network").agg(
         F.count("broadcast_id").alias("n"),
-        *[f(c).alias(f"{name}_{c}") for name, f in (("sum", F.sum), ("n", F.count)) for c in summed],
+        *[f(c).alias(f"{name}_{c}") for name, f in (("sum", lambda c: exact_sum(c) if c in fractions else F.sum(c)), ("n", F.count)) for c in summed],
         *[F.max(c).alias(f"max_{c}") for c in largest],
         F.min("duration_minutes").alias("min_duration_minutes"),
     )
 
     def total(col: str) -> Column:
-        return F.sum(f"sum_{col}")
+        return exact_sum(f"sum_{col}") if col in fractions else F.sum(f"sum_{col}")
 
     def mean(col: str) -> Column:
         return F.try_divide(total(col), F.sum(f"n_{col}"))

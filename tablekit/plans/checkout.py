@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.functions.exprs import stable_round, unpack_json
+from tablekit.functions.exprs import exact_mean, stable_round, unpack_json
 from tablekit.operators import join, order
 
 
@@ -17,7 +17,7 @@ def audit(transactions: DataFrame, audits: DataFrame, method: str, metadata_sche
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("new_status") == "FAILED").alias("failures"),
         F.count_if(F.col("new_status") == "REFUNDED").alias("refunds"),
-        stable_round(F.avg("risk_score"), 4).alias("avg_risk"),
+        stable_round(exact_mean("risk_score"), 4).alias("avg_risk"),
         F.sum("m.k").alias("metadata_total"),
     )
 

@@ -48,8 +48,8 @@ def gold_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return enriched.groupBy("order_month", "order_year", "customer_segment", "account_status").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("status_indicator").alias("delivered_orders"),
-        exprs.stable_round(F.sum("amount"), 2).alias("total_value"),
-        exprs.stable_round(F.avg("amount"), 2).alias("avg_value"),
+        exprs.stable_round(exprs.exact_sum("amount"), 2).alias("total_value"),
+        exprs.stable_round(exprs.exact_mean("amount"), 2).alias("avg_value"),
     )
 
 

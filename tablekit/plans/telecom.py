@@ -99,7 +99,7 @@ def gold_kpis(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """KPIs by signup month, region and plan."""
 
     def mean(col: str):
-        return exprs.stable_round(F.avg(col), 2)
+        return exprs.stable_round(exprs.exact_mean(col), 2)
 
     def sessions(col: str, value: str):
         return F.count_if(F.col(col) == value)
@@ -108,7 +108,7 @@ def gold_kpis(facts: DataFrame, customers: DataFrame) -> DataFrame:
     return joined.groupBy("signup_year", "signup_month", "region", "plan_type").agg(
         F.count("usage_id").alias("total_sessions"),
         F.count_distinct("customer_id").alias("active_users"),
-        exprs.stable_round(F.sum("data_used_mb"), 2).alias("total_data_consumed_mb"),
+        exprs.stable_round(exprs.exact_sum("data_used_mb"), 2).alias("total_data_consumed_mb"),
         mean("data_used_mb").alias("avg_data_usage_mb"),
         mean("session_duration_minutes").alias("avg_session_duration"),
         mean("download_speed_mbps").alias("avg_download_speed"),

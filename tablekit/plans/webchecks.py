@@ -75,10 +75,10 @@ def by_status_group(checks: DataFrame) -> DataFrame:
 
 
 def response_times(checks: DataFrame) -> DataFrame:
-    return agg.global_stats(checks, "response_time_ms").select(
-        F.col("min_response_time_ms").alias("min_response_time"),
-        F.col("max_response_time_ms").alias("max_response_time"),
-        exprs.stable_round("avg_response_time_ms", 2).alias("avg_response_time"),
+    return checks.agg(
+        F.min("response_time_ms").alias("min_response_time"),
+        F.max("response_time_ms").alias("max_response_time"),
+        exprs.stable_round(exprs.exact_mean("response_time_ms"), 2).alias("avg_response_time"),
     )
 
 
@@ -87,7 +87,7 @@ def errors(checks: DataFrame) -> DataFrame:
 
 
 def slowest(checks: DataFrame, n: int = 10) -> DataFrame:
-    mean = exprs.stable_round(F.avg("response_time_ms"), 4).alias("avg_response_time")
+    mean = exprs.stable_round(exprs.exact_mean("response_time_ms"), 4).alias("avg_response_time")
     return order.top_k(checks, ["url"], [mean], ["-avg_response_time", "url"], n)
 
 
