@@ -10,7 +10,7 @@ from checks.registry import check
 from tablekit.operators import join
 from tablekit.sources import io, streamio
 from tablekit.streaming import stream
-from tablekit.streaming.state_table import StateTable
+from tablekit.streaming.batches import BatchTable
 
 ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders"
 ORDERS_DDL = (
@@ -379,7 +379,7 @@ def fan_out(t):
     keep = t.events.select("user_id", "event_id", "value")
     source = streamio.read_files(t.spark, landed(t, keep), keep.schema, max_files=1)
     archive = t.dir("archive")
-    state = StateTable(t.dir("state"), ["user_id"], keep.schema, buckets=4)
+    state = BatchTable(t.dir("state"), ["user_id"], keep.schema)
     sinks = [streamio.batch_directory(archive), stream.upsert_sink(state, ["event_id"])]
     stream.drain(streamio.fan_out(source, sinks, t.dir("ckpt")))
 

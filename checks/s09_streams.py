@@ -11,7 +11,7 @@ from tablekit.functions.exprs import stable_round
 from tablekit.operators import events, history
 from tablekit.sources import streamio
 from tablekit.streaming import stream
-from tablekit.streaming.state_table import StateTable
+from tablekit.streaming.batches import BatchTable
 
 ANY_DELAY = "60 days"  # longer than the test events last, for files that land in any order
 
@@ -43,7 +43,7 @@ def to_files(t, df):
 
 
 def to_state(t, df, keys, mode="update"):
-    state = StateTable(t.dir("state"), keys, df.schema, buckets=4)
+    state = BatchTable(t.dir("state"), keys, df.schema)
     stream.drain(stream.start(df, stream.latest_state_sink(state), mode, t.dir("ckpt")))
     return state.read(t.spark)
 
@@ -189,7 +189,7 @@ def resume(t):
 def upsert(t):
     cols = ["user_id", "event_id", "event_type", "value", "ts"]
     keep = t.events.select(*cols)
-    state = StateTable(t.dir("latest"), ["user_id"], keep.schema, buckets=4)
+    state = BatchTable(t.dir("latest"), ["user_id"], keep.schema)
     stream.drain(stream.upsert(source(t, keep, per_batch=1), state, ["ts", "event_id"], t.dir("ckpt")))
     return state.read(t.spark).drop("ts")
 
@@ -238,7 +238,7 @@ def cdc_dedup(t):
     feed = t.fx_changes.filter("version > 10")
     changes = source(t, feed.union(feed), files=2, per_batch=2).withColumn("commit_ts", F.col("commit_ts").cast("timestamp"))
     single = stream.cdc_dedup(changes, ["k"], "seq", "commit_ts", ANY_DELAY)
-    state = StateTable(t.dir("cdc"), ["k"], base.schema, buckets=4)
+    state = BatchTable(t.dir("cdc"), ["k"], base.schema)
     state.apply(base, -1, lambda old, new: new)
     sink = stream.cdc_sink(state, ["commit_ts", "seq"])
     stream.drain(stream.start(single, sink, "append", t.dir("ckpt")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.s09_streams import CDC
 from tablekit.operators import evolve, history, merge, publish, quality, scd
+from tablekit.operators.buckets import BucketTable
 from tablekit.sources import io
 
 
@@ -44,6 +45,31 @@ def upsert(t):
     return merge.upsert(target(t), feed(t), ["k"], ["commit_ts", "seq"])
 
 
+@check(
+    "s11_01_upsert_buckets",
+    f"with t as ({T10}), s as ({SRC}) select * from t where k not in (select k from s) union all select k, state, amount from s",
+    "fx_changes",
+)
+def upsert_buckets(t):
+    table = BucketTable(t.dir("buckets"), ["k"], 8)
+    table.create(target(t))
+    for _ in range(2):
+        table.upsert(feed(t), ["commit_ts", "seq"])
+    return table.read(t.spark)
+
+
+@check(
+    "s11_06_update_buckets",
+    "select o_orderkey, case when o_orderstatus = 'F' then o_totalprice * 1.5 else o_totalprice end as o_totalprice from orders where o_orderkey >= 500",
+)
+def update_buckets(t):
+    table = BucketTable(t.dir("buckets"), ["o_orderkey"], 8)
+    table.create(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"))
+    table.update(t.spark, "o_orderstatus = 'F'", {"o_totalprice": F.col("o_totalprice") * 1.5})
+    table.delete(t.spark, "o_orderkey < 500")
+    return table.read(t.spark).drop("o_orderstatus")
+
+
 @check(
     "s11_02_upsert_if",
     f"""with t as ({T10}), s as (select k, state, amount from (select *, row_number() over (partition by k order by amount desc) as rn

@@ -10,6 +10,7 @@ from checks.registry import check, fixed
 from checks.s01_sources import landed, weather_kv
 from checks.s09_streams import ANY_DELAY, ntz, to_files, to_state
 from tablekit.functions import exprs
+from tablekit.operators.buckets import BucketTable
 from tablekit.operators import scd
 from tablekit.operators.windows import latest_per_key
 from tablekit.plans import (
@@ -413,8 +414,8 @@ def customers_incremental(t):
         path = t.dir("day")
         day = latest_per_key(t.fx_changes.filter(inside), ["k"], ["commit_ts", "seq"])
         io.write_csv(day.select("k", "state", "commit_ts"), path)
-        customers.load_day(t.spark, path, schema, low, layers, ["k"], "commit_ts")
-    silver, gold = io.read_parquet(t.spark, layers.silver), io.read_parquet(t.spark, layers.gold)
+        customers.load_day(t.spark, path, schema, low, layers, ["k"], "commit_ts", buckets=8)
+    silver, gold = (BucketTable(layer, ["k"], 8).read(t.spark) for layer in (layers.silver, layers.gold))
     return silver.withColumn("layer", F.lit("silver")).unionByName(gold.withColumn("layer", F.lit("gold")))
 
 

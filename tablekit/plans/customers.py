@@ -8,8 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit import storage
 from tablekit.operators import merge, rows
+from tablekit.operators.buckets import BucketTable
 from tablekit.operators.sql import cte_chain
 from tablekit.sources import io
 
@@ -23,26 +23,25 @@ class Layers:
     gold: str
 
 
-def load_day(spark: SparkSession, csv_path: str, schema: str, day: str, layers: Layers, keys: list[str], newer: str) -> None:
+def load_day(
+    spark: SparkSession, csv_path: str, schema: str, day: str, layers: Layers, keys: list[str], newer: str, buckets: int = 64
+) -> None:
     """One day's file: replace the day in bronze, then merge newer rows into silver and gold.
 
     Running a day again changes nothing: its bronze directory is replaced and the merges
-    compare ``newer``.
+    compare ``newer``. Silver and gold lie in ``buckets`` by key, of which a day rewrites those
+    its keys fall into.
     """
     batch = io.read_csv(spark, csv_path, schema).withColumn("load_day", F.lit(day).cast("date"))
     io.overwrite_partitions(batch, layers.bronze, ["load_day"])
     fresh = spark.read.parquet(layers.bronze).filter(F.col("load_day") == F.lit(day).cast("date")).drop("load_day")
     for target in (layers.silver, layers.gold):
         clean = rows.require(fresh, keys) if target == layers.gold else fresh
-        _merge(spark, target, clean, keys, newer)
-
-
-def _merge(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], newer: str) -> None:
-    if not storage.exists(spark, path):
-        first = merge.upsert_if(batch.limit(0), batch, keys, newer)
-        first.write.parquet(path)
-        return
-    storage.replace_table(merge.upsert_if(spark.read.parquet(path), batch, keys, newer), path)
+        table = BucketTable(target, keys, buckets)
+        if table.exists(spark):
+            table.merge(clean, lambda old, new: merge.upsert_if(old, new, keys, newer))
+        else:
+            table.create(merge.upsert_if(clean.limit(0), clean, keys, newer))
 
 
 SPEND_QUERY = """

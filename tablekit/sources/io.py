@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit import storage
 from tablekit.operators import evolve
+from tablekit.operators.slices import same_keys
 
 Schema = str | T.StructType
 CORRUPT = "_corrupt_record"
@@ -136,48 +138,44 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 def replace_where(df: DataFrame, path: str, predicate: str, by: list[str] | None = None) -> None:
     """Delete the rows for which the predicate is true and insert the batch. Repeatable.
 
-    Batch rows must satisfy the predicate. When the table is partitioned and the predicate
-    only names partition columns, just the matching directories are touched; otherwise the
-    table is rewritten beside the old one and swapped in.
+    Batch rows must satisfy the predicate. Of a table partitioned ``by`` columns only the
+    partitions are rewritten that hold such a row or receive one; another table is rewritten
+    beside the old one and swapped in.
     """
     spark = df.sparkSession
     holds = F.coalesce(F.expr(predicate), F.lit(False))
     outside = F.raise_error(F.lit(f"batch row outside {predicate}")).cast("boolean")
     checked = df.filter(F.when(holds, F.lit(True)).otherwise(outside))
     old = spark.read.parquet(path)
-    kept = old.filter(~holds)
-    if by and _only_uses(spark, old, predicate, by):
-        _replace_directories(checked, old, path, holds, by)
+    if not by:
+        storage.replace_table(old.filter(~holds).unionByName(checked.select(*old.columns)), path)
         return
-    storage.replace_table(kept.unionByName(checked.select(*old.columns)), path, by)
+    touched = old.filter(holds).select(*by).union(df.select(*by))
+    rewrite_partitions(spark, path, by, touched, lambda rows: rows.filter(~holds).unionByName(checked.select(*old.columns)))
 
 
-def _only_uses(spark: SparkSession, table: DataFrame, predicate: str, by: list[str]) -> bool:
-    try:
-        spark.createDataFrame([], T.StructType([table.schema[c] for c in by])).filter(predicate).schema  # noqa: B018
-    except Exception:
-        return False
-    return True
+def rewrite_partitions(spark: SparkSession, path: str, by: list[str], touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Put ``change(rows)`` in the place of the rows of the partitions named in ``touched``.
+
+    The new rows are finished beside the table before Spark moves them in, partition by
+    partition; the files of all other partitions stay as they are. Partitions that are left
+    without rows are removed last.
+    """
+    named = storage.cut_lineage(touched.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]).distinct(), "touched")
+    table = spark.read.parquet(path)
+    new = storage.cut_lineage(change(table.join(named, same_keys(by), "left_semi")).select(*table.columns), "rewritten")
+    overwrite_partitions(new, path, by)
+    filled = new.select(*by).distinct()
+    emptied = storage.cut_lineage(named.join(filled, same_keys(by), "left_anti"), "emptied")
+    if not emptied.isEmpty():
+        for directory in _leaf_directories(spark.read.schema(table.schema).parquet(path).join(emptied, same_keys(by), "left_semi")):
+            storage.delete(spark, directory)
 
 
 def _leaf_directories(df: DataFrame) -> list[str]:
     """Partition directories of a file scan: one name each, no data is read."""
-    rows = df.select(F.col("_metadata.file_path").alias("f")).distinct().collect()
-    return sorted({unquote(r["f"]).rsplit("/", 1)[0] for r in rows})
-
-
-def _replace_directories(batch: DataFrame, old: DataFrame, path: str, holds: Column, by: list[str]) -> None:
-    spark = batch.sparkSession
-    staged = f"{path}.tmp-{uuid.uuid4().hex}"
-    batch.write.partitionBy(*by).parquet(staged)
-    for directory in _leaf_directories(old.filter(holds)):
-        storage.delete(spark, directory)
-    name = staged.rstrip("/").rsplit("/", 1)[-1]
-    for directory in _leaf_directories(spark.read.parquet(staged)):
-        inside = directory.split(f"/{name}/", 1)[1]
-        storage.make_parent(spark, f"{path}/{inside}")
-        storage.rename(spark, directory, f"{path}/{inside}")
-    storage.delete(spark, staged)
+    directory = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return sorted(unquote(r["d"]) for r in df.select(directory.alias("d")).distinct().collect())
 
 
 # --- catalog ----------------------------------------------------------------

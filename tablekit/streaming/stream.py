@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tablekit.operators import merge
 from tablekit.operators.windows import latest_per_key
 from tablekit.sources.io import overwrite_partitions
-from tablekit.streaming.state_table import StateTable
+from tablekit.streaming.batches import BatchTable
 
 
 def with_event_time(df: DataFrame, col: str, fmt: str | None = None, delay: str = "10 minutes", name: str | None = None) -> DataFrame:
@@ -193,14 +193,21 @@ def check_output_mode(df: DataFrame, mode: str) -> None:
     """Refuse combinations that cannot work, before anything is started."""
     if mode not in MODES:
         raise ValueError(f"output mode is one of {MODES}")
-    plan = df._jdf.queryExecution().analyzed().toString()
-    aggregates = "Aggregate [" in plan
-    if mode == "complete" and not aggregates:
+    steps = _streaming_steps(df._jdf.queryExecution().analyzed())
+    if mode == "complete" and "Aggregate" not in steps:
         raise ValueError("complete mode needs an aggregate")
-    if mode == "append" and aggregates and "EventTimeWatermark" not in plan:
+    if mode == "append" and "Aggregate" in steps and "EventTimeWatermark" not in steps:
         raise ValueError("append mode with an aggregate needs a watermark")
 
 
+def _streaming_steps(plan) -> set[str]:
+    """Names of the plan's nodes over streams; tables that a stream is joined with do not count."""
+    if not plan.isStreaming():
+        return set()
+    children = plan.children()
+    return {plan.nodeName()}.union(*(_streaming_steps(children.apply(i)) for i in range(children.size())))
+
+
 def start(
     df: DataFrame,
     sink: Callable[[DataFrame, int], None] | str,
@@ -233,7 +240,7 @@ def resume(make: Callable[[], DataFrame], path: str, checkpoint: str) -> Streami
     return drain(start(make(), path, "append", checkpoint))
 
 
-def latest_state_sink(state: StateTable) -> Callable[[DataFrame, int], None]:
+def latest_state_sink(state: BatchTable) -> Callable[[DataFrame, int], None]:
     """For ``update`` and ``complete`` streams: the newest row of each key."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -242,7 +249,7 @@ def latest_state_sink(state: StateTable) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def upsert_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int], None]:
+def upsert_sink(state: BatchTable, order: list[str]) -> Callable[[DataFrame, int], None]:
     """Merge rows by key; the newest in ``order`` wins, so a late row replaces nothing newer."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -255,7 +262,7 @@ def upsert_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int
 
 
 def upsert(
-    df: DataFrame, state: StateTable, order: list[str], checkpoint: str, when: dict | None = None
+    df: DataFrame, state: BatchTable, order: list[str], checkpoint: str, when: dict | None = None
 ) -> StreamingQuery:
     """Merge each micro-batch into a latest-state table."""
     return start(df, upsert_sink(state, order), "append", checkpoint, when)
@@ -269,7 +276,7 @@ def cdc_dedup(df: DataFrame, key: list[str], offset: str, ts: str, delay: str) -
     return df.withWatermark(ts, delay).dropDuplicates([*key, offset, ts])
 
 
-def cdc_sink(state: StateTable, order: list[str]) -> Callable[[DataFrame, int], None]:
+def cdc_sink(state: BatchTable, order: list[str]) -> Callable[[DataFrame, int], None]:
     """Apply a deduplicated change feed to a state table."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:

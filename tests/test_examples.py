@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablekit import storage
 from tablekit.functions import exprs
 from tablekit.operators import agg, cols, evolve, history, merge, publish, quality, rows, scd, windows
+from tablekit.operators.buckets import BucketTable
 from tablekit.plans import broadcasts, shop, webchecks
 from tablekit.sources import io
 
@@ -104,6 +105,35 @@ def test_replace_where_touches_only_matching_directories(spark, tmp_path):
     assert values(spark.read.parquet(path), "region", "amount") == [("US", 2), ("a b", 7)]
 
 
+def test_replace_where_rewrites_partitions_with_matching_rows_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.write_partitioned(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 1), ("c", 1)], "region STRING, amount INT"), path, ["region"])
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t" / "region=b").iterdir()}
+    for _ in range(2):
+        io.replace_where(spark.createDataFrame([("a", 1), ("d", 1)], "region STRING, amount INT"), path, "amount = 1", ["region"])
+        assert values(spark.read.parquet(path), "region", "amount") == [("a", 1), ("a", 2), ("b", 3), ("d", 1)]
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "t" / "region=b").iterdir()} == before
+
+
+def test_bucket_table_rewrites_touched_buckets_only(spark, tmp_path):
+    table = BucketTable(str(tmp_path / "t"), ["k"], 4)
+    table.create(spark.range(40).select(F.col("id").alias("k"), F.lit(0).alias("v")))
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("key_bucket=*/*.parquet")}
+
+    before = files()
+    table.upsert(spark.createDataFrame([(3, 9), (3, 8)], "k LONG, v INT"), ["v"])
+    after = files()
+    touched = {f.parent for f in set(before) ^ set(after)}
+    assert len(touched) == 1 and all(before[f] == after[f] for f in set(before) & set(after))
+    assert {r["k"]: r["v"] for r in table.read(spark).collect()} == {k: 9 if k == 3 else 0 for k in range(40)}
+    table.delete(spark, "k <> 3")
+    assert values(table.read(spark), "k", "v") == [(3, 9)] and len({f.parent for f in files()}) == 1
+    with pytest.raises(ValueError, match="key"):
+        table.update(spark, "v = 9", {"k": F.lit(1)})
+
+
 def test_copy_into_is_a_no_op_the_second_time(spark, tmp_path):
     src, table, ledger = (str(tmp_path / n) for n in ("src", "table", "ledger"))
     io.write_csv(spark.range(5), f"{src}/one")

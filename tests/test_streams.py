@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablekit.sources import streamio
 from tablekit.streaming import stream
-from tablekit.streaming.state_table import StateTable
+from tablekit.streaming.batches import BatchTable
 
 DDL = "k STRING, v BIGINT, ts TIMESTAMP"
 
@@ -63,7 +63,7 @@ def test_redelivered_batch_changes_nothing(spark, tmp_path):
     schema = "k STRING, v BIGINT"
     first = spark.createDataFrame([("a", 1), ("b", 1)], schema)
     second = spark.createDataFrame([("a", 2), ("c", 2)], schema)
-    state = StateTable(str(tmp_path / "state"), ["k"], first.schema, buckets=3)
+    state = BatchTable(str(tmp_path / "state"), ["k"], first.schema)
     sink = stream.upsert_sink(state, ["v"])
     sink(first, 0)
     for _ in range(2):
@@ -73,7 +73,7 @@ def test_redelivered_batch_changes_nothing(spark, tmp_path):
 
 def test_old_value_arriving_late_does_not_win(spark, tmp_path):
     schema = "k STRING, v BIGINT"
-    state = StateTable(str(tmp_path / "state"), ["k"], spark.createDataFrame([], schema).schema)
+    state = BatchTable(str(tmp_path / "state"), ["k"], spark.createDataFrame([], schema).schema)
     sink = stream.upsert_sink(state, ["v"])
     sink(spark.createDataFrame([("a", 5)], schema), 0)
     sink(spark.createDataFrame([("a", 3)], schema), 1)
@@ -85,7 +85,7 @@ def test_streak_survives_batches_and_disorder(spark, tmp_path):
     land(spark, src, [("a", 40, "2024-01-01 00:00:02"), ("a", 10, "2024-01-01 00:00:01"), ("b", 40, "2024-01-01 00:00:00")])
     land(spark, src, [("a", 41, "2024-01-01 00:00:03"), ("b", 1, "2024-01-01 00:00:05"), ("b", 50, "2024-01-01 00:00:09")])
     streaks = stream.streak(streamio.read_files(spark, src, DDL, max_files=1), "k", ["ts"], "v > 35", timeout="none")
-    state = StateTable(str(tmp_path / "state"), ["k"], streaks.schema)
+    state = BatchTable(str(tmp_path / "state"), ["k"], streaks.schema)
     stream.drain(stream.start(streaks, stream.latest_state_sink(state), "update", str(tmp_path / "ckpt")))
     assert {r["k"]: r["streak"] for r in state.read(spark).collect()} == {"a": 2, "b": 1}
 
