@@ -11,9 +11,11 @@ words from one anchor past the next are the edges of a De Bruijn graph of variab
 3. Anchors that are only passed through lie on paths without branches. Each such path is one
    row: whoever holds a window of it holds all of it. Windows around a branch are a row each.
 4. Rows are compared by 96 bits of their words. The least document of equal rows is their
-   source; the coordinates of all others, and of later places in one text, are removed.
+   source; the coordinates of all others, and of later places in one text, are removed. Rows
+   whose anchors have few places meet in a window over the key; those of anchors with many are
+   summed up in the tasks first and joined with the sums.
 
-Texts are compressed before their one shuffle. The rows compared are paths and the windows around branches, not all windows of the corpus.
+Texts are shuffled once. The rows compared are paths and the windows around branches, not all windows of the corpus.
 All joins and aggregates are on hashes of words or rows; a passage in a third of all texts is
 merged in each task, and its places are a skewed join that adaptive execution splits.
 
@@ -30,8 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,9 @@ from tablekit.storage import cut_lineage
 
 WINDOW = 20
 GRAM = 5
+#: Places of an anchor up to which those of a path or window may meet in one task.
+HOT_PLACES = 1000
+HOT, LATER = 1, 2
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -116,24 +120,6 @@ def _with_row(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.withColumn("__llm_row", F.xxhash64(F.col(doc_id), F.col(text))).withColumn("__llm_text", text_bytes(text))
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """``rows`` with compressed texts, as they are shuffled."""
-    schema = T.StructType([field(rows, c) for c in rows.columns])
-    at = rows.columns.index("__llm_text")
-
-    def convert(batch: pa.RecordBatch):
-        columns, pack = list(batch.columns), zstandard.ZstdCompressor(level=1)
-        columns[at] = [pack.compress(x.as_buffer()) for x in batch.column(at)]
-        return columns
-
-    return map_rows(rows, schema, convert, "__llm_text")
-
-
-def _unpacked(column: pa.Array) -> pa.Array:
-    unpack = zstandard.ZstdDecompressor()
-    return pa.array([unpack.decompress(x.as_buffer()) for x in column], pa.binary())
-
-
 def anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``anchor, around, row, place`` of every anchor."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("around", T.LongType()), T.StructField("row", T.LongType()), T.StructField("place", T.LongType())])
@@ -149,26 +135,28 @@ def anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 
 def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
-    """``key_a, key_b, id, row, span``: paths without branches and windows around branches; without key where the text held it before.
+    """``key_a, key_b, id, row, span, state``: paths without branches and windows around branches, by 96 bits of their words.
 
-    The key has 96 bits of the words.
+    ``state`` is HOT where the anchor is. Spans that their text held before are LATER, joined
+    where they overlap; their key says nothing.
     ``span`` has the first word in its upper 32 bits, the word behind the last in its lower.
     """
     schema = T.StructType([
         T.StructField("key_a", T.LongType()), T.StructField("key_b", T.IntegerType()), field(rows, doc_id, "id"),
-        T.StructField("row", T.LongType()), T.StructField("span", T.LongType()),
+        T.StructField("row", T.LongType()), T.StructField("span", T.LongType()), T.StructField("state", T.ByteType()),
     ])
 
     def convert(batch: pa.RecordBatch):
-        words = Words(_unpacked(batch.column("__llm_text")))
+        words = Words(batch.column("__llm_text"))
         found = Anchors(words, window, gram)
         told = batch.column("__llm_kinds")
         values = np.asarray(told.flatten())
         owner = np.repeat(np.arange(len(told)), np.asarray(told.value_lengths()))
         # 0: found once in the corpus, 1: branches, 2: passed through
-        kind = np.zeros(words.n + 1, np.int8)
-        kind[words.first[owner] + (values >> 1)] = (values & 1) + 1
-        kind = kind[found.place]
+        kind, hot = np.zeros(words.n + 1, np.int8), np.zeros(words.n + 1, np.int8)
+        at = words.first[owner] + (values >> 2)
+        kind[at], hot[at] = (values & 1) + 1, (values >> 1 & 1) * HOT
+        kind, hot = kind[found.place], hot[found.place]
         through = kind == 2
         joined = np.zeros(len(kind), bool)
         joined[1:] = through[1:] & through[:-1] & (found.owner[1:] == found.owner[:-1])
@@ -179,38 +167,60 @@ def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
         windows = np.arange(many.sum()) + np.repeat(found.begin[branch] - (np.cumsum(many) - many), many)
         start = np.concatenate([found.begin[heads], windows])
         end = np.concatenate([found.last[tails], windows]) + window
+        state = np.concatenate([hot[heads], np.repeat(hot[branch], many)])
         own = words.owner[start] if len(start) else start
         a, b = words.hashes(start, end, 0).view(np.int64), words.hashes(start, end, 1).astype(np.uint32).view(np.int32)
         order = np.lexsort((start, b, a, own))
-        start, end, own, a, b = start[order], end[order], own[order], a[order], b[order]
+        start, end, own, a, b, state = (x[order] for x in (start, end, own, a, b, state))
         later = np.zeros(len(start), bool)
         later[1:] = (own[1:] == own[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        again_start, again_end, again_own = _joined(start[later], end[later], own[later])
+        spread = mix(again_start.astype(np.uint64)).view(np.int64)
+        a, b, state = np.append(a[~later], spread), np.append(b[~later], np.zeros(len(spread), np.int32)), np.append(state[~later], np.full(len(spread), LATER))
+        start, end, own = np.append(start[~later], again_start), np.append(end[~later], again_end), np.append(own[~later], again_own)
         shift = words.first[own]
         spans = (start - shift << 32) | (end - shift)
-        row = np.asarray(batch.column("__llm_row"))[own]
-        return [pa.array(a, mask=later), pa.array(b, mask=later), batch.column(doc_id).take(pa.array(own)), row, spans]
+        return [a, b.astype(np.int32), batch.column(doc_id).take(pa.array(own)), np.asarray(batch.column("__llm_row"))[own], spans, state.astype(np.int8)]
 
     return map_rows(rows, schema, convert, "__llm_text")
 
 
-def earlier_spans(rows: DataFrame, packed: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
+def _joined(start: np.ndarray, end: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of texts side by side, joined where they overlap."""
+    order = np.argsort(start, kind="stable")
+    start, end, own = start[order], end[order], own[order]
+    reach = np.maximum.accumulate(end) if len(end) else end
+    first = np.flatnonzero(np.append(True, start[1:] >= reach[:-1])[: len(start)])
+    return start[first], np.maximum.reduceat(end, first) if len(first) else end, own[first]
+
+
+def earlier_spans(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
     """``row`` and the ``spans`` of its words that stand earlier in the corpus; rows without any are left out."""
     places = anchors(rows, window, gram)
     repeated = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most"))
     # a table of its own: a join on an aggregate's partitions could not split an anchor's many places
-    repeated = cut_lineage(repeated.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("same")), "debruijn-anchors")
-    through = F.when(F.col("same"), 1).otherwise(0)
-    kinds = places.select("anchor", "row", "place").join(repeated, "anchor").select(F.col("row").alias("__llm_row"), (F.col("place") * 2 + through).alias("kind"))
+    repeated = cut_lineage(repeated.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("same"), (F.col("n") > HOT_PLACES).alias("hot")), "debruijn-anchors")
+    kind = F.col("place") * 4 + F.when(F.col("hot"), 2).otherwise(0) + F.when(F.col("same"), 1).otherwise(0)
+    kinds = places.select("anchor", "row", "place").join(repeated, "anchor").select(F.col("row").alias("__llm_row"), kind.alias("kind"))
     # a set: rows that are equal throughout share their row hash, and each task keeps one of their values
-    kinds = kinds.groupBy("__llm_row").agg(F.collect_set("kind").alias("__llm_kinds"))
-    paths = _paths(packed.join(kinds, "__llm_row"), doc_id, window, gram)
-    sources = paths.where("key_a is not null").groupBy("key_a", "key_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("without"))
+    kinds = cut_lineage(kinds.groupBy("__llm_row").agg(F.collect_set("kind").alias("__llm_kinds")), "debruijn-kinds")
+    paths = _paths(rows.join(kinds, "__llm_row"), doc_id, window, gram)
+    earlier = "first < id or id is null and first is not null"
+    # a path has no more places than its anchors: those of few meet in a window, those of many are summed up before
+    few = paths.where(f"state <> {HOT}").withColumn("first", F.min("id").over(Window.partitionBy("key_a", "key_b")))
+    few = few.where(f"state = {LATER} or {earlier}")
+    gone = few.select("row", "span")
+    if not repeated.where("hot").isEmpty():
+        gone = gone.union(_of_many_places(paths.where(f"state = {HOT}"), earlier))
+    return gone.groupBy("row").agg(F.collect_set("span").alias("spans"))
+
+
+def _of_many_places(many: DataFrame, earlier: str) -> DataFrame:
+    """``row, span`` of the places that are not the first; sums of each task and a join that may split a path's places."""
+    sources = many.groupBy("key_a", "key_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("without"))
     sources = sources.where("first < last or without and first is not null").select("key_a", F.col("key_b").alias("other"), "first")
     # on half of the key, so that the sums are dealt anew and a path's many places can be split
-    copied = paths.join(sources, "key_a").where(F.col("key_b").bitwiseXOR(F.col("other")) == 0).where("first < id or id is null")
-    within = paths.where("key_a is null")
-    gone = copied.select("row", "span").union(within.select("row", "span"))
-    return gone.groupBy("row").agg(F.collect_set("span").alias("spans"))
+    return many.join(sources, "key_a").where(F.col("key_b").bitwiseXOR(F.col("other")) == 0).where(earlier).select("row", "span")
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -219,17 +229,15 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tu
         raise ValueError("an anchor is shorter than a window")
     names = list(dict.fromkeys([doc_id, *keep]))
     rows = _with_row(docs.select(*dict.fromkeys([*names, text])), doc_id, text).select(*names, "__llm_row", "__llm_text")
-    packed = _packed(rows)
-    spans = earlier_spans(rows, packed, doc_id, window, gram).select(F.col("row").alias("__llm_row"), F.col("spans").alias("__llm_spans"))
+    spans = earlier_spans(rows, doc_id, window, gram).select(F.col("row").alias("__llm_row"), F.col("spans").alias("__llm_spans"))
     # the same columns as in `earlier_spans`, so that texts are shuffled once for both joins
-    joined = packed.join(spans, "__llm_row", "left")
+    joined = rows.join(spans, "__llm_row", "left")
     schema = T.StructType([*(field(docs, c) for c in names), *(T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")), T.StructField("kept", T.BinaryType())])
 
     def convert(batch: pa.RecordBatch):
         n_words, n_removed, kept = [], [], []
-        unpack = zstandard.ZstdDecompressor()
         for value, gone in zip(batch.column("__llm_text"), batch.column("__llm_spans"), strict=True):
-            words = unpack.decompress(value.as_buffer()).split()
+            words = value.as_py().split()
             n_words.append(len(words))
             if gone.is_valid:
                 span = np.asarray(gone.values)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekit.llm import debruijn, merkle, periodic
+from tablekit.storage import work_dir
 
 DOCS = "doc_id long, text string, source string, runs string, kept string, tree string"
 ODD = [None, "", " \t\n", "a", "a a a a a", "a a a a a a", "Ünï ſ x " * 40, "word " * 30_000, "x" * 300_000, "one two three " * 50 + "end"]
@@ -156,8 +157,9 @@ def mixed_texts(seed: int, n: int) -> list[tuple]:
     return [(i, " ".join(t)) for i, t in zip(ids, texts, strict=True)]
 
 
-@pytest.mark.parametrize(("window", "gram"), [(20, 5), (6, 2), (2, 1)])
-def test_removal_against_plain_version(spark, window, gram):
+@pytest.mark.parametrize(("window", "gram", "hot"), [(20, 5, 1000), (6, 2, 1000), (6, 2, 3), (2, 1, 20)])
+def test_removal_against_plain_version(spark, monkeypatch, window, gram, hot):
+    monkeypatch.setattr(debruijn, "HOT_PLACES", hot)
     for seed in range(3):
         rows = mixed_texts(seed * 31 + window, 80)
         rows += [(None, rows[0][1]), (None, None), rows[1], (rows[2][0], rows[3][1]), (None, rows[0][1])]
@@ -176,11 +178,18 @@ def test_removal_keeps_columns_and_empty_tables(odd, empty):
 
 
 def test_texts_are_shuffled_once(spark):
-    frame = spark.createDataFrame(mixed_texts(1, 60), "doc_id long, text string")
-    got = debruijn.remove(frame)
-    got.collect()
-    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("ReusedExchange") >= 2
+    frame = spark.createDataFrame(mixed_texts(1, 60), "doc_id long, text string").repartition(3)
+    frame.write.parquet(path := work_dir(spark, "texts"))
+    frame = spark.read.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = debruijn.remove(frame)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # joined with the kinds of their anchors, and with the spans at last
+    assert any("ReusedExchange" in line and "__llm_text" in line for line in plan.splitlines()), plan
 
 
 # ------------------------------------------------------------------ Merkle manifests
