@@ -102,52 +102,57 @@ def streak(
 ) -> DataFrame:
     """Consecutive rows at the end of each key's history for which ``cond`` holds.
 
-    One row per key and micro-batch with the streak after it; state idle for ``timeout_ms``
-    is dropped, by the clock (``processing``) or by the watermark (``event``; the first
-    order column carries it). A stream that is to end by itself needs ``event`` or ``none``:
-    by the clock there is always another batch to wait for. ``order`` are up to two sortable columns (time first); rows of a batch are
-    taken in that order. A row that comes in a later batch than a row after it in that order is
-    late: it is left out, for the rows it would part are no longer there. Only the two order
-    numbers and the condition of a row reach Python, chunk by chunk.
+    One row per key and micro-batch with the streak after it. ``order`` are up to two sortable
+    columns, time first. A row that comes in a later batch than rows after it counts as if it had
+    come in order, while the watermark has not passed it: it lengthens the streak, or breaks it
+    in the middle. So a key's state is its last break, the number of rows behind it that the
+    watermark has passed, and the order numbers of those it has not. Without a watermark on the
+    first order column nothing is ever passed, and all rows since the last break stay in state.
+
+    State idle for ``timeout_ms`` is dropped, by the clock (``processing``) or by the watermark
+    (``event``); a stream that is to end by itself needs ``event`` or ``none``: by the clock there
+    is always another batch to wait for. Only the order numbers and the condition of a row reach
+    Python, chunk by chunk.
     """
     time = F.col(order[0])
     at = F.unix_micros(time.cast("timestamp")).alias("__t")
     tie = (F.col(order[1]).cast("long") if len(order) > 1 else F.lit(0).cast("long")).alias("__i")
     holds = F.coalesce(F.expr(cond), F.lit(False)).alias("__ok")
-    slim = df.select(F.col(key), at, tie, holds, *([time] if timeout == "event" else []))
-    key_type = df.schema[key].dataType
-    out = T.StructType([T.StructField(key, key_type), T.StructField(name, T.LongType())])
+    watermarked = "EventTimeWatermark" in _streaming_steps(df._jdf.queryExecution().analyzed())
+    if timeout == "event" and not watermarked:
+        raise ValueError("a timeout by event time needs a watermark")
+    slim = df.select(F.col(key), at, tie, holds, *([time] if watermarked else []))
+    out = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(name, T.LongType())])
 
     def advance(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        length, seen = (state.get[0], state.get[1:]) if state.exists else (0, None)
-        broken, last = None, seen
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        newest_ms = 0
+        passed, *before, packed = state.get if state.exists else (0, _NEVER, _NEVER, b"")
+        held, last, newest_ms = [np.frombuffer(packed, np.int64).reshape(-1, 2)], tuple(before), 0
         for chunk in chunks:
-            t, i, ok = (chunk[c].to_numpy() for c in ("__t", "__i", "__ok"))
-            newest_ms = max(newest_ms, int(t.max()) // 1000)
-            if seen is not None:
-                fresh = (t > seen[0]) | ((t == seen[0]) & (i > seen[1]))
-                t, i, ok = t[fresh], i[fresh], ok[fresh]
-            if not len(t):
-                continue
-            last = max(last or _newest(t, i), _newest(t, i))
+            places, ok = chunk[["__t", "__i"]].to_numpy(np.int64), chunk["__ok"].to_numpy(bool)
+            newest_ms = max(newest_ms, int(places[:, 0].max()) // 1000)
             if not ok.all():
-                broken = max(broken or _newest(t[~ok], i[~ok]), _newest(t[~ok], i[~ok]))
-            held.append((t[ok], i[ok]))
-        after = sum(len(t) if broken is None else int(((t > broken[0]) | ((t == broken[0]) & (i > broken[1]))).sum()) for t, i in held)
-        length = after + (length if broken is None else 0)
-        state.update((length, *last))
+                last = max(last, _newest(*places[~ok].T))
+            held.append(places[ok])
+        if last != tuple(before):
+            passed = 0
+        places = np.concatenate(held)
+        places = places[(places[:, 0] > last[0]) | ((places[:, 0] == last[0]) & (places[:, 1] > last[1]))]
+        length = passed + len(places)
+        if watermarked:
+            # rows at or before the watermark do not come any more
+            settled = places[:, 0] <= state.getCurrentWatermarkMs() * 1000
+            passed, places = passed + int(settled.sum()), places[~settled]
+        state.update((passed, *last, places.tobytes()))
         if timeout == "processing":
             state.setTimeoutDuration(timeout_ms)
         elif timeout == "event":
             state.setTimeoutTimestamp(max(newest_ms, state.getCurrentWatermarkMs()) + timeout_ms)
         yield pd.DataFrame({key: [k[0]], name: [length]})
 
-    return grouped_state(slim, [key], advance, out, "streak LONG, at LONG, tie LONG", timeout)
+    return grouped_state(slim, [key], advance, out, "passed LONG, broken_at LONG, broken_tie LONG, open BINARY", timeout)
 
 
 def _newest(t: np.ndarray, i: np.ndarray) -> tuple[int, int]:
@@ -156,6 +161,9 @@ def _newest(t: np.ndarray, i: np.ndarray) -> tuple[int, int]:
     return int(latest), int(i[t == latest].max())
 
 
+_NEVER = -(2**63)
+
+
 _TIMEOUTS = {
     "none": GroupStateTimeout.NoTimeout,
     "processing": GroupStateTimeout.ProcessingTimeTimeout,

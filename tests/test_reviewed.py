@@ -113,18 +113,26 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert frame.limit(0).agg(exact_sum("v"), exact_mean("v")).first() == (None, None)
 
 
-def test_streak_leaves_late_rows_out(spark, tmp_path):
-    schema = "k STRING, ts TIMESTAMP_NTZ, v INT"
-    batches = [[("a", at(10), 0), ("a", at(20), 9)], [("a", at(5), 0)], [("a", at(30), 9), ("a", at(15), 0)]]
+@pytest.mark.parametrize("timeout", ["none", "event"])
+def test_streak_takes_late_rows(spark, tmp_path, timeout):
+    schema = "k STRING, ts TIMESTAMP, v INT"
+    batches = [
+        [("a", at(10), 9), ("a", at(20), 9), ("b", at(20), 9)],
+        [("a", at(5), 0), ("a", at(15), 9), ("b", at(25), 9)],  # a late row longer, and a break before the streak
+        [("a", at(12), 0), ("b", at(10), 0)],  # breaks in the middle and before
+        [("a", at(30), 9), ("b", at(30), 0), ("b", at(40), 9)],
+        [("b", at(35), 9)],
+    ]
     source = str(tmp_path / "in")
     for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
     stored = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    seen: list[int] = []
+    feed = stream.with_event_time(stored, "ts", delay="1 hour") if timeout == "event" else stored
+    seen: list[dict] = []
     query = (
-        stream.streak(stored, "k", ["ts"], "v > 5", timeout="none")
-        .writeStream.foreachBatch(lambda df, _: seen.extend(r["streak"] for r in df.collect()))
+        stream.streak(feed, "k", ["ts"], "v > 5", 86_400_000, timeout)
+        .writeStream.foreachBatch(lambda df, _: seen.append({r["k"]: r["streak"] for r in df.collect()}))
         .outputMode("update").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert seen == [1, 1, 2]
+    assert [x for x in seen if x] == [{"a": 2, "b": 1}, {"a": 3, "b": 2}, {"a": 2, "b": 2}, {"a": 3, "b": 1}, {"b": 2}]
