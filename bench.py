@@ -68,14 +68,14 @@ def format_reads(spark, sf_dir: str, work: str) -> dict:
     table = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     times = -(-PUBLISHED_ROWS // max(1, table.count()))
     whole = table.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times)))).limit(PUBLISHED_ROWS).repartition(8)
-    lines = whole.selectExpr("l_orderkey", "l_suppkey", "cast(l_quantity as bigint) as quantity", "cast(l_shipdate as date) as day")
+    lines = whole.selectExpr("l_orderkey as id", "concat('user_', l_suppkey) as user_id", "l_quantity as value", "cast(cast(l_shipdate as date) as string) as date")
     io.write_csv(lines, f"{work}/csv")
     io.write_json(lines, f"{work}/json")
     io.write_parquet(lines, f"{work}/parquet")
     return {
-        "read_csv_inferred": lambda: io.read_csv(spark, f"{work}/csv").select("l_suppkey").count(),
-        "read_json_inferred": lambda: spark.read.json(f"{work}/json").select("l_suppkey").count(),
-        "read_parquet": lambda: io.read_parquet(spark, f"{work}/parquet").select("l_suppkey").count(),
+        "read_csv_inferred": lambda: io.read_csv(spark, f"{work}/csv").select("user_id").count(),
+        "read_json_inferred": lambda: spark.read.json(f"{work}/json").select("user_id").count(),
+        "read_parquet": lambda: io.read_parquet(spark, f"{work}/parquet").select("user_id").count(),
     }
 
 

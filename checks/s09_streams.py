@@ -196,9 +196,13 @@ def upsert(t):
 
 @check("s09_14_progress", "select count(*) as input_rows, 1::bigint as queries from events")
 def progress(t):
-    query = stream.drain(stream.start(source(t, t.events, per_batch=1), t.dir("out"), "append", t.dir("ckpt")))
-    seen = stream.progress(query)
-    return seen.agg(F.sum("input_rows").alias("input_rows"), F.count_distinct("run_id").alias("queries"))
+    log = stream.ProgressLog(t.spark, t.dir("progress")).attach()
+    try:
+        query = stream.drain(stream.start(source(t, t.events, per_batch=1), t.dir("out"), "append", t.dir("ckpt")))
+        log.wait(query)
+    finally:
+        log.detach()
+    return log.read().filter(F.col("run_id") == str(query.runId)).agg(F.sum("input_rows").alias("input_rows"), F.count_distinct("run_id").alias("queries"))
 
 
 LOG_OFFSETS = """with log as (select (user_id % 4)::int as "partition", event_id as "offset" from events),

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.registry import check
+from checks.registry import ORACLES, check
 from checks.s09_streams import CDC
 from tablekit.operators import evolve, history, merge, publish, quality, scd
 from tablekit.operators.buckets import BucketTable
@@ -294,6 +294,13 @@ def type2_apply(t):
     return scd.type2_apply(dim, batch, ["k"], ["state"], F.col("commit_ts"))
 
 
+@check("s11_08_write_disposition_scd2", ORACLES["s11_17_type2_apply"])
+def write_disposition_scd2(t):
+    dim = scd.type2_from_changes(t.fx_changes.filter("version <= 10"), ["k"], ["commit_ts", "seq"], ["state"]).drop("version_id")
+    batch = merge.latest_per_key(feed(t), ["k"], ["commit_ts", "seq"])
+    return merge.write_disposition(dim, batch, "scd2", ["k"], tracked=["state"], as_of=F.col("commit_ts"))
+
+
 @check(
     "s11_18_current",
     f"select k, state, valid_from from ({TYPE2.format(where='')}) where valid_to is null",

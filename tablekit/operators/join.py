@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.operators.windows import running
-from tablekit.storage import plan_bytes
+from tablekit.storage import cut_lineage, plan_bytes
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -158,7 +158,9 @@ def interval(
     Time is cut into steps as long as the interval. A row of ``b`` can only meet rows of
     its own step and the one before, so ``b`` is listed under both and the join runs on
     (key, step): a hot key spreads over its time range. ``a`` stays single, hence left,
-    semi and anti joins work as well.
+    semi and anti joins work as well. A (key, step) with more than ``tablekit.pairsPerTask``
+    pairs to look at is cut further: its rows of ``a`` are dealt into parts, and its rows of
+    ``b`` are listed under each.
     """
     if how not in ("inner", "left", "left_outer", "leftouter", "semi", "left_semi", "leftsemi", "anti", "left_anti", "leftanti"):
         raise ValueError("rows of b are listed twice, so only inner, left, semi and anti joins are possible")
@@ -170,9 +172,43 @@ def interval(
     left_side = a.withColumn("__step", a_step)
     right_side = b.withColumn("__b_step", F.explode(F.array(b_step, b_step - 1)))
     right_side = right_side.withColumnsRenamed({k: f"__b_{k}" for k in keys})
+    dense = _dense_steps(left_side, right_side, keys)
+    if dense is not None:
+        held = F.lit(True)
+        for i, k in enumerate(keys):
+            held = held & (F.col(k) == F.col(f"__d{i}"))
+        left_side = left_side.join(dense, held & (F.col("__step") == F.col("__dense")), "left")
+        # by value, so that a row that is computed again falls into the same part
+        own = F.xxhash64(*[c for c, kind in a.dtypes if "map<" not in kind and "variant" not in kind])
+        left_side = left_side.withColumn("__part", F.pmod(own, F.coalesce("__parts", F.lit(1)))).drop("__dense", "__parts", *[f"__d{i}" for i in range(len(keys))])
+        listed = F.lit(True)
+        for i, k in enumerate(keys):
+            listed = listed & (F.col(f"__b_{k}") == F.col(f"__d{i}"))
+        right_side = right_side.join(dense, listed & (F.col("__b_step") == F.col("__dense")), "left")
+        right_side = right_side.withColumn("__b_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__parts", F.lit(1)) - 1))).drop("__dense", "__parts", *[f"__d{i}" for i in range(len(keys))])
     end = F.col(a_ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), length)
     on = (F.col("__step") == F.col("__b_step")) & (F.col(b_ts) >= F.col(a_ts))
     on = on & ((F.col(b_ts) <= end) if closed else (F.col(b_ts) < end))
     for k in keys:
         on = on & (F.col(k) == F.col(f"__b_{k}"))
-    return left_side.join(right_side, on, how).drop("__step", "__b_step", *[f"__b_{k}" for k in keys])
+    if dense is not None:
+        on = on & (F.col("__part") == F.col("__b_part"))
+    return left_side.join(right_side, on, how).drop("__step", "__part", "__b_step", "__b_part", *[f"__b_{k}" for k in keys])
+
+
+PAIRS_PER_TASK = 100_000_000
+PAIRS_CONF = "tablekit.pairsPerTask"
+
+
+def _dense_steps(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The (key, step) with too many pairs for one task as ``__d0, ..., __dense``, and the ``__parts`` their rows of ``a`` are dealt into."""
+    limit = int(a.sparkSession.conf.get(PAIRS_CONF, str(PAIRS_PER_TASK)))
+    named = [F.col(k).alias(f"__d{i}") for i, k in enumerate(keys)]
+    n_a = a.groupBy(*named, F.col("__step").alias("__dense")).agg(F.count(F.lit(1)).alias("__n"))
+    n_b = b.groupBy(*[F.col(f"__b_{k}").alias(f"__d{i}") for i, k in enumerate(keys)], F.col("__b_step").alias("__dense")).agg(F.count(F.lit(1)).alias("__m"))
+    # in doubles: the product may be beyond a long
+    pairs = F.col("__n").cast("double") * F.col("__m")
+    counted = n_a.join(n_b, [*[f"__d{i}" for i in range(len(keys))], "__dense"]).filter(pairs > limit)
+    parts = F.least(F.col("__n").cast("double"), F.ceil(pairs / limit).cast("double")).cast("long")
+    dense = cut_lineage(counted.select(*[f"__d{i}" for i in range(len(keys))], "__dense", parts.alias("__parts")), "dense-steps")
+    return None if dense.isEmpty() else dense

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import rows
 from tablekit.operators.windows import latest_per_key, top_n_per_group
+from tablekit.storage import cut_lineage
 
 
 class CheckFailed(Exception):
@@ -115,20 +116,50 @@ def relationship(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataF
     return child.filter(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
 
 
-def reconcile(src: DataFrame, dst: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: row counts, keys missing from and keys extra in the destination."""
-    a = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__a"))
-    b = dst.groupBy(*keys).agg(F.count(F.lit(1)).alias("__b"))
+#: Groups of keys whose checksums are compared before rows are.
+RECONCILE_BUCKETS = 1 << 14
+
+
+def reconcile(src: DataFrame, dst: DataFrame, keys: list[str], buckets: int = RECONCILE_BUCKETS) -> DataFrame:
+    """One row: row counts, keys missing from and keys extra in the destination.
+
+    Either side is first summed up in its tasks: for each bucket of keys the number of rows and
+    two checksums of the keys' hashes. Only buckets that differ are looked at key by key, so
+    of equal tables no row is shuffled.
+    """
+    a, b = _bucket_sums(src, keys, buckets), _bucket_sums(dst, keys, buckets)
+    same = F.lit(True)
+    for c in ("n", "total", "parity"):
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    # at most one row per bucket
+    sums = a.alias("l").join(b.alias("r"), "bucket", "full_outer").select("bucket", F.col("l.n").alias("a"), F.col("r.n").alias("b"), same.alias("same"))
+    sums = cut_lineage(sums, "bucket-sums")
+    totals = sums.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("rows_in_source"), F.coalesce(F.sum("b"), F.lit(0)).alias("rows_in_destination"))
+    differing = sums.filter("not same").select("bucket")
+    if differing.isEmpty():
+        none = F.lit(0).cast("long")
+        return totals.select("*", none.alias("missing_keys"), none.alias("extra_keys"))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        rows = df.select(*keys, _bucket(keys, buckets).alias("bucket")).join(F.broadcast(differing), "bucket", "left_semi")
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
     on = F.lit(True)
-    left, right = a.alias("l"), b.alias("r")
     for k in keys:
         on = on & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    both = left.join(right, on, "full_outer")
-    return both.agg(
-        F.coalesce(F.sum("__a"), F.lit(0)).alias("rows_in_source"),
-        F.coalesce(F.sum("__b"), F.lit(0)).alias("rows_in_destination"),
-        F.count_if(F.col("__b").isNull()).alias("missing_keys"),
-        F.count_if(F.col("__a").isNull()).alias("extra_keys"),
+    both = keyed(src).alias("l").join(keyed(dst).alias("r"), on, "full_outer")
+    found = both.agg(F.count_if(F.col("r.n").isNull()).alias("missing_keys"), F.count_if(F.col("l.n").isNull()).alias("extra_keys"))
+    return totals.select("*", *[found.select(c).scalar().alias(c) for c in found.columns])
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _bucket_sums(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    mark = F.xxhash64(F.lit(1), *keys)
+    return df.groupBy(_bucket(keys, buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(mark.cast("decimal(20,0)")).alias("total"), F.bit_xor(mark).alias("parity")
     )
 
 

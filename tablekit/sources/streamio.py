@@ -32,15 +32,17 @@ def read_table_stream(spark: SparkSession, path: str, max_files: int | None = No
     return read_files(spark, path, spark.read.parquet(path).schema, "parquet", max_files)
 
 
-def read_rate(spark: SparkSession, rows_per_second: int, per_batch: int | None = None) -> DataFrame:
+def read_rate(spark: SparkSession, rows_per_second: int, per_batch: int | None = None, partitions: int | None = None) -> DataFrame:
     """A test source of ``(timestamp, value)`` with a text ``label``.
 
-    ``per_batch`` gives a fixed number of rows per micro-batch instead of a clock.
+    ``per_batch`` gives a fixed number of rows per micro-batch instead of a clock. A continuous
+    query holds one core for each of the ``partitions`` as long as it runs.
     """
     if per_batch:
         source = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", per_batch).load()
     else:
-        source = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+        reader = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
+        source = (reader.option("numPartitions", partitions) if partitions else reader).load()
     return labelled(source)
 
 

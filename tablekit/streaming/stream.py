@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tablekit.operators import merge
@@ -294,26 +296,58 @@ def cdc_sink(state: BatchTable, order: list[str]) -> Callable[[DataFrame, int],
 
 
 def progress(query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query: one row per trigger."""
-    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-    rows = [
-        (
-            str(p.id),
-            str(p.runId),
-            p.name,
-            p.batchId,
-            int(p.numInputRows),
-            float(p.inputRowsPerSecond or 0.0),
-            float(p.processedRowsPerSecond or 0.0),
-            p.timestamp,
-        )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        rows,
-        "id STRING, run_id STRING, name STRING, batch_id BIGINT, input_rows BIGINT, "
-        "input_rows_per_second DOUBLE, processed_rows_per_second DOUBLE, triggered_at STRING",
-    )
+    """What a query still remembers of its triggers; :class:`ProgressLog` keeps all of them."""
+    return SparkSession.active().createDataFrame([_progress_row(p) for p in query.recentProgress], PROGRESS)
+
+
+PROGRESS = (
+    "id STRING, run_id STRING, name STRING, batch_id BIGINT, input_rows BIGINT, "
+    "input_rows_per_second DOUBLE, processed_rows_per_second DOUBLE, triggered_at STRING"
+)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends a row to a table for every trigger of every query of a session.
+
+    Nothing is polled, and rows stay when a query has gone. ``attach`` starts the log,
+    ``detach`` ends it; ``wait`` returns once a query's end has been told.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def attach(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def detach(self) -> None:
+        self.spark.streams.removeListener(self)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60.0) -> bool:
+        return self._ended[str(query.runId)].wait(seconds)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS).parquet(self.path)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.spark.createDataFrame([_progress_row(event.progress)], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+
+def _progress_row(p) -> tuple:
+    return (
+        str(p.id), str(p.runId), p.name, p.batchId, int(p.numInputRows),
+        float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0), p.timestamp,
+    )
 
 
 def status(query: StreamingQuery) -> dict:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
-from tablekit.operators import join, merge, quality
+from tablekit.operators import join, layout, merge, order, quality, windows
+from tablekit.sources import streamio
 from tablekit.streaming import stream
 from tablekit.streaming.batches import BatchTable
 
@@ -136,3 +138,108 @@ def test_streak_takes_late_rows(spark, tmp_path, timeout):
     )
     query.awaitTermination()
     assert [x for x in seen if x] == [{"a": 2, "b": 1}, {"a": 3, "b": 2}, {"a": 2, "b": 2}, {"a": 3, "b": 1}, {"b": 2}]
+
+
+def test_pages_and_stored_starts(spark):
+    df = spark.range(95).select((F.col("id") * 7 % 95).alias("k"), F.col("id").alias("v")).repartition(4)
+    want = [list(range(i, min(i + 10, 95))) for i in range(0, 95, 10)] + [[]]
+    starts = order.page_starts(df, ["k"], 10)
+    for number, keys in enumerate(want):
+        assert [r["k"] for r in order.page(df, ["k"], 10, number).collect()] == keys
+        assert [r["k"] for r in order.page_from(df, starts, ["k"], 10, number).collect()] == keys
+    assert "TakeOrderedAndProject" in order.page(df, ["k"], 10, 3)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_tables_reconcile_without_moving_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5_000).select((F.col("id") % 3_000).alias("k"), F.lit("x").alias("v")).write.parquet(path)
+    table = spark.read.parquet(path)
+    same = quality.reconcile(table, table.repartition(3), ["k"], 64)
+    assert tuple(same.first()) == (5_000, 5_000, 0, 0)
+    assert "xxhash64" not in same._jdf.queryExecution().executedPlan().toString()
+    other = table.filter("k <> 7").union(spark.createDataFrame([(9_000, "x"), (None, "x")], "k LONG, v STRING"))
+    rows = table.filter("k <> 7").count() + 2
+    assert tuple(quality.reconcile(table, other, ["k"], 64).first()) == (5_000, rows, 1, 2)
+    assert tuple(quality.reconcile(table.limit(0), table.limit(0), ["k"]).first()) == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "semi", "anti"])
+def test_dense_steps_of_an_interval_join_are_cut(spark, how):
+    a = [("hot", at(0) if i % 2 else at(i % 50), i) for i in range(90)] + [("cold", at(3), 90), (None, at(3), 91), ("alone", at(1), 92)]
+    b = [("hot", at(i % 60), i) for i in range(70)] + [("cold", at(4), 70), (None, at(3), 71)]
+    left = spark.createDataFrame(a, "k STRING, x TIMESTAMP_NTZ, i INT")
+    right = spark.createDataFrame(b, "k STRING, y TIMESTAMP_NTZ, j INT")
+    plain = sorted(map(str, join.interval(left, right, ["k"], "x", "y", 3_600, how).collect()))
+    spark.conf.set(join.PAIRS_CONF, "500")
+    try:
+        cut = join.interval(left, right, ["k"], "x", "y", 3_600, how)
+        assert sorted(map(str, cut.collect())) == plain
+        assert "__part" in cut._jdf.queryExecution().optimizedPlan().toString() and cut.columns == join.interval(left, right, ["k"], "x", "y", 3_600, how).columns
+    finally:
+        spark.conf.unset(join.PAIRS_CONF)
+
+
+def test_ties_of_a_hot_key_meet_in_no_task(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20_000).select(F.lit("hot").alias("k"), (F.col("id") % 3).alias("v"), F.col("id").alias("n")).repartition(8).write.parquet(path)
+    table = spark.read.parquet(path)
+    settings = {"tablekit.rowsPerSlice": "1000", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        ranked = windows.rank(table, ["k"], ["v"])
+        sizes = ranked.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        counts = {r["rank"]: r["count"] for r in ranked.groupBy("rank").count().collect()}
+        totals = {r["v"]: r["s"] for r in windows.running_total(table, ["k"], ["v"], "n", "s").select("v", "s").distinct().collect()}
+        dense = {r["v"]: r["dense_rank"] for r in windows.dense_rank(table, ["k"], ["v"]).select("v", "dense_rank").distinct().collect()}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert counts == {1: 6_667, 6_668: 6_667, 13_335: 6_666} and dense == {0: 1, 1: 2, 2: 3}
+    assert totals[2] == 20_000 * 19_999 // 2
+    # no window runs over the rows: a value's 6,667 rows are dealt to several tasks
+    assert sizes < 6_667
+
+
+def test_clustering_plans_at_real_sizes(spark):
+    df = spark.range(60_000).select((F.col("id") * 7919 % 60_000).alias("n"), F.concat(F.lit("key"), F.col("id") % 5_000).alias("s"), F.lit(None).cast("double").alias("x"))
+    start = time.perf_counter()
+    text = layout.cluster(df, ["n"], 2_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert time.perf_counter() - start < 20 and text.count("kll_sketch_agg") == 1
+    for columns in (["n"], ["s"], ["s", "n", "x"]):
+        ranges = layout.cluster(df, columns, 16).groupBy(F.spark_partition_id()).agg(F.min(columns[0]).alias("lo"), F.max(columns[0]).alias("hi"), F.count("*").alias("rows")).collect()
+        assert sum(r["rows"] for r in ranges) == 60_000 and max(r["rows"] for r in ranges) < 12_000
+        value = 30_000 if columns[0] == "n" else "key2500"
+        assert sum(r["lo"] <= value <= r["hi"] for r in ranges) <= (2 if len(columns) == 1 else 10)
+
+
+def test_progress_is_kept_in_a_table(spark, tmp_path):
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "in"))
+    log = stream.ProgressLog(spark, str(tmp_path / "log")).attach()
+    try:
+        feed = streamio.read_files(spark, str(tmp_path / "in"), "id LONG", max_files=1)
+        query = stream.drain(stream.start(feed, str(tmp_path / "out"), "append", str(tmp_path / "c")))
+        assert log.wait(query)
+    finally:
+        log.detach()
+    seen = log.read().filter(F.col("run_id") == str(query.runId))
+    assert seen.agg(F.sum("input_rows")).first()[0] == 30 and seen.filter("input_rows > 0").count() == 3
+    assert stream.progress(query).columns == seen.columns
+
+
+def test_continuous_trigger_on_the_rate_source(spark, tmp_path):
+    rate = streamio.read_rate(spark, 20, partitions=2)
+    query = (
+        rate.writeStream.format("memory").queryName("continuous_rows").option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(**stream.trigger("continuous", "500 milliseconds")).start()
+    )
+    try:
+        for _ in range(60):
+            query.awaitTermination(0.5)
+            if spark.table("continuous_rows").count() >= 40:
+                break
+    finally:
+        query.stop()
+    rows = spark.table("continuous_rows").collect()
+    values = sorted(r["value"] for r in rows)
+    assert len(values) >= 40 and len(set(values)) == len(values) and {r["label"] for r in rows} == {str(v) for v in values}
