@@ -41,6 +41,8 @@ FOLDS = 3
 QUANTILE, SHARE, LEAST_TEXTS = 0.01, 0.5, 50
 #: Unrelated sums have cosines of spread 1 / sqrt(dimensions); a level within this many of those tells nothing.
 CHANCE = 4.0
+#: Text worked on at a time: each byte takes some hundred while trigrams are told apart.
+_SLICE_BYTES = 1 << 19
 #: Trigrams whose vectors are spelled out together.
 _GRAMS = 2048
 #: A count costs as much to add as so many to multiply.
@@ -179,7 +181,7 @@ def _learned(docs: DataFrame, fold: Column, lang: str, text: str, dimensions: in
     def run(batches):
         sums: dict[tuple[int, str], np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, "__llm_text"):
+            for part in slices(batch, "__llm_text", _SLICE_BYTES):
                 rows, owner, gram = trigrams(part.column("__llm_text"))
                 if not len(rows):
                     continue
@@ -236,7 +238,7 @@ def learn_with_levels(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang
         return [labels, spread, score]
 
     labelled = docs.where(F.col(lang).isNotNull()).select(fold.cast("int").alias("fold"), F.col(lang).cast("string").alias("lang"), text_bytes(text).alias("__llm_text"))
-    told = map_rows(labelled, schema, convert, "__llm_text")
+    told = map_rows(labelled, schema, convert, "__llm_text", _SLICE_BYTES)
     low = F.percentile_approx("score", QUANTILE, 10_000)
     # a class holds twice the spread of the one before, so these are CLASSES rows a language at most; those of all languages have none
     classes = told.withColumn("lang", F.explode(F.array("lang", F.lit(None).cast("string")))).groupBy("lang", "spread").agg(F.count("*").alias("n"), low.alias("low"))
@@ -267,7 +269,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], doc_id: str = "d
     def convert(batch: pa.RecordBatch):
         return [*(batch.column(i) for i in range(n)), *scores(batch.column(n), shared.value)]
 
-    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text", _SLICE_BYTES)
 
 
 def scores(column: pa.Array, prototypes: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
@@ -321,4 +323,4 @@ def accepted(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: floa
         return [batch.column(i).filter(keep) for i in range(len(names))]
 
     schema = T.StructType([field(docs, c) for c in names])
-    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text")
+    return map_rows(docs.select(*names, text_bytes(text).alias("__llm_text")), schema, convert, "__llm_text", _SLICE_BYTES)

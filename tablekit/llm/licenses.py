@@ -1,19 +1,25 @@
-"""Licence scan: lines and whole texts compared with licence templates by word bigrams.
+"""Licence scan: lines, whole texts and stretches of words compared with licence templates by word bigrams.
 
-Text is normalised to lower-case words of letters and digits. A unit - each line, and the
-whole text if it has several lines - is the set of its word bigrams. It matches a template
-if the Dice coefficient 2 |A n B| / (|A| + |B|) of the two sets is at least ``least``. That
-bounds the sizes: |A| lies between least / (2 - least) |B| and (2 - least) / least |B|, and
-templates outside these bounds are not compared. Everything is column expressions over the
-row itself: no Python, no shuffle.
+Text is normalised to lower-case words of letters and digits. A unit is the set of its word
+bigrams. It matches a template if the Dice coefficient 2 |A n B| / (|A| + |B|) of the two sets
+is at least ``least``. Units are each line, the whole text if it has several lines, and, so that
+a licence above code or a notice within a line is found, stretches of the whole text: as many
+words as the template, from each place that holds one of its bigrams.
+
+The Dice coefficient bounds the sizes: |A| lies between least / (2 - least) |B| and (2 - least) /
+least |B|, and templates outside these bounds are not compared. In a stretch at least least / (2 -
+least) |B| places hold bigrams of the template; places that are not followed by so many are
+passed over. Everything is column expressions over the row itself: no Python, no shuffle.
 
 * Null and empty texts, and units of fewer than two words, have no bigrams and no match.
-* Of equal scores the template first in order of name is the best.
+* A template is listed once, with its best unit: of equal scores a stretch, then the whole text,
+  then lines in order; of stretches the first. Of equal templates the first in order of name is the best.
 * Repeated rows give a row each. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +51,12 @@ _BSD_WARRANTY = (
     "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
     "DAMAGE."
 )
+_GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it "
+    "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General "
+    "Public License for more details."
+)
 #: Licence texts and the notices that name them.
 TEMPLATES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
@@ -65,10 +77,9 @@ TEMPLATES = {
     'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the '
     "License for the specific language governing permissions and limitations under the License.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it "
-    "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General "
-    "Public License for more details.",
+    "gpl-3.0": _GPL,
+    "lgpl-3.0": _GPL.replace("GNU General", "GNU Lesser General"),
+    "agpl-3.0": _GPL.replace("GNU General", "GNU Affero General"),
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
     "You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -80,10 +91,15 @@ TEMPLATES = {
 }
 
 
+def pairs(text: str) -> list[str]:
+    """The word bigrams of a template, place by place."""
+    words = [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+
+
 def bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a template, in order."""
-    words = [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+    return list(dict.fromkeys(pairs(text)))
 
 
 def _template_rows(templates: dict[str, str], least: float) -> Column:
@@ -107,16 +123,51 @@ def unit_bigrams(words: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b)))
 
 
+def _stretches(templates: dict[str, str], least: float) -> Column:
+    """(dice, license, start) of stretches of ``_pairs`` that may match; ``_hits`` are the places of bigrams of any template."""
+
+    def places_of(grams: list[str]) -> Column:
+        return F.filter("_hits", lambda i: F.get("_pairs", i).isin(*grams))
+
+    found = []
+    for name in sorted(templates):
+        grams = bigrams(templates[name])
+        need = math.ceil(least / (2 - least) * len(grams) - 1e-9)
+        found.append(F.struct(F.lit(name).alias("license"), F.lit(len(pairs(templates[name]))).alias("length"), F.lit(need).alias("need"), F.array(*map(F.lit, grams)).alias("grams"), places_of(grams).alias("places")))
+
+    def compared(t: Column) -> Column:
+        places = F.filter(t["places"], lambda p, k: F.coalesce(F.get(t["places"], k + t["need"] - 1) < p + t["length"], F.lit(False)))
+
+        def dice(p: Column) -> Column:
+            own = F.array_distinct(F.slice("_pairs", p + 1, t["length"]))
+            return F.lit(2.0) * F.size(F.array_intersect(own, t["grams"])) / (F.size(own) + F.size(t["grams"]))
+
+        return F.transform(places, lambda p: F.struct(dice(p).alias("dice"), t["license"].alias("license"), F.lit(-2).alias("unit"), p.alias("start")))
+
+    return F.flatten(F.transform(F.array(*found), compared))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id and ``matches`` (unit, license, dice), best first; unit -1 is the whole text."""
+    """Per row: id and ``matches`` (unit, start, license, dice), best first.
+
+    ``unit`` is the line, -1 for the whole text, -2 for a stretch; that has its first word in ``start``.
+    """
     table = _template_rows(templates, least)
     fewest = min(len(bigrams(t)) for t in templates.values()) * least / (2 - least)
     lines = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n")
-    whole = F.when(F.size("_lines") > 1, F.array(F.array_join("_lines", " "))).otherwise(F.array().cast("array<string>"))
-    numbered = F.transform(F.concat("_lines", whole), lambda u, i: F.struct(F.when(i < F.size("_lines"), i).otherwise(F.lit(-1)).alias("unit"), F.split(F.trim(F.regexp_replace(u, r"[^\p{L}\p{N}]+", " ")), " ").alias("words")))
+
+    def words(u: Column) -> Column:
+        return F.split(F.trim(F.regexp_replace(u, r"[^\p{L}\p{N}]+", " ")), " ")
+
+    numbered = F.transform("_lines", lambda u, i: F.struct(i.alias("unit"), words(u).alias("words")))
     # a set has no more bigrams than its unit has pairs of neighbours
     long_enough = F.filter(numbered, lambda u: F.size(u["words"]) - 1 >= F.lit(max(1.0, fewest)))
-    sets = F.transform(long_enough, lambda u: F.struct(u["unit"].alias("unit"), unit_bigrams(u["words"]).alias("grams")))
+    line_sets = F.transform(long_enough, lambda u: F.struct(u["unit"].alias("unit"), unit_bigrams(u["words"]).alias("grams")))
+    n = F.size("_words") - 1
+    neighbours = F.zip_with(F.slice("_words", 1, n), F.slice("_words", 2, n), lambda a, b: F.concat_ws(" ", a, b))
+    whole_set = F.when((F.size("_lines") > 1) & (F.size("_pairs") > 0), F.array(F.struct(F.lit(-1).alias("unit"), F.array_distinct("_pairs").alias("grams"))))
+    vocabulary = sorted({g for t in templates.values() for g in bigrams(t)})
+    hits = F.filter(F.transform("_pairs", lambda pair, i: F.when(pair.isin(*vocabulary), i)), lambda i: i.isNotNull())
 
     def compared(u: Column) -> Column:
         size = F.size(u["grams"])
@@ -124,14 +175,23 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
         return F.transform(
             fitting,
             lambda t: F.struct(
-                (F.lit(2.0) * F.size(F.array_intersect(u["grams"], t["grams"])) / (size + F.size(t["grams"]))).alias("dice"), t["name"].alias("license"), u["unit"].alias("unit")
+                (F.lit(2.0) * F.size(F.array_intersect(u["grams"], t["grams"])) / (size + F.size(t["grams"]))).alias("dice"),
+                t["name"].alias("license"), u["unit"].alias("unit"), F.lit(None).cast("int").alias("start"),
             ),
-        )
+        )
 
-    found = F.filter(F.flatten(F.transform("_sets", compared)), lambda m: m["dice"] >= F.lit(least))
-    ordered = F.array_sort(F.transform(found, lambda m: F.struct((-m["dice"]).alias("order"), m["license"].alias("license"), m["unit"].alias("unit"))))
+    units = F.concat("_line_sets", F.coalesce(whole_set, F.array().cast(_UNITS)))
+    found = F.filter(F.concat(F.flatten(F.transform(units, compared)), _stretches(templates, least)), lambda m: m["dice"] >= F.lit(least))
+    ordered = F.array_sort(F.transform(found, lambda m: F.struct((-m["dice"]).alias("order"), m["license"].alias("license"), m["unit"].alias("unit"), m["start"].alias("start"))))
+    best = F.filter("_ordered", lambda m, i: ~F.exists(F.slice("_ordered", 1, i), lambda earlier: earlier["license"] == m["license"]))
     return (
         docs.select(F.col(doc_id), lines.alias("_lines"))
-        .select(doc_id, sets.alias("_sets"), table.alias("_templates"))
-        .select(doc_id, F.transform(ordered, lambda m: F.struct(m["unit"].alias("unit"), m["license"].alias("license"), (-m["order"]).alias("dice"))).alias("matches"))
+        .select(doc_id, "_lines", words(F.array_join("_lines", " ")).alias("_words"))
+        .select(doc_id, "_lines", F.when(n > 0, neighbours).otherwise(F.array().cast("array<string>")).alias("_pairs"))
+        .select(doc_id, "_lines", "_pairs", line_sets.alias("_line_sets"), hits.alias("_hits"), table.alias("_templates"))
+        .select(doc_id, ordered.alias("_ordered"))
+        .select(doc_id, F.transform(best, lambda m: F.struct(m["unit"].alias("unit"), m["start"].alias("start"), m["license"].alias("license"), (-m["order"]).alias("dice"))).alias("matches"))
     )
+
+
+_UNITS = "array<struct<unit:int,grams:array<string>>>"

@@ -215,20 +215,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle_3() -> str:
-    rows = ", ".join(f"('{name}', [{', '.join(repr(g) for g in licenses.bigrams(text))}])" for name, text in licenses.TEMPLATES.items())
+    rows = ", ".join(f"('{name}', [{', '.join(repr(g) for g in licenses.bigrams(text))}], {len(licenses.pairs(text))})" for name, text in licenses.TEMPLATES.items())
     return f"""
-    with t(license, grams) as (values {rows}),
+    with t(license, grams, n) as (values {rows}),
     l as (select doc_id, string_split(lower(coalesce(text, '')), chr(10)) as lines from documents),
     u as (select doc_id, unnest(lines) as unit from l union all select doc_id, array_to_string(lines, ' ') from l where len(lines) > 1),
     w as (select doc_id, string_split(trim(regexp_replace(unit, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as w from u),
     g as (
         select doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as g from w where len(w) > 1
     ),
+    text_words as (select doc_id, string_split(trim(regexp_replace(array_to_string(lines, ' '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') as w from l),
+    pairs as (select doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as p from text_words where len(w) > 1),
+    places as (select doc_id, p, unnest(range(1, len(p) + 1)) as i, unnest(p) as pair from pairs),
+    grams_of as (select license, grams, n, unnest(grams) as pair from t),
+    stretches as (select doc_id, license, grams, list_distinct(p[i:i + n - 1]) as g from places join grams_of using (pair)),
     m as (
         select doc_id, license, 2.0::double * len(list_intersect(g, grams)) / (len(g) + len(grams)) as dice from g, t
+        union all select doc_id, license, 2.0::double * len(list_intersect(g, grams)) / (len(g) + len(grams)) from stretches
     ),
     best as (
-        select doc_id, count(*) as n_matches, max(dice) as dice from m where dice >= {licenses.LEAST} group by 1
+        select doc_id, count(distinct license) as n_matches, max(dice) as dice from m where dice >= {licenses.LEAST} group by 1
     ),
     named as (select doc_id, min(license) as license from m join best using (doc_id, dice) group by 1)
     select doc_id, license, coalesce(dice, 0)::double as dice, coalesce(n_matches, 0)::bigint as n_matches

@@ -34,12 +34,12 @@ def text_bytes(name: str) -> Column:
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"").cast("binary"))
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with at most SLICE_BYTES in a binary column, or one row."""
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with at most ``most`` bytes in a binary column, or one row."""
     lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in batch.column(column)]
     start = total = 0
     for i, n in enumerate(lengths):
-        if i > start and (total + n > SLICE_BYTES or i - start >= SLICE_ROWS):
+        if i > start and (total + n > most or i - start >= SLICE_ROWS):
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n
@@ -47,13 +47,13 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def map_rows(df: DataFrame, schema: T.StructType, convert: Callable[[pa.RecordBatch], list[Iterable]], heavy: str) -> DataFrame:
+def map_rows(df: DataFrame, schema: T.StructType, convert: Callable[[pa.RecordBatch], list[Iterable]], heavy: str, most: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over slices of the batches: ``convert`` returns the columns of ``schema``."""
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, heavy):
+            for part in slices(batch, heavy, most):
                 columns = [
                     c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                     for c, f in zip(convert(part), arrow, strict=True)

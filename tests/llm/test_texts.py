@@ -8,8 +8,14 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
+import textwrap
+from pathlib import Path
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -19,6 +25,7 @@ from tablekit.llm import bpe, decontaminate, jaccard, language, licenses, secret
 from tablekit.llm.queries import PIECES, QUERIES, VOCABULARY
 
 SF = "/root/testdata/sf0.001"
+ROOT = str(Path(__file__).resolve().parents[2])
 DOCS = "doc_id long, text string, lang string, _text string, spans string"
 ODD = [None, "", " ", "\n\n", "!!!", "a", "Ünïcode ſharp K", "word " * 30_000, "x" * 300_000, "Same text here today.", "Same text here today."]
 
@@ -325,6 +332,39 @@ def plain_guess_bits(value: str) -> float:
     return cost[-1]
 
 
+def test_language_memory_does_not_grow_with_the_alphabet():
+    """Two megabytes of texts over 20,000 characters, in a process of its own."""
+    program = """
+import random, resource
+import numpy as np, pyarrow as pa
+from tablekit.llm import language
+rng = random.Random(1)
+texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(1000)).encode() for _ in range(700)]
+prototypes = {x: np.random.default_rng(i).normal(size=1024) for i, x in enumerate("ab")}
+language._letters()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["t"])
+found = [language.scored(part.column("t"), prototypes) for part in language.slices(batch, "t", language._SLICE_BYTES)]
+assert sum(len(f[0]) for f in found) == 700
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    grown = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, check=True, cwd=ROOT).stdout
+    assert int(grown) < 200_000  # kB
+
+
+def test_sums_of_texts_are_those_of_their_trigrams():
+    rng = random.Random(4)
+    for letters, n in (("ab", 40), ("".join(chr(0x4E00 + i) for i in range(900)), 7)):
+        texts = ["".join(rng.choice(letters + " ") for _ in range(rng.randint(0, 3000))) for _ in range(n)]
+        rows, owner, gram = language.trigrams(pa.array([t.encode() for t in texts], pa.binary()))
+        sums, squares = language.text_sums(rows, owner, gram, n, 256)
+        vectors = [language.letter_vectors(rows[:, k], 256).astype(int) for k in range(3)]
+        vectors = np.roll(vectors[0], 2, axis=1) * np.roll(vectors[1], 1, axis=1) * vectors[2]
+        for i in range(n):
+            counts = np.bincount(gram[owner == i], minlength=len(rows))
+            assert (sums[i] == counts @ vectors).all() and squares[i] == (counts**2).sum()
+
+
 # ------------------------------------------------------------------ licences
 
 
@@ -335,11 +375,32 @@ def test_license_scan(spark, odd, empty):
     )
     found = {r.doc_id: r.matches for r in licenses.scan(docs).collect()}
     assert (found[1][0].license, found[1][0].dice) == ("mit", 1.0)
-    assert [(m.unit, m.license, m.dice) for m in found[2][:1]] == [(1, "mit-notice", 1.0)]
+    assert [(m.unit, m.start, m.license, m.dice) for m in found[2][:1]] == [(-2, 2, "mit-notice", 1.0)]
     assert not found[3] and not found[4]
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(empty).count() == 0
 
 
+def test_licenses_within_longer_texts(spark):
+    mit, code = licenses.TEMPLATES["mit"], "\n".join(f"x{i} = f{i}(y{i}, {i})" for i in range(60))
+    wrapped = "\n".join(f"# {line}" for line in textwrap.wrap(mit, 75))
+    rows = [
+        (1, f"{wrapped}\n{code}"),
+        (2, f"{code}\n{wrapped}\n{code}"),
+        (3, "this whole package is Released under the MIT License. See below for all that it holds and what else there is to know"),
+        (4, f"{code}\n{wrapped.replace('copies', 'copy').replace('LIABLE', 'liable at all')}\n{code}\n{code}"),
+        (5, licenses.TEMPLATES["agpl-3.0"]),
+        (6, "of the in the or the of the " * 400),
+    ]
+    same = {"a": "one two three four five", "b": "one two three four five"}
+    found = {r.doc_id: [(m.license, m.dice) for m in r.matches] for r in licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found[1][0] == found[2][0] == ("mit", 1.0) and found[3][0] == ("mit-notice", 1.0) and found[5][0] == ("agpl-3.0", 1.0)
+    assert found[4][0][0] == "mit" and 0.9 < found[4][0][1] < 1 and not found[6]
+    tied = licenses.scan(spark.createDataFrame([(1, "zero one two three four five six")], "doc_id int, text string"), same).first().matches
+    assert [(m.license, m.dice, m.start) for m in tied] == [("a", 1.0, 1), ("b", 1.0, 1)]
+    plan = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
 # ------------------------------------------------------------------ Jaccard join
 
 
