@@ -12,12 +12,12 @@ words from one anchor past the next are the edges of a De Bruijn graph of variab
    row: whoever holds a window of it holds all of it. Windows around a branch are a row each.
 4. Rows are compared by 96 bits of their words. The least document of equal rows is their
    source; the coordinates of all others, and of later places in one text, are removed. Rows
-   whose anchors have few places meet in a window over the key; those of anchors with many are
-   summed up in the tasks first and joined with the sums.
+   whose anchors have many places meet in groups of a key; the first of each group meet again.
 
 Texts are shuffled once. The rows compared are paths and the windows around branches, not all windows of the corpus.
-All joins and aggregates are on hashes of words or rows; a passage in a third of all texts is
-merged in each task, and its places are a skewed join that adaptive execution splits.
+All joins, aggregates and groups are on hashes of words or rows. A passage in a third of all
+texts is merged in each task while anchors are counted, adaptive execution splits the join that
+brings the kinds back, and its n places are compared in about sqrt(n) groups of sqrt(n).
 
 * Words are what blanks and the ASCII controls tab to carriage return separate, byte by byte.
   A text with fewer than ``window`` words keeps them all, as null and empty ones keep nothing.
@@ -42,9 +42,10 @@ from tablekit.storage import cut_lineage
 
 WINDOW = 20
 GRAM = 5
-#: Places of an anchor up to which those of a path or window may meet in one task.
+#: Places of an anchor up to which those of a path or window meet in one group; more meet in groups of about their square root.
 HOT_PLACES = 1000
-HOT, LATER = 1, 2
+#: In place of the bits of a group's number: the span stands earlier in its own text.
+LATER = -1
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -135,15 +136,15 @@ def anchors(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
 
 
 def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
-    """``key_a, key_b, id, row, span, state``: paths without branches and windows around branches, by 96 bits of their words.
+    """``key_a, key_b, id, row, span, bits``: paths without branches and windows around branches, by 96 bits of their words.
 
-    ``state`` is HOT where the anchor is. Spans that their text held before are LATER, joined
-    where they overlap; their key says nothing.
+    ``bits`` are those of the group number that the anchor's places need. Spans that their text
+    held before have LATER there, joined where they overlap; their key says nothing.
     ``span`` has the first word in its upper 32 bits, the word behind the last in its lower.
     """
     schema = T.StructType([
         T.StructField("key_a", T.LongType()), T.StructField("key_b", T.IntegerType()), field(rows, doc_id, "id"),
-        T.StructField("row", T.LongType()), T.StructField("span", T.LongType()), T.StructField("state", T.ByteType()),
+        T.StructField("row", T.LongType()), T.StructField("span", T.LongType()), T.StructField("bits", T.ByteType()),
     ])
 
     def convert(batch: pa.RecordBatch):
@@ -153,10 +154,10 @@ def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
         values = np.asarray(told.flatten())
         owner = np.repeat(np.arange(len(told)), np.asarray(told.value_lengths()))
         # 0: found once in the corpus, 1: branches, 2: passed through
-        kind, hot = np.zeros(words.n + 1, np.int8), np.zeros(words.n + 1, np.int8)
-        at = words.first[owner] + (values >> 2)
-        kind[at], hot[at] = (values & 1) + 1, (values >> 1 & 1) * HOT
-        kind, hot = kind[found.place], hot[found.place]
+        kind, bits = np.zeros(words.n + 1, np.int8), np.zeros(words.n + 1, np.int8)
+        at = words.first[owner] + (values >> 8)
+        kind[at], bits[at] = (values & 1) + 1, values >> 1 & 127
+        kind, bits = kind[found.place], bits[found.place]
         through = kind == 2
         joined = np.zeros(len(kind), bool)
         joined[1:] = through[1:] & through[:-1] & (found.owner[1:] == found.owner[:-1])
@@ -167,20 +168,20 @@ def _paths(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataFrame:
         windows = np.arange(many.sum()) + np.repeat(found.begin[branch] - (np.cumsum(many) - many), many)
         start = np.concatenate([found.begin[heads], windows])
         end = np.concatenate([found.last[tails], windows]) + window
-        state = np.concatenate([hot[heads], np.repeat(hot[branch], many)])
+        bits = np.concatenate([bits[heads], np.repeat(bits[branch], many)])
         own = words.owner[start] if len(start) else start
         a, b = words.hashes(start, end, 0).view(np.int64), words.hashes(start, end, 1).astype(np.uint32).view(np.int32)
         order = np.lexsort((start, b, a, own))
-        start, end, own, a, b, state = (x[order] for x in (start, end, own, a, b, state))
+        start, end, own, a, b, bits = (x[order] for x in (start, end, own, a, b, bits))
         later = np.zeros(len(start), bool)
         later[1:] = (own[1:] == own[:-1]) & (a[1:] == a[:-1]) & (b[1:] == b[:-1])
         again_start, again_end, again_own = _joined(start[later], end[later], own[later])
         spread = mix(again_start.astype(np.uint64)).view(np.int64)
-        a, b, state = np.append(a[~later], spread), np.append(b[~later], np.zeros(len(spread), np.int32)), np.append(state[~later], np.full(len(spread), LATER))
+        a, b, bits = np.append(a[~later], spread), np.append(b[~later], np.zeros(len(spread), np.int32)), np.append(bits[~later], np.full(len(spread), LATER))
         start, end, own = np.append(start[~later], again_start), np.append(end[~later], again_end), np.append(own[~later], again_own)
         shift = words.first[own]
         spans = (start - shift << 32) | (end - shift)
-        return [a, b.astype(np.int32), batch.column(doc_id).take(pa.array(own)), np.asarray(batch.column("__llm_row"))[own], spans, state.astype(np.int8)]
+        return [a, b.astype(np.int32), batch.column(doc_id).take(pa.array(own)), np.asarray(batch.column("__llm_row"))[own], spans, bits.astype(np.int8)]
 
     return map_rows(rows, schema, convert, "__llm_text")
 
@@ -199,30 +200,23 @@ def earlier_spans(rows: DataFrame, doc_id: str, window: int, gram: int) -> DataF
     places = anchors(rows, window, gram)
     repeated = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("least"), F.max("around").alias("most"))
     # a table of its own: a join on an aggregate's partitions could not split an anchor's many places
-    repeated = cut_lineage(repeated.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("same"), (F.col("n") > HOT_PLACES).alias("hot")), "debruijn-anchors")
-    kind = F.col("place") * 4 + F.when(F.col("hot"), 2).otherwise(0) + F.when(F.col("same"), 1).otherwise(0)
+    bits = F.when(F.col("n") > HOT_PLACES, F.ceil(F.log2("n") / 2)).otherwise(0)
+    repeated = cut_lineage(repeated.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("same"), bits.cast("byte").alias("bits")), "debruijn-anchors")
+    kind = F.col("place") * 256 + F.col("bits") * 2 + F.when(F.col("same"), 1).otherwise(0)
     kinds = places.select("anchor", "row", "place").join(repeated, "anchor").select(F.col("row").alias("__llm_row"), kind.alias("kind"))
     # a set: rows that are equal throughout share their row hash, and each task keeps one of their values
     kinds = cut_lineage(kinds.groupBy("__llm_row").agg(F.collect_set("kind").alias("__llm_kinds")), "debruijn-kinds")
     paths = _paths(rows.join(kinds, "__llm_row"), doc_id, window, gram)
-    earlier = "first < id or id is null and first is not null"
-    # a path has no more places than its anchors: those of few meet in a window, those of many are summed up before
-    few = paths.where(f"state <> {HOT}").withColumn("first", F.min("id").over(Window.partitionBy("key_a", "key_b")))
-    few = few.where(f"state = {LATER} or {earlier}")
-    gone = few.select("row", "span")
-    if not repeated.where("hot").isEmpty():
-        gone = gone.union(_of_many_places(paths.where(f"state = {HOT}"), earlier))
+    earlier = "coalesce(first < id or id is null and first is not null, false)"
+    # a path has no more places than its anchors: those of many meet in groups, and the first of each group once more
+    group = F.expr("if(bits > 0, pmod(row, shiftleft(1L, cast(bits as int))), 0L)")
+    grouped = paths.withColumn("group", group).withColumn("first", F.min("id").over(Window.partitionBy("key_a", "key_b", "group")))
+    decided = grouped.where(f"bits = {LATER} or {earlier}")
+    open_still = grouped.where(f"bits > 0 and not {earlier}").withColumn("first", F.min("id").over(Window.partitionBy("key_a", "key_b")))
+    gone = decided.select("row", "span").union(open_still.where(earlier).select("row", "span"))
     return gone.groupBy("row").agg(F.collect_set("span").alias("spans"))
 
 
-def _of_many_places(many: DataFrame, earlier: str) -> DataFrame:
-    """``row, span`` of the places that are not the first; sums of each task and a join that may split a path's places."""
-    sources = many.groupBy("key_a", "key_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("without"))
-    sources = sources.where("first < last or without and first is not null").select("key_a", F.col("key_b").alias("other"), "first")
-    # on half of the key, so that the sums are dealt anew and a path's many places can be split
-    return many.join(sources, "key_a").where(F.col("key_b").bitwiseXOR(F.col("other")) == 0).where(earlier).select("row", "span")
-
-
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Per row: id (and ``keep``), ``n_words``, ``n_removed`` and ``kept``, the words that stay with one blank between them."""
     if not 1 <= gram < window:
