@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.llm.rows import field, held, map_rows, text_bytes
+from tablekit.storage import cut_lineage
 
 WINDOW = 10
 #: Words of one automaton; a Python automaton takes about 1 kB per word.
@@ -197,23 +199,30 @@ def matches(
 ) -> DataFrame:
     """Per document: id, ``n_words``, ``spans`` of hit words (start, end exclusive), sorted ``items``.
 
-    ``keep`` names further columns to carry along. No shuffle: documents stream past the
-    broadcast automata.
+    ``keep`` names further columns to carry along, none of them called like a result. No shuffle:
+    documents stream past the broadcast automata. Items of more than ``shard_words`` words in
+    all go through one group after the other; the driver holds one group, as does each task.
     """
     spark = docs.sparkSession
     span = T.ArrayType(T.ArrayType(T.LongType()))
     names = [doc_id, *[k for k in keep if k != doc_id]]
+    if clash := {"n_words", "spans", "items"} & set(names):
+        raise ValueError(f"columns to carry along have the names of results: {sorted(clash)}")
     carried = [field(docs, k) for k in names]
-    out = docs.select(*names, text_bytes(text).alias("__llm_text"), F.lit(0).cast("long").alias("_words"), F.array().cast(span).alias("_spans"), F.array().cast("array<string>").alias("_items"))
-    schema = T.StructType([*carried, T.StructField("__llm_text", T.BinaryType()), T.StructField("_words", T.LongType()), T.StructField("_spans", span), T.StructField("_items", T.ArrayType(T.StringType()))])
-    for group in [*shards(items, item_id, item_text, n, shard_words)] or [[]]:
+    out = docs.select(*names, text_bytes(text).alias("__llm_text"), F.lit(0).cast("long").alias("__llm_words"), F.array().cast(span).alias("__llm_spans"), F.array().cast("array<string>").alias("__llm_items"))
+    schema = T.StructType([*carried, T.StructField("__llm_text", T.BinaryType()), T.StructField("__llm_words", T.LongType()), T.StructField("__llm_spans", span), T.StructField("__llm_items", T.ArrayType(T.StringType()))])
+    groups = shards(items, item_id, item_text, n, shard_words)
+    for number, group in enumerate(chain([next(groups, [])], groups)):
+        if number:
+            # one automaton a stage, however many groups there are
+            out = cut_lineage(out, "matched")
         shared = spark.sparkContext.broadcast(group)
         out = map_rows(out, schema, _matcher(shared, n, len(names)), "__llm_text")
     return out.select(
         *names,
-        F.col("_words").alias("n_words"),
-        F.transform("_spans", lambda s: F.struct(s[0].alias("start"), s[1].alias("end"))).alias("spans"),
-        F.array_sort("_items").alias("items"),
+        F.col("__llm_words").alias("n_words"),
+        F.transform("__llm_spans", lambda s: F.struct(s[0].alias("start"), s[1].alias("end"))).alias("spans"),
+        F.array_sort("__llm_items").alias("items"),
     )
 
 

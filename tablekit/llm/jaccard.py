@@ -18,8 +18,9 @@ is that number counted.
    components together, so a large group of near copies does not become all its pairs.
 
 Every pair that can reach the threshold is verified or already connected, so components
-are exact. Shingles are 63-bit hashes; prefixes are compared by 32 bits of them, where
-chance agreement can only add candidates.
+are exact. Shingles are 63-bit hashes. Prefixes are compared by 32 bits of them, sketches of
+sets by 31; shingles of one document that fall together there count as shared, so that chance
+can only add candidates.
 
 * Null and wordless texts have no shingles and link with nothing; a text of fewer than
   ``n`` words is one shingle.
@@ -49,6 +50,8 @@ from tablekit.storage import cut_lineage
 TILE = 1536
 #: A list of at most so many members yields all pairs at once.
 SMALL = 8
+#: Values of a sketched shingle.
+SKETCH = 2**31 - 1
 #: The counted share of the hash space, in prefix lengths.
 COUNTED = 1.5
 
@@ -127,7 +130,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame, n: int, doc_id: str = "doc_id",
 def prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:
     """Classes that share a prefix shingle with another: ``id, size, prefix, keys``.
 
-    ``keys`` are the shingles of the prefix that more than one class holds there.
+    ``keys`` are the shingles of the prefix that more than one class holds there, as 32 bits;
+    ``lost`` is how many fell together with another.
     """
     least = F.ceil(F.col("size") * F.lit(num) / F.lit(den))
     rows = classes.withColumn("prefix", F.col("size") - least + 1).withColumn("n_near", F.size("near").cast("long"))
@@ -140,7 +144,8 @@ def prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:
     # counted shingles that no other class holds stand before those that others hold
     room = F.greatest(F.lit(0), F.col("prefix") - (F.col("n_near") - F.size(near))).cast("int")
     kept = F.concat(F.slice(near, 1, room), far)
-    return joined.select("id", "size", "prefix", F.array_sort(F.array_distinct(F.transform(kept, lambda x: x["key"]))).alias("keys")).where(F.size("keys") > 0)
+    keys = F.array_sort(F.array_distinct(F.transform(kept, lambda x: x["key"])))
+    return joined.select("id", "size", "prefix", keys.alias("keys"), (F.size(kept) - F.size(keys)).alias("lost")).where(F.size("keys") > 0)
 
 
 def lists(prefixed: DataFrame) -> DataFrame:
@@ -200,7 +205,7 @@ def candidates(prefixed: DataFrame, chosen: DataFrame, num: int, den: int) -> Da
     All such pairs of small lists, and each member's best partner - most shared shingles,
     then smallest id - in large ones.
     """
-    rows = prefixed.select(F.explode("keys").alias("key"), "id", "size", "prefix", "keys").join(chosen, "key")
+    rows = prefixed.select(F.explode("keys").alias("key"), "id", "size", "prefix", "keys", "lost").join(chosen, "key")
 
     def choose(group: list[dict]) -> list[tuple[int, int]]:
         passed, shared = _passing(group, num, den)
@@ -227,7 +232,7 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
     order = -F.col("members") * F.lit(2**32) + F.col("key").cast("long") + F.lit(2**31)
     entries = prefixed.select(F.explode("keys").alias("key"), "id").join(chosen, "key").withColumn("order", order)
     lists_of = entries.groupBy("id").agg(F.collect_list("order").alias("lists"))
-    named = prefixed.select("id", "size", "prefix", "keys").join(lists_of, "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    named = prefixed.select("id", "size", "prefix", "keys", "lost").join(lists_of, "id").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = cut_lineage(named, "named")
     rows = entries.select("key", "id", "members", "order").join(named, "id")
     place = ["key", "one", "two"]
@@ -237,7 +242,7 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
         one, two = _own_pairs(group, num, den)
         return [tuple(group[i][c] for c in schema.names) for i in np.unique(np.concatenate([one, two])).tolist()]
 
-    sketch = F.transform("shingles", lambda s: (F.shiftright(s, 7 * turn % 32) % F.lit(2147483647)).cast("int"))
+    sketch = F.transform("shingles", lambda s: (F.shiftright(s, 7 * turn % 32) % F.lit(SKETCH)).cast("int"))
     part = _chosen(_tiles(rows), schema, taking_part).join(named, "id").join(sets.select("id", sketch.alias("sketch")), "id")
 
     def tying(group: list[dict]) -> list[tuple]:
@@ -245,6 +250,8 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
         size = [r["size"] for r in group]
         labels = [r["label"] for r in group]
         sketches = [set(r["sketch"]) for r in group]
+        # shingles that fall together in a sketch may all be shared
+        lost = [n - len(s) for n, s in zip(size, sketches, strict=True)]
         root = {x: x for x in labels}
 
         def find(x):
@@ -257,7 +264,7 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
         for i, j in zip(one.tolist(), two.tolist(), strict=True):
             x, y = find(labels[i]), find(labels[j])
             if x != y:
-                both = len(sketches[i] & sketches[j])
+                both = len(sketches[i] & sketches[j]) + min(lost[i], lost[j])
                 if both * den >= (size[i] + size[j] - both) * num:
                     root[y] = x
                     kept.append((i, j))
@@ -286,15 +293,16 @@ def _passing(group: list[dict], num: int, den: int) -> tuple[tuple[np.ndarray, n
     """
     groups: dict[tuple, list[int]] = {}
     for i, row in enumerate(group):
-        groups.setdefault((row["size"], row["prefix"], tuple(row["keys"])), []).append(i)
+        groups.setdefault((row["size"], row["prefix"], tuple(row["keys"]), row["lost"]), []).append(i)
     shape = list(groups)
     size = np.array([g[0] for g in shape])
     rest = size - np.array([g[1] for g in shape])
+    lost = np.array([g[3] for g in shape])
     shared = _shared([g[2] for g in shape])
     low, high = np.minimum.outer(size, size), np.maximum.outer(size, size)
     alike = low * den >= high * num
     least = -(-num * (low + high) // (num + den))
-    alike &= shared >= np.maximum(1, least - np.maximum.outer(rest, rest))
+    alike &= (shared >= 1) & (shared + np.minimum.outer(lost, lost) >= least - np.maximum.outer(rest, rest))
     of = np.zeros(len(group), np.int64)
     for g, members in enumerate(groups.values()):
         of[members] = g

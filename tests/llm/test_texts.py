@@ -422,10 +422,11 @@ def plain_components(rows: list[tuple], n: int, num: int, den: int) -> dict:
     return {d: (len(sets[d]), label[d]) for d in sets}
 
 
-@pytest.mark.parametrize("tile,small", [(1536, 8), (7, 2)])
-def test_jaccard_join(spark, monkeypatch, tile, small):
+@pytest.mark.parametrize("tile,small,sketch", [(1536, 8, 2**31 - 1), (7, 2, 2**31 - 1), (1536, 2, 509)])
+def test_jaccard_join(spark, monkeypatch, tile, small, sketch):
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "SKETCH", sketch)  # of 509 values: some shingles of each set fall together
     draw = random.Random(11)
     rows: list[tuple] = []
     base = [draw.choices([f"w{i}" for i in range(200)], k=60) for _ in range(4)]
@@ -441,6 +442,13 @@ def test_jaccard_join(spark, monkeypatch, tile, small):
     assert got == plain_components(rows, 3, 80, 100)
 
 
+def test_prefix_shingles_that_fall_together_count_as_shared():
+    """Two sets of 10 shingles that share 9, in prefixes whose keys fell together."""
+    rows = [{"size": 10, "prefix": 3, "keys": [5], "lost": 2}, {"size": 10, "prefix": 3, "keys": [5], "lost": 2}]
+    (one, two), _ = jaccard._passing([{**r, "tile": 0, "one": 0, "two": 0, "id": i} for i, r in enumerate(rows)], 80, 100)
+    assert len(one) == 1
+
+
 def test_jaccard_odd(spark, odd, empty):
     rows = jaccard.join(odd).collect()
     assert len(rows) == odd.count()
