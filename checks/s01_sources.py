@@ -315,6 +315,47 @@ def auto_ingest_add(t):
     return t.spark.read.parquet(out)
 
 
+@check(
+    "s01_20_auto_ingest_live",
+    """select event_id, case when event_id % 7 <> 0 then user_id end as user_id,
+      case when event_id % 3 = 0 then event_type end as event_type,
+      case when event_id % 7 = 0 then '{"user_id":"bad"}' end as _rescued_data from events""",
+)
+def auto_ingest_live(t):
+    table = t.dir("live")
+    stream.drain(streamio.ingest(t.spark, _drifting(t), table, "event_id BIGINT, user_id BIGINT", t.dir("ckpt"), max_files=1))
+    return streamio.read_ingested(t.spark, table)
+
+
+def _csv_days(t) -> str:
+    """CSV files of two headers: the later ones have a column more, in another place, and a cell that is no number."""
+    path = t.dir("csv-landing")
+    plain = t.events.select("event_id", "user_id")
+    more = t.events.select("event_type", F.when(F.col("event_id") % 10 == 0, "none").otherwise(F.col("user_id").cast("string")).alias("user_id"), "event_id")
+    for df in (plain.filter("event_id % 2 = 0"), more.filter("event_id % 2 = 1 or event_id % 10 = 0")):
+        df.coalesce(2).write.mode("append").option("header", True).csv(path)
+    return path
+
+
+CSV_DAYS = """select event_id, user_id, null as event_type, null as _rescued_data from events where event_id % 2 = 0
+  union all select event_id, case when event_id % 10 <> 0 then user_id end, event_type, case when event_id % 10 = 0 then '{"user_id":"none"}' end
+  from events where event_id % 2 = 1 or event_id % 10 = 0"""
+
+
+@check("s01_20_auto_ingest_csv", CSV_DAYS)
+def auto_ingest_csv(t):
+    table = t.dir("live-csv")
+    stream.drain(streamio.ingest(t.spark, _csv_days(t), table, "event_id BIGINT, user_id BIGINT", t.dir("ckpt"), "csv", max_files=1))
+    return streamio.read_ingested(t.spark, table)
+
+
+@check("s01_20_auto_ingest_none", f"select event_id, user_id from ({CSV_DAYS})")
+def auto_ingest_none(t):
+    table = t.dir("live-none")
+    stream.drain(streamio.ingest(t.spark, _csv_days(t), table, "event_id BIGINT, user_id BIGINT", t.dir("ckpt"), "csv", streamio.NONE, max_files=2))
+    return streamio.read_ingested(t.spark, table)
+
+
 @check("s01_21_labelled", "select event_id as value, upper(cast(event_id as varchar)) as label from events")
 def labelled(t):
     return streamio.labelled(t.events.select(F.col("event_id").alias("value")))

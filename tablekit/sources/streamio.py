@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablekit import storage
+
 Schema = str | T.StructType
 RESCUED = "_rescued_data"
 
@@ -220,3 +222,99 @@ def batch_directory(path: str) -> Callable[[DataFrame, int], None]:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return sink
+
+
+# --- a running ingest -------------------------------------------------------
+
+
+def ingest(
+    spark: SparkSession, path: str, table: str, schema: Schema, checkpoint: str, fmt: str = "json", mode: str = ADD, max_files: int = 1000
+) -> StreamingQuery:
+    """Load new JSON-lines or CSV files into ``table``, whose schema follows them while the ingest runs.
+
+    Each micro-batch is one directory of the table, overwritten if it is delivered again, so a
+    file is loaded once. With ``addNewColumns`` fields that a batch brings along become columns
+    from that batch on: of JSON with the type that all their values share, of CSV as text; a
+    column keeps its type afterwards, and cells that do not fit it are rescued. The other modes
+    are those of :func:`auto_ingest`. CSV files have a header line each and may differ in it.
+    Read the table with :func:`read_ingested`.
+    """
+    if mode not in (ADD, RESCUE, FAIL, NONE):
+        raise ValueError(f"unknown schema evolution mode {mode!r}")
+    declared = _struct(schema)
+
+    def known() -> T.StructType:
+        if mode != ADD or not storage.exists(spark, table):
+            return declared
+        stored = read_ingested(spark, table).schema
+        have = set(declared.names) | {RESCUED}
+        return T.StructType([*declared.fields, *[f for f in stored if f.name not in have]])
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        columns = known()
+        if fmt == "json":
+            if mode == ADD:
+                columns = _widened(columns, batch)
+            rows = parse_drifting(batch, columns, mode)
+        else:
+            # the files of one micro-batch, max_files at most
+            rows = _csv_rows(spark, [r["path"] for r in batch.select("path").collect()], columns, mode)
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+
+    if fmt == "json":
+        source = read_files(spark, path, "value STRING", "text", max_files)
+    else:
+        listing = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+        source = read_files(spark, path, listing, "binaryFile", max_files, pathGlobFilter="*.csv").select("path")
+    return source.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_ingested(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table that :func:`ingest` fills, with all columns that came so far."""
+    return spark.read.option("mergeSchema", True).parquet(table).drop("batch")
+
+
+def _widened(known: T.StructType, lines: DataFrame) -> T.StructType:
+    """``known`` and the fields that the lines hold beyond it, by the schema all their values share."""
+    found = lines.agg(F.schema_of_variant_agg(F.try_parse_json("value")).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        return known
+    # fields without any value, and those whose values share no type, are texts
+    ddl = found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    fields = T.StructType.fromDDL(ddl[len("STRUCT<") : -1])
+    return T.StructType([*known.fields, *[f for f in sorted(fields, key=lambda f: f.name) if f.name not in known.names]])
+
+
+def _csv_rows(spark: SparkSession, files: list[str], known: T.StructType, mode: str) -> DataFrame | None:
+    """The rows of CSV files as columns of ``known``; files of one header are read together."""
+    by_header: dict[str, list[str]] = {}
+    for file in files:
+        by_header.setdefault(storage.first_line(spark, file), []).append(file)
+    out = None
+    for header, names in sorted(by_header.items()):
+        texts = T.StructType([T.StructField(c.strip().strip('"'), T.StringType()) for c in header.split(",")]) if header else None
+        if texts is None:
+            continue
+        part = _fitted(spark.read.schema(texts).option("header", True).csv(names), known, mode)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _fitted(rows: DataFrame, known: T.StructType, mode: str) -> DataFrame:
+    """Rows of texts cast to the columns of ``known``; what does not fit goes as the mode says."""
+    extra = [c for c in rows.columns if c not in known.names]
+    if mode == FAIL and extra:
+        raise ValueError(f"unexpected fields: {', '.join(extra)}")
+    typed = [(F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in known]
+    if mode in (FAIL, NONE):
+        return rows.select(*typed)
+    added = [F.col(c) for c in extra] if mode == ADD else []
+    entries = [F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in extra if mode == RESCUE]
+    for f in known:
+        if f.name in rows.columns:
+            misfit = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            entries.append(F.when(misfit, F.struct(F.lit(f.name).alias("key"), F.col(f.name).alias("value"))))
+    held = F.filter(F.array(*entries), lambda e: e.isNotNull() & e["value"].isNotNull())
+    rescued = F.when(F.size(held) > 0, F.to_json(F.map_from_entries(held)))
+    return rows.select(*typed, *added, rescued.alias(RESCUED))

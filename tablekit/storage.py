@@ -16,7 +16,10 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the session names, or else one beside the tables of its warehouse."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
+    root = (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
+    if not configured and not spark.sparkContext.master.startswith("local") and hadoop_path(spark, root)[0].getUri().getScheme() == "file":
+        raise RuntimeError(f"{root} is on one machine's disk: set {CHECKPOINT_CONF} to a folder that driver and executors share")
+    return root
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
@@ -49,23 +52,13 @@ def make_parent(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target.getParent())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file that is there whole or not at all: written beside its place, then renamed."""
-    staged = f"{path}.tmp-{uuid.uuid4().hex}"
-    make_parent(spark, path)
-    fs, target = hadoop_path(spark, staged)
-    out = fs.create(target, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    delete(spark, path)
-    rename(spark, staged, path)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file; empty if it has none."""
     fs, target = hadoop_path(spark, path)
     source = fs.open(target)
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, "UTF-8"))
+        return lines.readLine() or ""
     finally:
         source.close()
 

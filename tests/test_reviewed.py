@@ -243,3 +243,19 @@ def test_continuous_trigger_on_the_rate_source(spark, tmp_path):
     rows = spark.table("continuous_rows").collect()
     values = sorted(r["value"] for r in rows)
     assert len(values) >= 40 and len(set(values)) == len(values) and {r["label"] for r in rows} == {str(v) for v in values}
+
+
+def test_a_running_ingest_widens_its_table(spark, tmp_path):
+    source, table, ckpt = (str(tmp_path / n) for n in ("in", "table", "c"))
+
+    def land(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1).write.mode("append").text(source)
+        stream.drain(streamio.ingest(spark, source, table, "id LONG", ckpt))
+        return sorted((tuple(r) for r in streamio.read_ingested(spark, table).collect()), key=str)
+
+    assert land('{"id":1}', "no json") == [(1, None), (None, None)]
+    assert land('{"id":2,"n":5,"s":null}', '{"id":"x","n":6}')[:2] == [(1, None, None, None), (2, None, 5, None)]
+    assert streamio.read_ingested(spark, table).dtypes == [("id", "bigint"), ("_rescued_data", "string"), ("n", "bigint"), ("s", "string")]
+    assert ('{"n":"many"}') in {r["_rescued_data"] for r in spark.createDataFrame(land('{"id":3,"n":"many"}'), "id LONG, _rescued_data STRING, n LONG, s STRING").collect()}
+    with pytest.raises(Exception, match="unexpected fields: n"):
+        stream.drain(streamio.ingest(spark, source, str(tmp_path / "strict"), "id LONG", str(tmp_path / "c2"), mode=streamio.FAIL))
