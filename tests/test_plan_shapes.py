@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import Tables
+from checks.stand_ins import STAND_INS
 from tablekit.operators import cols, join, layout, order, rows, udfs, windows
 from tablekit.sources import io
 
@@ -129,3 +131,12 @@ def test_salted_join_spreads_only_the_hot_key(orders, customer):
     assert join.salted(orders, customer, ["o_custkey"], 4, ["o_orderkey"], hot_keys=[1]).count() == join.inner(
         orders, customer, ["o_custkey"]
     ).count()
+
+
+@pytest.mark.parametrize("name", list(STAND_INS))
+def test_stand_ins_are_joined_by_keys(spark, name):
+    """Whatever columns a query filters on, no product of two tables' rows is planned."""
+    df = getattr(Tables(spark, "/root/testdata/sf0.001"), name)
+    for kept in (df, df.dropna(), *[df.filter(F.col(c).isNotNull()) for c in df.columns]):
+        text = plan(kept)
+        assert "NestedLoop" not in text and "Cartesian" not in text
