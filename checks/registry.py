@@ -43,7 +43,7 @@ class Tables:
 
 def fixed(sql: str, digits: int) -> str:
     """Half-up rounding of a double's shortest decimal, once; sums and means of doubles are compensated."""
-    exact = re.sub(r"\b(sum|avg)\(", r"f\1(", sql)
+    exact = re.sub(r"\bsum\(", "fsum(", re.sub(r"\bavg\(([^()]*)\)", r"(sum(\1) / count(\1))", sql))
     return f"round(cast(cast(({exact})::double as varchar) as decimal(38,15)), {digits})::double"
 
 

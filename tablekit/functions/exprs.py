@@ -144,16 +144,23 @@ def exact_sum(col: Column | str) -> Column:
 
     Each value is cut without loss into whole multiples of three units; the multiples are added
     as whole numbers and the three sums put together at the end. What is below 2 ** -85 of a
-    value is left out. Infinities, NaN and values of 2 ** 100 or more are added as in ``sum``.
+    value is left out, as is what is below 2 ** -52 of the sum. Infinities, NaN and values of 2 ** 63 or more are added as in ``sum``.
     """
     value = _column(col).cast("double")
-    finite = F.when(F.abs(value) < F.lit(2.0**100), value)
-    rest, total = finite, None
+    finite = F.when(F.abs(value) < F.lit(2.0**63), value)
+    rest, sums = finite, []
     for unit in _UNITS:
         whole = F.rint(rest / unit)
-        part = F.sum(whole.cast("decimal(28,0)")).cast("double") * unit
-        total = part if total is None else total + part
+        sums.append(F.sum(whole.cast("decimal(28,0)")))
         rest = rest - whole * unit
+
+    def power(k: int) -> Column:
+        return F.lit(2**k).cast("decimal(20,0)")
+
+    # in units of 2 ** -32; where there is room for them, with twenty bits more
+    coarse = sums[0] * power(52) + sums[1]
+    fine = coarse * power(20) + F.rint(sums[2].cast("double") / 2.0**32).cast("decimal(20,0)")
+    total = F.when(F.abs(coarse.cast("double")) < 1e30, fine.cast("double") * 2.0**-52).otherwise(coarse.cast("double") * 2.0**-32)
     others = F.sum(F.when(value.isNotNull() & finite.isNull(), value))
     return F.coalesce(others + total, others, total)
 
