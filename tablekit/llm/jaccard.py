@@ -226,7 +226,7 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
 
     A pair belongs to the largest list that holds both. First each list names the members
     that have a pair of their own there which passes the prefix filter; only they are given
-    their sets, as 31 bits of each shingle (other bits in each ``turn``). Then a task compares
+    their sets, as 31 bits of each shingle in the first ``turn``. Then a task compares
     these pairs and keeps one only if what it has kept before does not connect the two.
     """
     order = -F.col("members") * F.lit(2**32) + F.col("key").cast("long") + F.lit(2**31)
@@ -242,7 +242,8 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
         one, two = _own_pairs(group, num, den)
         return [tuple(group[i][c] for c in schema.names) for i in np.unique(np.concatenate([one, two])).tolist()]
 
-    sketch = F.transform("shingles", lambda s: (F.shiftright(s, 7 * turn % 32) % F.lit(SKETCH)).cast("int"))
+    # after the first turn whole shingles, so that no pair fails again
+    sketch = F.col("shingles") if turn else F.transform("shingles", lambda s: (s % F.lit(SKETCH)).cast("int"))
     part = _chosen(_tiles(rows), schema, taking_part).join(named, "id").join(sets.select("id", sketch.alias("sketch")), "id")
 
     def tying(group: list[dict]) -> list[tuple]:

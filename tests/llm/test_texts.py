@@ -422,7 +422,7 @@ def plain_components(rows: list[tuple], n: int, num: int, den: int) -> dict:
     return {d: (len(sets[d]), label[d]) for d in sets}
 
 
-@pytest.mark.parametrize("tile,small,sketch", [(1536, 8, 2**31 - 1), (7, 2, 2**31 - 1), (1536, 2, 509)])
+@pytest.mark.parametrize("tile,small,sketch", [(1536, 8, 2**31 - 1), (7, 2, 2**31 - 1), (1536, 8, 509)])
 def test_jaccard_join(spark, monkeypatch, tile, small, sketch):
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "SMALL", small)
