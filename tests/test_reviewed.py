@@ -10,6 +10,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import BASE, Tables
+from checks.stand_ins import STAND_INS
 from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
 from tablekit.operators import join, layout, merge, order, quality, windows
 from tablekit.sources import streamio
@@ -259,3 +261,17 @@ def test_a_running_ingest_widens_its_table(spark, tmp_path):
     assert ('{"n":"many"}') in {r["_rescued_data"] for r in spark.createDataFrame(land('{"id":3,"n":"many"}'), "id LONG, _rescued_data STRING, n LONG, s STRING").collect()}
     with pytest.raises(Exception, match="unexpected fields: n"):
         stream.drain(streamio.ingest(spark, source, str(tmp_path / "strict"), "id LONG", str(tmp_path / "c2"), mode=streamio.FAIL))
+
+
+@pytest.mark.parametrize("name", list(STAND_INS))
+def test_a_stand_in_brings_its_own_tables(spark, name):
+    alone = spark.newSession()
+    assert getattr(Tables(alone, "/root/testdata/sf0.001"), name).columns
+    # views of an earlier call, over other tables, are replaced
+    for table in BASE:
+        spark.range(0).createOrReplaceTempView(table)
+    try:
+        assert not getattr(Tables(spark, "/root/testdata/sf0.001"), name).isEmpty()
+    finally:
+        for table in BASE:
+            spark.catalog.dropTempView(table)
