@@ -49,8 +49,9 @@ def _lines(t):
 def compact(t):
     path = t.dir("small-files")
     _lines(t).repartition(24).write.parquet(path)
-    layout.compact(t.spark, path)
-    assert layout.file_report(t.spark, path).first()["files"] == 1
+    files = layout.files_for(storage.total_bytes(t.spark, path), layout.TARGET_FILE_BYTES)
+    layout.compact(t.spark, path, layout.TARGET_FILE_BYTES)
+    assert layout.file_report(t.spark, path).first()["files"] == files
     return io.read_parquet(t.spark, path)
 
 

@@ -55,13 +55,18 @@ def file_report(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     )
 
 
+def files_for(total: int, target_bytes: int) -> int:
+    """How many files of about ``target_bytes`` hold ``total`` bytes."""
+    return max(1, math.ceil(total / target_bytes))
+
+
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES, by: list[str] | None = None) -> None:
     """Rewrite many small files as few; the rows stay the same.
 
     The file count follows from the bytes on disk. With ``by`` the directory partitioning is
     kept, and each directory gets as many files as its share of the rows calls for.
     """
-    files = max(1, math.ceil(total_bytes(spark, path) / target_bytes))
+    files = files_for(total_bytes(spark, path), target_bytes)
     df = spark.read.parquet(path)
     if not by:
         replace_table(df.repartition(files), path)

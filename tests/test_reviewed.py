@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from checks.registry import BASE, Tables
 from checks.stand_ins import STAND_INS
 from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
@@ -275,3 +276,12 @@ def test_a_stand_in_brings_its_own_tables(spark, name):
     finally:
         for table in BASE:
             spark.catalog.dropTempView(table)
+
+
+def test_a_table_larger_than_the_target_is_compacted_into_several_files(spark, monkeypatch):
+    target = 40_000
+    monkeypatch.setattr(layout, "TARGET_FILE_BYTES", target)
+    monkeypatch.setattr(layout.compact, "__defaults__", (target, None))
+    lines = QUERIES["s14_05_compact"](spark, "/root/testdata/sf0.001")
+    assert lines.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert len(lines.inputFiles()) > 1
