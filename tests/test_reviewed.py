@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from checks import QUERIES
+from checks import QUERIES, s01_sources
 from checks.registry import BASE, Tables
 from checks.stand_ins import STAND_INS
 from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
@@ -285,3 +285,16 @@ def test_a_table_larger_than_the_target_is_compacted_into_several_files(spark, m
     lines = QUERIES["s14_05_compact"](spark, "/root/testdata/sf0.001")
     assert lines.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
     assert len(lines.inputFiles()) > 1
+
+
+def test_larger_tables_land_in_more_files_and_as_many_batches(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(s01_sources, "LANDING_BYTES", 4_000, raising=False)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    twice = t.orders.union(t.orders)
+    path = s01_sources.landed(t, twice)
+    files = len(spark.read.parquet(path).inputFiles())
+    assert files > 4 and files % 4 == 0
+    feed = streamio.read_files(spark, path, twice.schema, max_files=s01_sources.spread(twice))
+    query = stream.drain(stream.start(feed, str(tmp_path / "out"), "append", str(tmp_path / "c")))
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 4
+    assert spark.read.parquet(str(tmp_path / "out")).count() == twice.count()
