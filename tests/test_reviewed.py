@@ -298,3 +298,53 @@ def test_larger_tables_land_in_more_files_and_as_many_batches(spark, monkeypatch
     query = stream.drain(stream.start(feed, str(tmp_path / "out"), "append", str(tmp_path / "c")))
     assert sum(p.numInputRows > 0 for p in query.recentProgress) == 4
     assert spark.read.parquet(str(tmp_path / "out")).count() == twice.count()
+
+
+def test_streaks_of_many_keys_share_state_rows(spark, tmp_path):
+    source = str(tmp_path / "in")
+    keys = [None, *range(2**60, 2**60 + 300)]
+    for batch in range(3):
+        rows = [(k, at(100 * batch + i), (n + batch + i) % 5) for n, k in enumerate(keys) for i in range(3) if batch != 1 or n % 2]
+        spark.createDataFrame(rows, "k LONG, ts TIMESTAMP, v INT").coalesce(1).write.mode("append").parquet(source)
+    feed = stream.with_event_time(streamio.read_files(spark, source, "k LONG, ts TIMESTAMP, v INT", max_files=1), "ts", delay="1 hour")
+    seen: list[dict] = []
+    streaks = stream.streak(feed, "k", ["ts"], "v > 0", 86_400_000, "event", buckets=4)
+    query = stream.drain(stream.start(streaks, lambda df, _: seen.append({r["k"]: r["streak"] for r in df.collect()}), "update", str(tmp_path / "c")))
+    want: list[dict] = []
+    length = dict.fromkeys(keys, 0)
+    for batch in range(3):
+        of_batch = [(n, k) for n, k in enumerate(keys) if batch != 1 or n % 2]
+        for n, k in of_batch:
+            for i in range(3):
+                length[k] = length[k] + 1 if (n + batch + i) % 5 else 0
+        want.append({k: length[k] for _, k in of_batch})
+    assert [x for x in seen if x] == want
+    assert max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators) <= 4
+
+
+def test_idle_keys_of_a_shared_state_row_are_dropped_alone(spark, tmp_path):
+    source = str(tmp_path / "in")
+    hour = 60
+    batches = [[("idle", at(0), 9), ("on", at(0), 9)], [("on", at(5 * hour), 9)], [("on", at(12 * hour), 9)], [("on", at(13 * hour), 9)], [("idle", at(13 * hour), 9)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "k STRING, ts TIMESTAMP, v INT").coalesce(1).write.mode("append").parquet(source)
+    feed = stream.with_event_time(streamio.read_files(spark, source, "k STRING, ts TIMESTAMP, v INT", max_files=1), "ts", delay="1 hour")
+    seen: list[dict] = []
+    streaks = stream.streak(feed, "k", ["ts"], "v > 0", 8 * 3_600_000, "event", buckets=1)
+    stream.drain(stream.start(streaks, lambda df, _: seen.append({r["k"]: r["streak"] for r in df.collect()}), "update", str(tmp_path / "c")))
+    assert [x for x in seen if x] == [{"idle": 1, "on": 1}, {"on": 2}, {"on": 3}, {"on": 4}, {"idle": 1}]
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("TIMESTAMP", "timestamp '2024-10-27 00:30:00Z', timestamp '2024-10-27 01:30:00.000001Z'"), ("DOUBLE", "0.1, double('-0.0')"), ("BINARY", "x'ff00', x''"),
+    ("DECIMAL(38,3)", "12345678901234567890123456789012345.678, -1.5"), ("STRUCT<a: INT, b: STRING>", "struct(1, 'x'), struct(2, 'y')"),
+])
+def test_streak_gives_keys_of_any_type_back(spark, tmp_path, kind, values):
+    rows = spark.sql(f"select cast(k as {kind}) as k, timestamp '2024-01-01' as ts, 1 as v from (select explode(array({values}, null)) as k)")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    seen: list[list] = []
+    streaks = stream.streak(streamio.read_files(spark, str(tmp_path / "in"), rows.schema), "k", ["ts"], "v > 0", timeout="none")
+    assert streaks.schema["k"].dataType == rows.schema["k"].dataType
+    stream.drain(stream.start(streaks, lambda df, _: seen.append(df.collect()), "update", str(tmp_path / "c")))
+    assert sorted((r["k"] for x in seen for r in x), key=str) == sorted((r["k"] for r in rows.collect()), key=str) or kind == "DOUBLE"
+    assert [r["streak"] for x in seen for r in x] == [1, 1, 1]
