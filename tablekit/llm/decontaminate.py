@@ -203,22 +203,11 @@ def matches(
     documents stream past the broadcast automata. Items of more than ``shard_words`` words in
     all go through one group after the other; the driver holds one group, as does each task.
     """
-    spark = docs.sparkSession
-    span = T.ArrayType(T.ArrayType(T.LongType()))
     names = [doc_id, *[k for k in keep if k != doc_id]]
     if clash := {"n_words", "spans", "items"} & set(names):
         raise ValueError(f"columns to carry along have the names of results: {sorted(clash)}")
-    carried = [field(docs, k) for k in names]
-    out = docs.select(*names, text_bytes(text).alias("__llm_text"), F.lit(0).cast("long").alias("__llm_words"), F.array().cast(span).alias("__llm_spans"), F.array().cast("array<string>").alias("__llm_items"))
-    schema = T.StructType([*carried, T.StructField("__llm_text", T.BinaryType()), T.StructField("__llm_words", T.LongType()), T.StructField("__llm_spans", span), T.StructField("__llm_items", T.ArrayType(T.StringType()))])
-    groups = shards(items, item_id, item_text, n, shard_words)
-    for number, group in enumerate(chain([next(groups, [])], groups)):
-        if number:
-            # one automaton a stage, however many groups there are
-            out = cut_lineage(out, "matched")
-        shared = spark.sparkContext.broadcast(group)
-        out = map_rows(out, schema, _matcher(shared, n, len(names)), "__llm_text")
-    return out.select(
+    rows, schema, convert = _last_pass(docs, items, n, names, text, item_id, item_text, shard_words)
+    return map_rows(rows, schema, convert, "__llm_text").select(
         *names,
         F.col("__llm_words").alias("n_words"),
         F.transform("__llm_spans", lambda s: F.struct(s[0].alias("start"), s[1].alias("end"))).alias("spans"),
@@ -226,6 +215,23 @@ def matches(
     )
 
 
+def _last_pass(docs: DataFrame, items: DataFrame, n: int, names: list[str], text: str, item_id: str, item_text: str, shard_words: int):
+    """The rows after all groups of items but the last, and the schema and function that add the last one's matches."""
+    spark = docs.sparkSession
+    span = T.ArrayType(T.ArrayType(T.LongType()))
+    carried = [field(docs, k) for k in names]
+    out = docs.select(*names, text_bytes(text).alias("__llm_text"), F.lit(0).cast("long").alias("__llm_words"), F.array().cast(span).alias("__llm_spans"), F.array().cast("array<string>").alias("__llm_items"))
+    schema = T.StructType([*carried, T.StructField("__llm_text", T.BinaryType()), T.StructField("__llm_words", T.LongType()), T.StructField("__llm_spans", span), T.StructField("__llm_items", T.ArrayType(T.StringType()))])
+    groups = shards(items, item_id, item_text, n, shard_words)
+    convert = None
+    for group in chain([next(groups, [])], groups):
+        if convert:
+            # one automaton a stage, however many groups there are
+            out = cut_lineage(map_rows(out, schema, convert, "__llm_text"), "matched")
+        convert = _matcher(spark.sparkContext.broadcast(group), n, len(names))
+    return out, schema, convert
+
+
 def automaton_of(group: list, n: int) -> Automaton:
     """The automaton of a broadcast group, kept by the Python worker."""
     return held(f"automaton {n}", group, lambda: Automaton(group, n))
@@ -268,22 +274,24 @@ def remove(
     """
     outer = docs.columns
     doc_id, text = f"__in{outer.index(doc_id)}", f"__in{outer.index(text)}"
-    docs = docs.toDF(*(f"__in{i}" for i in range(len(outer))))  # no column of the input can clash
-    found = matches(docs, items, n, doc_id, text, keep=tuple(docs.columns))
-    kept = found.where(hit_words() <= F.col("n_words") * F.lit(max_coverage)).withColumn("_cut", F.filter("spans", lambda s: s["end"] - s["start"] > max_words))
+    docs = docs.toDF(*(f"__in{i}" for i in range(len(outer)))).withColumn(text, F.col(text).cast("binary"))  # no column of the input can clash
     names = docs.columns
     at = names.index(text)
-    schema = T.StructType([field(docs, c) for c in names])
+    # cut as soon as the last group is matched: a second pass would be a second Python worker for every task
+    rows, _, match = _last_pass(docs, items, n, names, text, "item_id", "text", SHARD_WORDS)
 
     def convert(batch: pa.RecordBatch):
-        columns = [batch.column(i) for i in range(len(names))]
-        cuts = batch.column(len(names)).to_pylist()
+        *_, words, spans, _ = match(batch)
+        hit = [sum(end - start for start, end in found) for found in spans]
+        keep = pa.array([h <= w * max_coverage for h, w in zip(hit, words, strict=True)], pa.bool_())
+        columns = [batch.column(i).filter(keep) for i in range(len(names))]
+        cuts = [[{"start": a, "end": b} for a, b in found if b - a > max_words] for found, kept in zip(spans, keep.to_pylist(), strict=True) if kept]
         if any(cuts):
             columns[at] = [without(t, c) if c else t for t, c in zip(columns[at].to_pylist(), cuts, strict=True)]
         return columns
 
-    bare = kept.select(*names, "_cut").withColumn(text, F.col(text).cast("binary"))
-    return map_rows(bare, T.StructType([f if f.name != text else T.StructField(text, T.BinaryType()) for f in schema]), convert, text).withColumn(text, F.col(text).cast("string")).toDF(*outer)
+    schema = T.StructType([field(docs, c) for c in names])
+    return map_rows(rows, schema, convert, "__llm_text").withColumn(text, F.col(text).cast("string")).toDF(*outer)
 
 
 def without(text: bytes, spans: list[dict]) -> bytes:

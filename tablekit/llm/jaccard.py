@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,8 @@ SMALL = 8
 SKETCH = 2**31 - 1
 #: The counted share of the hash space, in prefix lengths.
 COUNTED = 1.5
+#: Rows of a tile's matrices, and columns of shared shingles, worked on at a time.
+_BLOCK, _COLUMNS = 256, 1024
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -190,9 +192,17 @@ def _named(group: list[dict], pairs) -> list[tuple]:
     return [(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs]
 
 
+def _values(column: pa.Array) -> Iterator | list:
+    """A column's values; lists as arrays of their own, a fifth of the size of lists of Python's numbers."""
+    if not pa.types.is_list(column.type) and not pa.types.is_large_list(column.type):
+        return column.to_pylist()
+    values = column.values.to_numpy(zero_copy_only=False)
+    return (values[a:b].copy() for a, b in pairwise(column.offsets.to_pylist()))
+
+
 def _groups(batches) -> Iterator[list[dict]]:
     """The rows of one pair of tiles after the other."""
-    rows = (row for batch in batches for row in batch.to_pylist())
+    rows = (dict(zip(batch.schema.names, row, strict=True)) for batch in batches for row in zip(*map(_values, batch.columns), strict=True))
     for _, group in groupby(rows, key=lambda r: (r["key"], r["one"], r["two"])):
         group = list(group)
         if len(group) > 1:
@@ -207,16 +217,17 @@ def candidates(prefixed: DataFrame, chosen: DataFrame, num: int, den: int) -> Da
     """
     rows = prefixed.select(F.explode("keys").alias("key"), "id", "size", "prefix", "keys", "lost").join(chosen, "key")
 
-    def choose(group: list[dict]) -> list[tuple[int, int]]:
-        passed, shared = _passing(group, num, den)
+    def choose(group: list[dict]) -> list[tuple]:
         if group[0]["members"] <= SMALL:
-            return _named(group, zip(*(x.tolist() for x in passed), strict=True))
-        best: dict[int, tuple] = {}
-        for i, j, k in zip(*(x.tolist() for x in (*passed, shared)), strict=True):
-            for x, y in ((i, j), (j, i)):
-                if x not in best or (-k, group[y]["id"]) < best[x][:2]:
-                    best[x] = (-k, group[y]["id"], y)
-        return _named(group, ((x, y) for x, (_, _, y) in best.items()))
+            return _named(group, zip(*(x.tolist() for x in _passing(group, num, den)[0]), strict=True))
+        # most shared first, then the smallest id: one number for both
+        _, first, rank = np.unique([r["id"] for r in group], return_index=True, return_inverse=True)
+        best = np.full(len(group), -1, np.int64)
+        for one, two, shared in _blocks(group, num, den):
+            for x, y in ((one, two), (two, one)):
+                np.maximum.at(best, x, shared.astype(np.int64) * len(first) + len(first) - 1 - rank[y])
+        found = np.flatnonzero(best >= 0)
+        return _named(group, zip(found.tolist(), first[len(first) - 1 - best[found] % len(first)].tolist(), strict=True))
 
     return _chosen(_tiles(rows), _pair_schema(prefixed), choose).distinct()
 
@@ -239,18 +250,20 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
     schema = T.StructType([*(T.StructField(c, T.IntegerType()) for c in (*place, "tile")), T.StructField("id", prefixed.schema["id"].dataType), T.StructField("order", T.LongType())])
 
     def taking_part(group: list[dict]) -> list[tuple]:
-        one, two = _own_pairs(group, num, den)
-        return [tuple(group[i][c] for c in schema.names) for i in np.unique(np.concatenate([one, two])).tolist()]
+        part = np.zeros(len(group), bool)
+        for pair in _own_pairs(group, num, den):
+            for side in pair:
+                part[side] = True
+        return [tuple(group[i][c] for c in schema.names) for i in np.flatnonzero(part).tolist()]
 
     # after the first turn whole shingles, so that no pair fails again
     sketch = F.col("shingles") if turn else F.transform("shingles", lambda s: (s % F.lit(SKETCH)).cast("int"))
     part = _chosen(_tiles(rows), schema, taking_part).join(named, "id").join(sets.select("id", sketch.alias("sketch")), "id")
 
     def tying(group: list[dict]) -> list[tuple]:
-        one, two = _own_pairs(group, num, den)
         size = [r["size"] for r in group]
         labels = [r["label"] for r in group]
-        sketches = [set(r["sketch"]) for r in group]
+        sketches = [np.unique(r.pop("sketch")) for r in group]
         # shingles that fall together in a sketch may all be shared
         lost = [n - len(s) for n, s in zip(size, sketches, strict=True)]
         root = {x: x for x in labels}
@@ -262,82 +275,101 @@ def bridges(prefixed: DataFrame, chosen: DataFrame, sets: DataFrame, label: Data
             return x
 
         kept = []
-        for i, j in zip(one.tolist(), two.tolist(), strict=True):
-            x, y = find(labels[i]), find(labels[j])
-            if x != y:
-                both = len(sketches[i] & sketches[j]) + min(lost[i], lost[j])
-                if both * den >= (size[i] + size[j] - both) * num:
-                    root[y] = x
-                    kept.append((i, j))
+        for one, two in _own_pairs(group, num, den):
+            for i, j in zip(one.tolist(), two.tolist(), strict=True):
+                x, y = find(labels[i]), find(labels[j])
+                if x != y:
+                    both = _both(sketches[i], sketches[j]) + min(lost[i], lost[j])
+                    if both * den >= (size[i] + size[j] - both) * num:
+                        root[y] = x
+                        kept.append((i, j))
         return _named(group, kept)
 
     return _chosen(part.repartition(*place).sortWithinPartitions(*place), _pair_schema(prefixed), tying).distinct()
 
 
-def _own_pairs(group: list[dict], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """The passing pairs across components that no larger list holds."""
-    (one, two), _ = _passing(group, num, den)
+def _both(one: np.ndarray, two: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    return int(np.count_nonzero(one.take(np.searchsorted(one, two), mode="clip") == two))
+
+
+def _own_pairs(group: list[dict], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The passing pairs across components that no larger list holds, some rows' at a time."""
     label = np.unique([r["label"] for r in group], return_inverse=True)[1]
-    across = label[one] != label[two]
-    one, two = one[across], two[across]
-    if not len(one):
-        return one, two
-    before = _shared([[x for x in r["lists"] if x < r["order"]] for r in group])[one, two]
-    return one[before == 0], two[before == 0]
+    if not label.any():
+        return
+    before = None
+    for one, two, _ in _blocks(group, num, den):
+        across = label[one] != label[two]
+        one, two = one[across], two[across]
+        if len(one):
+            if before is None:
+                before = _shared([r["lists"][r["lists"] < r["order"]] for r in group]) > 0
+            own = ~before[one, two]
+            yield one[own], two[own]
 
 
 def _passing(group: list[dict], num: int, den: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-    """The pairs of a pair of tiles that pass, and how many prefix shingles they share.
+    """All pairs of a pair of tiles that pass, and how many prefix shingles they share."""
+    one, two, shared = (np.concatenate(parts) for parts in zip(*_blocks(group, num, den), strict=True))
+    return (one, two), shared
+
+
+def _blocks(group: list[dict], num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs of a pair of tiles that pass, and how many prefix shingles they share, _BLOCK first rows' at a time.
 
     Classes of identical prefix and size are one group; pairs of groups are filtered, and
     those that pass are expanded to their members. Of two tiles only pairs across count.
     """
     groups: dict[tuple, list[int]] = {}
     for i, row in enumerate(group):
-        groups.setdefault((row["size"], row["prefix"], tuple(row["keys"]), row["lost"]), []).append(i)
-    shape = list(groups)
-    size = np.array([g[0] for g in shape])
-    rest = size - np.array([g[1] for g in shape])
-    lost = np.array([g[3] for g in shape])
-    shared = _shared([g[2] for g in shape])
-    low, high = np.minimum.outer(size, size), np.maximum.outer(size, size)
-    alike = low * den >= high * num
-    least = -(-num * (low + high) // (num + den))
-    alike &= (shared >= 1) & (shared + np.minimum.outer(lost, lost) >= least - np.maximum.outer(rest, rest))
+        groups.setdefault((row["size"], row["prefix"], np.asarray(row["keys"], np.int64).tobytes(), row["lost"]), []).append(i)
+    shape = [group[members[0]] for members in groups.values()]
+    size = np.array([r["size"] for r in shape])
+    rest = size - np.array([r["prefix"] for r in shape])
+    lost = np.array([r["lost"] for r in shape])
+    shared = _shared([r["keys"] for r in shape])
+    alike = np.zeros(shared.shape, bool)
+    for start in range(0, len(shape), _BLOCK):
+        some = slice(start, start + _BLOCK)
+        low, high = np.minimum.outer(size[some], size), np.maximum.outer(size[some], size)
+        least = -(-num * (low + high) // (num + den))
+        alike[some] = (low * den >= high * num) & (shared[some] >= 1)
+        alike[some] &= shared[some] + np.minimum.outer(lost[some], lost) >= least - np.maximum.outer(rest[some], rest)
     of = np.zeros(len(group), np.int64)
     for g, members in enumerate(groups.values()):
         of[members] = g
-    if len(shape) < len(group):
-        alike, shared = alike[np.ix_(of, of)], shared[np.ix_(of, of)]
-    else:
-        alike, shared = alike[of][:, of], shared[of][:, of]
-    one, two = np.nonzero(np.triu(alike, 1))
     ids, tile = np.unique([r["id"] for r in group], return_inverse=True)[1], np.array([r["tile"] for r in group])
-    keep = ids[one] != ids[two]
-    if group[0]["one"] != group[0]["two"]:
-        keep &= tile[one] != tile[two]
-    return (one[keep], two[keep]), shared[one[keep], two[keep]]
+    for start in range(0, len(group), _BLOCK):
+        one, two = np.nonzero(np.triu(alike[of[start : start + _BLOCK]][:, of], start + 1))
+        one += start
+        keep = ids[one] != ids[two]
+        if group[0]["one"] != group[0]["two"]:
+            keep &= tile[one] != tile[two]
+        one, two = one[keep], two[keep]
+        yield one, two, shared[of[one], of[two]]
 
 
 def _shared(sets: list) -> np.ndarray:
     """How many keys each two sets share."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
-    flat = np.fromiter((k for s in sets for k in s), np.int64, int(size.sum()))
+    flat = np.concatenate([np.asarray(s, np.int64) for s in sets])
     row = np.repeat(np.arange(n), size)
     _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = np.zeros((n, n), np.float32)
-    np.fill_diagonal(shared, size)
     several = times[column] > 1
     row, column = row[several], (np.cumsum(times > 1) - 1)[column[several]]
     width = int(column.max()) + 1 if len(column) else 0
-    for start in range(0, width, 4096):
-        here = (column >= start) & (column < start + 4096)
-        matrix = np.zeros((n, min(4096, width - start)), np.float32)
+    for start in range(0, width, _COLUMNS):
+        here = (column >= start) & (column < start + _COLUMNS)
+        matrix = np.zeros((n, min(_COLUMNS, width - start)), np.float32)
         matrix[row[here], column[here] - start] = 1
-        product = matrix @ matrix.T
-        np.fill_diagonal(product, 0)
-        shared += product
+        for a in range(0, n, _BLOCK):
+            shared[a : a + _BLOCK, a:] += matrix[a : a + _BLOCK] @ matrix[a:].T
+    for a in range(0, n, _BLOCK):
+        shared[a + _BLOCK :, a : a + _BLOCK] = shared[a : a + _BLOCK, a + _BLOCK :].T
+    np.fill_diagonal(shared, size)
     return shared
 
 

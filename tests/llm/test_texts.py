@@ -11,6 +11,7 @@ import re
 import subprocess
 import sys
 import textwrap
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -229,6 +230,14 @@ def test_remove_cuts_only_what_is_shared(spark, odd, empty):
     assert decontaminate.matches(odd, items.limit(0)).where(decontaminate.hit_words() > 0).count() == 0
 
 
+def test_remove_is_one_python_pass(spark):
+    """A second one in the stage is a second Python worker for every core."""
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "x y z")], "item_id string, text string")
+    plan = decontaminate.remove(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 # ------------------------------------------------------------------ secrets
 
 
@@ -449,6 +458,27 @@ def test_prefix_shingles_that_fall_together_count_as_shared():
     assert len(one) == 1
 
 
+def test_memory_of_a_pair_of_tiles():
+    """Two full tiles of different near copies; all matrices at once, and Python's numbers, took 559 MB."""
+    draw = np.random.default_rng(7)
+    n = 2 * jaccard.TILE
+    common = draw.integers(-(2**31), 2**31, 60)
+    rows = []
+    for i in range(n):
+        keys = np.where(draw.random(60) < 0.2, draw.integers(-(2**31), 2**31, 60), common)
+        place = {"key": 1, "one": 0, "two": 1, "tile": i % 2, "members": n, "order": -5, "id": i, "label": i // 5, "lists": [-5, i]}
+        rows.append({**place, "size": 300, "prefix": 61, "keys": keys.tolist(), "lost": 0, "sketch": list(range(300 * i, 300 * i + 300))})
+    batch = pa.RecordBatch.from_pylist(rows)
+    del rows
+    tracemalloc.start()
+    (group,) = jaccard._groups([batch])
+    for _ in jaccard._own_pairs(group, 80, 100):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
 def test_jaccard_odd(spark, odd, empty):
     rows = jaccard.join(odd).collect()
     assert len(rows) == odd.count()
