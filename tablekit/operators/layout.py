@@ -24,6 +24,17 @@ def coalesce(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
+def gathered(df: DataFrame, n: int, skew: float = 2.0) -> DataFrame:
+    """``n`` partitions, none with more than ``skew`` times the mean rows.
+
+    Those of the scan are put together where that gives such partitions, so a task reads what its
+    files hold; else all rows are shuffled, which reads several times that.
+    """
+    together = df.coalesce(n)
+    found = partition_skew(together).first()
+    return together if found.partitions == n and found.skew <= skew else df.repartition(n)
+
+
 def partition_report(df: DataFrame) -> DataFrame:
     """Rows per partition."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

@@ -348,3 +348,21 @@ def test_streak_gives_keys_of_any_type_back(spark, tmp_path, kind, values):
     stream.drain(stream.start(streaks, lambda df, _: seen.append(df.collect()), "update", str(tmp_path / "c")))
     assert sorted((r["k"] for x in seen for r in x), key=str) == sorted((r["k"] for r in rows.collect()), key=str) or kind == "DOUBLE"
     assert [r["streak"] for x in seen for r in x] == [1, 1, 1]
+
+
+def test_files_are_gathered_from_the_scan_where_it_is_even(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(60_000).repartition(24).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        even = layout.gathered(spark.read.parquet(path), 6)
+        assert "Exchange" not in even._jdf.queryExecution().executedPlan().toString()
+        assert even.count() == 60_000
+        assert layout.partition_report(even).count() == 6
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # one row group cannot be dealt out, and an empty table has no partitions
+    one = str(tmp_path / "one")
+    spark.range(600).coalesce(1).write.parquet(one)
+    assert layout.partition_report(layout.gathered(spark.read.parquet(one), 6)).count() == 6
+    assert layout.gathered(spark.read.parquet(one).limit(0), 6).isEmpty()
