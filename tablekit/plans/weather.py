@@ -30,8 +30,13 @@ def hot_alerts(df: DataFrame, threshold: float) -> DataFrame:
     return streamio.encode_events(hot, "city", ["city", "temp_c", "humidity", "condition", "fetched_at", "event_id"])
 
 
-def alerts_with_readings(alerts: DataFrame, df: DataFrame, within: str = "15 minutes") -> DataFrame:
-    """Readings of the same city up to ``within`` after an alert."""
+def alerts_with_readings(alerts: DataFrame, df: DataFrame, delay: str, within: str = "15 minutes") -> DataFrame:
+    """Readings of the same city up to ``within`` after an alert, as lists for a sink; see :func:`alert_pairs`."""
     a = alerts.select("city", F.col("event_time").alias("alert_time"), F.col("temp_c").alias("alert_temp"), F.col("event_id").alias("alert_id"))
     b = df.select("city", "event_time", "temp_c", "event_id")
-    return stream.join_interval(a, b, ["city"], "alert_time", "event_time", within, closed=True)
+    return stream.join_interval_packed(a, b, ["city"], "alert_time", "event_time", within, delay)
+
+
+def alert_pairs(lists: DataFrame, within: str = "15 minutes") -> DataFrame:
+    """One row for each alert and reading in the lists of :func:`alerts_with_readings`."""
+    return stream.interval_pairs(lists, ["city"], "alert_time", "event_time", within, closed=True)

@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from checks import QUERIES, s01_sources
+from checks import QUERIES, s01_sources, s12_plans
 from checks.registry import BASE, Tables
 from checks.stand_ins import STAND_INS
 from tablekit.functions.exprs import exact_mean, exact_sum, stable_round
@@ -366,3 +366,60 @@ def test_files_are_gathered_from_the_scan_where_it_is_even(spark, tmp_path):
     spark.range(600).coalesce(1).write.parquet(one)
     assert layout.partition_report(layout.gathered(spark.read.parquet(one), 6)).count() == 6
     assert layout.gathered(spark.read.parquet(one).limit(0), 6).isEmpty()
+
+
+def _times(spark, path, rows, kind):
+    df = spark.createDataFrame(rows, "k STRING, id LONG, ts STRING").withColumn("ts", F.col("ts").cast(kind))
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("closed", [False, True])
+def test_packed_interval_join_lists_what_it_would_multiply(spark, tmp_path, monkeypatch, kind, closed):
+    monkeypatch.setattr(stream, "PACK_ROWS", 64)
+    start, chance, sides = datetime(2024, 1, 1), random.Random(5), {}
+    for side in "ab":
+        # many rows at few times, ends of steps and of intervals among them, over two batches
+        sides[side] = [(chance.choice("xy"), i, start + timedelta(minutes=5 * chance.randrange(10))) for i in range(400)]
+        for part in (sides[side][:200], sides[side][200:]):
+            _times(spark, str(tmp_path / side), [(k, i, str(at)) for k, i, at in part] + [(None, 900, str(start)), ("x", 901, None)], kind)
+    ddl = f"k STRING, id LONG, ts {kind}"
+    a, b = (
+        streamio.read_files(spark, str(tmp_path / side), ddl, max_files=1).withColumnsRenamed({"id": f"{side}_id", "ts": f"{side}_ts"}) for side in "ab"
+    )
+    out = str(tmp_path / "out")
+    packs = stream.join_interval_packed(a, b, ["k"], "a_ts", "b_ts", "15 minutes", "60 days")
+    stream.drain(stream.start(packs, out, "append", str(tmp_path / "ckpt")))
+    pairs = stream.interval_pairs(spark.read.parquet(out), ["k"], "a_ts", "b_ts", "15 minutes", closed)
+    assert dict(pairs.dtypes)["b_ts"] == kind
+    end = timedelta(minutes=15, microseconds=0 if closed else -1)
+    want = sorted((i, j) for k, i, at in sides["a"] for m, j, then in sides["b"] if k == m and at <= then <= at + end)
+    assert sorted(map(tuple, pairs.select("a_id", "b_id").collect())) == want
+    # 2 keys, 4 steps with the same and the next one, 2 batches a side, at most 2 packs each
+    assert spark.read.parquet(out).count() <= 2 * 7 * 4 * 4 < len(want) / 50
+
+
+def test_packed_interval_join_forgets_what_the_watermark_has_passed(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for hour in range(6):
+        _times(spark, path, [("x", 10 * hour + i, f"2024-01-01 {hour:02}:0{i}:00") for i in range(5)], "timestamp")
+        time.sleep(0.01)
+    a, b = (streamio.read_files(spark, path, "k STRING, id LONG, ts TIMESTAMP", max_files=1).withColumnsRenamed({"id": f"{s}_id", "ts": f"{s}_ts"}) for s in "ab")
+    out = str(tmp_path / "out")
+    packs = stream.join_interval_packed(a, b, ["k"], "a_ts", "b_ts", "15 minutes", "10 minutes")
+    query = stream.drain(stream.start(packs, out, "append", str(tmp_path / "ckpt")))
+    assert stream.interval_pairs(spark.read.parquet(out), ["k"], "a_ts", "b_ts", "15 minutes").count() == 6 * 15
+    # a pack of a and two of b an hour
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
+
+
+def test_weather_alerts_meet_readings_in_lists(spark, tmp_path, monkeypatch):
+    written = []
+    keep = s12_plans.to_files
+    monkeypatch.setattr(s12_plans, "to_files", lambda t, df: written.append(keep(t, df)) or written[-1])
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter("event_id < 100")
+    copies = events.crossJoin(spark.range(30)).withColumn("event_id", F.col("event_id") + 100 * F.col("id")).drop("id")
+    copies.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "events.parquet").symlink_to(tmp_path / "one")
+    pairs = QUERIES["s12_25_weather_alert_join"](spark, str(tmp_path)).count()
+    assert pairs >= 900 * 10 and written[0].count() < pairs / 20
