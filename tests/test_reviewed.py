@@ -278,6 +278,30 @@ def test_a_stand_in_brings_its_own_tables(spark, name):
             spark.catalog.dropTempView(table)
 
 
+SHARED_STEP = [
+    "s12_05_webchecks_errors",
+]
+
+
+@pytest.mark.parametrize("key", SHARED_STEP)
+def test_a_query_on_stand_ins_shares_no_views_with_its_session(spark, monkeypatch, key):
+    want = sorted(map(str, QUERIES[key](spark, "/root/testdata/sf0.001").collect()))
+    mine = spark.newSession()
+    mine.range(3).createOrReplaceTempView("events")
+    assert sorted(map(str, QUERIES[key](mine, "/root/testdata/sf0.001").collect())) == want
+    assert [t.name for t in mine.catalog.listTables()] == ["events"] and mine.table("events").columns == ["id"]
+    plain = type(spark).sql
+
+    def late(session, *args, **kwargs):
+        # a call in another thread, over other tables, comes in between
+        for table in ("events", "pages"):
+            session.read.parquet(f"/root/testdata/sf0.01/{table}.parquet").createOrReplaceTempView(table)
+        return plain(session, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", late)
+    assert sorted(map(str, QUERIES[key](mine, "/root/testdata/sf0.001").collect())) == want
+
+
 def test_a_table_larger_than_the_target_is_compacted_into_several_files(spark, monkeypatch):
     target = 40_000
     monkeypatch.setattr(layout, "TARGET_FILE_BYTES", target)
