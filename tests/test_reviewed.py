@@ -281,6 +281,7 @@ def test_a_stand_in_brings_its_own_tables(spark, name):
 SHARED_STEP = [
     "s12_05_webchecks_errors",
     "s12_05_webchecks_latest",
+    "s12_05_webchecks_slowest",
 ]
 
 
