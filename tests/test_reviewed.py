@@ -283,6 +283,7 @@ SHARED_STEP = [
     "s12_05_webchecks_latest",
     "s12_05_webchecks_slowest",
     "s12_05_webchecks_response_times",
+    "s12_05_webchecks_total",
 ]
 
 
