@@ -286,6 +286,7 @@ SHARED_STEP = [
     "s12_05_webchecks_total",
     "s02_10_drop_null_rows",
     "s10_05_row_transform",
+    "s12_05_webchecks_by_bucket",
 ]
 
 
